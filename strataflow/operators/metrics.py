@@ -1,7 +1,10 @@
 """Rating aggregates, top-k and ranking.
 
-Averages come from counts and sums, so partial totals of a finer grain can be
-merged into a coarser one without going back to the rows.
+A sum of doubles depends on the order in which tasks add, so equal averages
+would come out a little apart and rank at random. Ratings are therefore summed as
+whole ten-thousandths, which is exact in any order, plus what a rating has beyond
+those (zero for any rating with up to four decimals). Both sums can be merged
+from a finer grain into a coarser one without going back to the rows.
 """
 
 from __future__ import annotations
@@ -14,6 +17,19 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 POSITIVE_AT = 4
+POINTS = 10_000
+
+
+def _points(rating: str) -> Column:
+    return F.rint(F.col(rating) * POINTS)
+
+
+def _beyond(rating: str) -> Column:
+    return F.col(rating) - _points(rating) / POINTS
+
+
+def _average(points: Column, beyond: Column, total: Column) -> Column:
+    return (points + beyond * POINTS) / (total * F.lit(float(POINTS)))
 
 
 def rating_metrics(
@@ -23,8 +39,13 @@ def rating_metrics(
     last_activity: str | None = None,
     rating: str = "rating",
 ) -> DataFrame:
-    """``total_ratings``, ``avg_rating`` and on request ``pct_positive`` and ``last_activity`` per key."""
-    aggs = [F.count(F.lit(1)).alias("total_ratings"), F.avg(rating).alias("avg_rating")]
+    """``total_ratings``, ``avg_rating`` and on request ``pct_positive`` and ``last_activity`` per key.
+
+    Rows must have a rating, as staging guarantees.
+    """
+    total = F.count(F.lit(1))
+    average = _average(F.sum(_points(rating).cast("bigint")), F.sum(_beyond(rating)), total)
+    aggs = [total.alias("total_ratings"), average.alias("avg_rating")]
     if positive_at is not None:
         aggs.append(F.avg(F.when(F.col(rating) >= positive_at, 1).otherwise(0)).alias("pct_positive"))
     if last_activity is not None:
@@ -33,17 +54,28 @@ def rating_metrics(
 
 
 def rating_totals(df: DataFrame, keys: Sequence[str], rating: str = "rating") -> DataFrame:
-    """Mergeable form of :func:`rating_metrics`: ``total_ratings`` and ``rating_sum`` per key."""
+    """Mergeable form of :func:`rating_metrics`: ``total_ratings``, ``points`` and ``beyond`` per key."""
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_ratings"), F.sum(rating).alias("rating_sum")
+        F.count(F.lit(1)).alias("total_ratings"),
+        F.sum(_points(rating).cast("bigint")).alias("points"),
+        F.sum(_beyond(rating)).alias("beyond"),
     )
 
 
-def merge_totals(df: DataFrame, keys: Sequence[str | Column], avg_name: str = "avg_rating") -> DataFrame:
+def average_of_totals() -> Column:
+    """Average rating of one row of :func:`rating_totals`."""
+    return _average(F.col("points"), F.col("beyond"), F.col("total_ratings"))
+
+
+def average_of_merged() -> Column:
+    """Average rating over merged rows of :func:`rating_totals`; an aggregate expression."""
+    return _average(F.sum("points"), F.sum("beyond"), F.sum("total_ratings"))
+
+
+def merge_totals(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     """Roll rows of :func:`rating_totals` up to ``keys``."""
-    total = F.sum("total_ratings")
     return df.groupBy(*keys).agg(
-        total.alias("total_ratings"), (F.sum("rating_sum") / total).alias(avg_name)
+        F.sum("total_ratings").alias("total_ratings"), average_of_merged().alias("avg_rating")
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions import iso_day_of_week
 from strataflow.operators import merge_totals, rank_within, rating_metrics, rating_totals, require_keys, top_k
-from strataflow.operators.metrics import POSITIVE_AT, ordering
+from strataflow.operators.metrics import POSITIVE_AT, average_of_merged, average_of_totals, ordering
 from strataflow.plans.silver.movies import NO_GENRES
 
 Ref = Callable[[str], DataFrame]
@@ -208,7 +208,7 @@ def int_movie_metrics(ref: Ref, t: Thresholds) -> DataFrame:
     rated = (
         ref("rollup_movies")
         .where(F.col("total_ratings") >= t.min_ratings)
-        .select("movie_id", "total_ratings", (F.col("rating_sum") / F.col("total_ratings")).alias("avg_rating"))
+        .select("movie_id", "total_ratings", average_of_totals().alias("avg_rating"))
     )
     catalog = ref("stg_movies").select("movie_id", "title", "release_year")
     return rated.join(catalog, "movie_id", "left").select(
@@ -254,7 +254,7 @@ def gold_ratings_over_time(ref: Ref, t: Thresholds) -> DataFrame:
         .groupBy("event_date")
         .agg(
             total.alias("total_ratings"),
-            (F.sum("rating_sum") / total).alias("avg_rating"),
+            average_of_merged().alias("avg_rating"),
             (F.sum(positive) / total).alias("pct_positive"),
         )
     )

@@ -12,8 +12,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits a hot key's partition of a sort-merge join at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Splits a hot day's partition of a rebalanced write at run time.
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # INT96, the default, carries no statistics, so merges could not skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -25,6 +23,9 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in SQL_DEFAULTS.items():
         spark.conf.set(key, value)
+    # Folders are listed by a job with, by default, a task for each of them.
+    listers = 4 * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))
     return spark
 
 

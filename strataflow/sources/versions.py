@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from strataflow.sources.files import drop_path, glob_paths
 
 VERSION_COL = "_version"
+ROWS_PER_FILE = 5_000_000
 
 
 def version_path(path: str, version: int) -> str:
@@ -39,14 +40,44 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if latest is None else latest + 1
 
 
-def write_version(df: DataFrame, path: str, version: int, partition_by: Sequence[str] = ()) -> None:
+def spread_partitions(df: DataFrame, partition_by: Sequence[str], rows_per_file: int) -> DataFrame:
+    """Rows of a partition value together, in one task per ``rows_per_file`` of them.
+
+    Only values that need more than one task are looked up, at most one per
+    ``rows_per_file`` rows written; that bounds what is broadcast. The piece of a
+    row follows from its content, so a task that is run again gives the same rows.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+    pieces = F.ceil(F.col("_rows") / rows_per_file)
+    large = sizes.where(F.col("_rows") > rows_per_file).select(
+        *[F.col(c).alias(f"_large_{c}") for c in partition_by], pieces.alias("_pieces")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in partition_by]
+    piece = F.pmod(F.xxhash64(*df.columns), F.coalesce("_pieces", F.lit(1).cast("bigint")))
+    return (
+        df.join(F.broadcast(large), same, "left")
+        .withColumn("_piece", piece)
+        .repartition(width, *partition_by, "_piece")
+        .select(*df.columns)
+    )
+
+
+def write_version(
+    df: DataFrame,
+    path: str,
+    version: int,
+    partition_by: Sequence[str] = (),
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
     """Write one version, replacing an earlier attempt at it.
 
-    A partitioned write is rebalanced first: rows of one partition value meet in
-    few files, yet a value that holds most of the rows is split over many tasks.
+    A partitioned write reads ``df`` twice, to see how many rows each partition
+    value has and to write them: few files per value, yet no task is left with all
+    rows of a value that holds most of them.
     """
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = spread_partitions(df, partition_by, rows_per_file)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

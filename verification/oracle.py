@@ -147,34 +147,34 @@ CTES = {
         SELECT * FROM recommendation_features WHERE user_id IS NOT NULL AND movie_id IS NOT NULL""",
     "int_movie_metrics": """
         SELECT a.movie_id, m.title, m.release_year, a.total_ratings, a.avg_rating
-        FROM (SELECT movie_id, count(*) AS total_ratings, avg(rating) AS avg_rating
+        FROM (SELECT movie_id, count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_rating
               FROM stg_ratings GROUP BY movie_id) a
         LEFT JOIN stg_movies m ON a.movie_id = m.movie_id
         WHERE total_ratings >= 30""",
     "int_genre_metrics": """
-        SELECT genre, count(*) AS total_ratings, avg(rating) AS avg_rating
+        SELECT genre, count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_rating
         FROM stg_ratings r JOIN stg_movie_genres g ON r.movie_id = g.movie_id GROUP BY genre""",
     "int_user_metrics": """
-        SELECT user_id, count(*) AS total_ratings, avg(rating) AS avg_rating,
+        SELECT user_id, count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_rating,
                avg(CASE WHEN rating >= 4 THEN 1 ELSE 0 END) AS pct_positive, max(event_timestamp) AS last_activity
         FROM stg_ratings GROUP BY user_id""",
     "int_user_genre_metrics": """
-        SELECT user_id, genre, count(*) AS total_ratings, avg(rating) AS avg_rating
+        SELECT user_id, genre, count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_rating
         FROM stg_ratings r JOIN stg_movie_genres g ON r.movie_id = g.movie_id GROUP BY user_id, genre""",
     "gold_ratings_over_time": """
-        SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS total_ratings, avg(rating) AS avg_rating,
+        SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_rating,
                avg(CASE WHEN rating >= 4 THEN 1 ELSE 0 END) AS pct_positive
         FROM stg_ratings GROUP BY 1""",
     "gold_top_movies": """
         SELECT * FROM int_movie_metrics
-        ORDER BY round(avg_rating, 9) DESC, total_ratings DESC, movie_id LIMIT 10""",
+        ORDER BY avg_rating DESC, total_ratings DESC, movie_id LIMIT 10""",
     "gold_worst_movies": """
         SELECT * FROM int_movie_metrics
-        ORDER BY round(avg_rating, 9) ASC, total_ratings DESC, movie_id LIMIT 10""",
+        ORDER BY avg_rating ASC, total_ratings DESC, movie_id LIMIT 10""",
     "gold_most_rated_movies": "SELECT * FROM int_movie_metrics ORDER BY total_ratings DESC, movie_id LIMIT 10",
     "gold_least_rated_movies": "SELECT * FROM int_movie_metrics ORDER BY total_ratings ASC, movie_id LIMIT 10",
     "gold_genre_popularity": """
-        SELECT genre, count(*) AS total_ratings, avg(rating) AS avg_ratings
+        SELECT genre, count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_ratings
         FROM stg_ratings r JOIN stg_movie_genres g ON r.movie_id = g.movie_id GROUP BY genre""",
     "gold_genre_popularity_vs_quality": """
         SELECT genre, total_ratings AS popularity, avg_rating AS quality FROM int_genre_metrics""",
@@ -185,13 +185,13 @@ CTES = {
     "gold_user_genre_preference": """
         SELECT user_id, genre, total_ratings, avg_rating,
                row_number() OVER (PARTITION BY user_id
-                   ORDER BY round(avg_rating, 9) DESC, total_ratings DESC, genre) AS rank_genre
+                   ORDER BY avg_rating DESC, total_ratings DESC, genre) AS rank_genre
         FROM int_user_genre_metrics""",
     "gold_rating_distribution": "SELECT rating, count(*) AS total_ratings FROM stg_ratings GROUP BY rating",
     "gold_rating_seasonality": """
         SELECT CAST(month(event_timestamp) AS INTEGER) AS month,
                CAST(isodow(event_timestamp) AS INTEGER) AS day_of_week,
-               count(*) AS total_ratings, avg(rating) AS avg_rating
+               count(*) AS total_ratings, avg(CAST(rating AS DECIMAL(6, 2))) AS avg_rating
         FROM stg_ratings GROUP BY 1, 2""",
     "gold_underrated_movies": """
         SELECT movie_id, title, avg_rating, total_ratings FROM int_movie_metrics
