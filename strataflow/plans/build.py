@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,11 +75,13 @@ def build(
     select: str | None = None,
     thresholds: Thresholds = Thresholds(),
     database: str | None = "gold",
+    threads: int = 4,
 ) -> dict[str, str]:
     """Build the selected models from the silver tables under ``base``.
 
     Marts are stored as Parquet under ``gold/`` and registered in ``database``;
-    the other models become temporary views. Returns ``{model: path or view}``.
+    the other models become temporary views. Marts are written ``threads`` at a
+    time, so that small ones do not leave the cluster idle. Returns ``{model: path or view}``.
     """
     apply_defaults(spark)
     silver = f"{base}/silver"
@@ -89,23 +92,30 @@ def build(
         df.write.mode("overwrite").parquet(f"{scratch}/{name}")
         return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
+    def write_mart(item: tuple[str, DataFrame]) -> str:
+        name, df = item
+        path = f"{base}/gold/{name}"
+        version = next_version(spark, path)
+        write_version(df, path, version)
+        if database:
+            register_snapshot(spark, f"{database}.{name}", path, version)
+        # The one before stays for readers that are still at it.
+        drop_older(spark, path, keep=2)
+        return path
+
     stored_ref = resolver(silver_tables(spark, base), thresholds, store)
     view_ref = resolver(silver_tables(spark, base), thresholds)
+    models = selected(select)
     results: dict[str, str] = {}
+    for model in models:
+        if not model.stored:
+            view_ref(model.name).createOrReplaceTempView(model.name)
+            results[model.name] = model.name
     try:
-        for model in selected(select):
-            if model.stored:
-                path = f"{base}/gold/{model.name}"
-                version = next_version(spark, path)
-                write_version(stored_ref(model.name), path, version)
-                if database:
-                    register_snapshot(spark, f"{database}.{model.name}", path, version)
-                # The one before stays for readers that are still at it.
-                drop_older(spark, path, keep=2)
-                results[model.name] = path
-            else:
-                view_ref(model.name).createOrReplaceTempView(model.name)
-                results[model.name] = model.name
+        # Building the frames stores what the marts share; after that they are independent.
+        marts = [(m.name, stored_ref(m.name)) for m in models if m.stored]
+        with ThreadPoolExecutor(threads) as pool:
+            results.update(zip((name for name, _ in marts), pool.map(write_mart, marts)))
     finally:
         drop_path(spark, scratch)
     return results

@@ -40,15 +40,19 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if latest is None else latest + 1
 
 
-def spread_partitions(df: DataFrame, partition_by: Sequence[str], rows_per_file: int) -> DataFrame:
+def spread_partitions(
+    df: DataFrame, partition_by: Sequence[str], rows_per_file: int, sizes_of: DataFrame | None = None
+) -> DataFrame:
     """Rows of a partition value together, in one task per ``rows_per_file`` of them.
 
-    Only values that need more than one task are looked up, at most one per
+    Sizes are counted in ``sizes_of``, any cheaper table that holds no fewer rows
+    per value; by default in ``df`` itself. Only values that need more than one task are looked up, at most one per
     ``rows_per_file`` rows written; that bounds what is broadcast. The piece of a
     row follows from its content, so a task that is run again gives the same rows.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df if sizes_of is None else sizes_of
+    sizes = counted.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
     pieces = F.ceil(F.col("_rows") / rows_per_file)
     large = sizes.where(F.col("_rows") > rows_per_file).select(
         *[F.col(c).alias(f"_large_{c}") for c in partition_by], pieces.alias("_pieces")
@@ -69,15 +73,16 @@ def write_version(
     version: int,
     partition_by: Sequence[str] = (),
     rows_per_file: int = ROWS_PER_FILE,
+    sizes_of: DataFrame | None = None,
 ) -> None:
     """Write one version, replacing an earlier attempt at it.
 
-    A partitioned write reads ``df`` twice, to see how many rows each partition
-    value has and to write them: few files per value, yet no task is left with all
-    rows of a value that holds most of them.
+    A partitioned write first sees how many rows each partition value has (see
+    ``spread_partitions``): few files per value, yet no task is left with all rows
+    of a value that holds most of them.
     """
     if partition_by:
-        df = spread_partitions(df, partition_by, rows_per_file)
+        df = spread_partitions(df, partition_by, rows_per_file, sizes_of)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -185,7 +190,8 @@ def insert_only_merge(
     """
     spark = batch.sparkSession
     others = [v for v in committed_versions(spark, path) if v != version]
+    rows = batch
     if keys and others:
         target = read_versions(spark, path, others, schema)
-        batch = new_rows(batch, _within_batch_range(batch, target, bound), keys)
-    write_version(batch, path, version, partition_by)
+        rows = new_rows(batch, _within_batch_range(batch, target, bound), keys)
+    write_version(rows, path, version, partition_by, sizes_of=batch)
