@@ -39,7 +39,6 @@ def session(cpus: str, work: str) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": cpus,
         "spark.sql.warehouse.dir": f"{work}/warehouse",
-        "spark.checkpoint.dir": f"{work}/scratch",
     }
     spark = build_session("strataflow-bench", f"local[{cpus}]", conf)
     spark.sparkContext.setLogLevel("ERROR")

@@ -33,12 +33,12 @@ def register_table(
 ) -> None:
     """Make all committed versions of an appended folder readable as one external table.
 
-    Partition columns, the version last, follow the others. The table is declared
-    anew when the columns differ; files are never touched.
+    The version and the partition columns, as the folders nest, follow the others.
+    The table is declared anew when the columns differ; files are never touched.
     """
     ensure_database(spark, table.rsplit(".", 1)[0])
     types = {f.name: f.dataType.simpleString() for f in schema} | {VERSION_COL: "int"}
-    parts = [*partition_by, VERSION_COL]
+    parts = [VERSION_COL, *partition_by]
     columns = [c for c in types if c not in parts] + parts
     if table_exists(spark, table) and spark.table(table).columns != columns:
         spark.sql(f"DROP TABLE {table}")

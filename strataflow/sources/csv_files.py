@@ -15,8 +15,8 @@ HEADERS_SCHEMA = "file_path string, schema_name string, columns array<string>"
 
 
 def load_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """CSV with a header line and the given columns."""
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+    """CSV with the given columns, by position; the header line is skipped."""
+    return spark.read.csv(path, header=True, schema=schema)
 
 
 def discover_csv_files(spark: SparkSession, base: str) -> list[str]:
