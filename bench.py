@@ -53,7 +53,7 @@ def main() -> None:
     rows, seconds = {}, {}
     for entity in ENTITIES.values():
         raw = shapes.SILVER_INPUTS[entity.name](spark, sf_dir)
-        write_version(raw, entity.bronze_path(base), 0)
+        write_version(raw.repartition(int(cpus)), entity.bronze_path(base), 0)
         rows[entity.name] = spark.read.parquet(entity.bronze_path(base)).count()
     for entity in ENTITIES.values():
         seconds[f"silver_{entity.name}"] = timed(lambda e=entity: run_incremental(spark, e, base))

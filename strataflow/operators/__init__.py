@@ -12,7 +12,7 @@ from strataflow.operators.frames import (
     stamp_audit,
 )
 from strataflow.operators.metrics import merge_totals, rank_within, rating_metrics, rating_totals, top_k
-from strataflow.operators.quality import quality_report, table_profile
+from strataflow.operators.quality import preview, quality_report, table_profile
 
 __all__ = [
     "cast_columns",
@@ -21,6 +21,7 @@ __all__ = [
     "dedup_latest",
     "explode_delimited",
     "merge_totals",
+    "preview",
     "quality_report",
     "rank_within",
     "rating_metrics",

@@ -39,3 +39,8 @@ def quality_report(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence
 def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum and maximum as text, one row per statistic."""
     return df.describe(*(cols or df.columns))
+
+
+def preview(df: DataFrame, n: int = 20) -> tuple[str, DataFrame]:
+    """The schema as text and any ``n`` rows."""
+    return df.schema.treeString(), df.limit(n)

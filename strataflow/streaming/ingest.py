@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from strataflow.sources.catalog import register_table
 from strataflow.sources.messages import TOPIC_PREFIX, dead_letters, parse_messages, schema_name_of
 from strataflow.sources.versions import write_version
 
+log = logging.getLogger(__name__)
+
 QUARANTINE = "quarantine"
 
 
@@ -28,6 +31,14 @@ def quarantine_path(base: str) -> str:
     return f"{base}/{QUARANTINE}"
 
 
+def _try_register(table: str, path: str, rows: DataFrame) -> None:
+    """The rows are stored by now; a catalog that is away must not stop the stream."""
+    try:
+        register_table(rows.sparkSession, table, path, rows.schema)
+    except Exception:
+        log.warning("could not register %s", table, exc_info=True)
+
+
 def route_messages(
     batch: DataFrame,
     batch_id: int,
@@ -55,7 +66,7 @@ def route_messages(
             rows = stamp_audit(parsed.withColumnRenamed("topic", "_in"), source, topic=F.col("_in")).drop("_in")
             write_version(rows, stream_path(base, name), batch_id)
             if database:
-                register_table(spark, f"{database}.{name}", stream_path(base, name), rows.schema)
+                _try_register(f"{database}.{name}", stream_path(base, name), rows)
         if len(known) < len(present):
             unknown = F.coalesce(~F.col("_schema").isin(*known), F.lit(True))
             error = F.concat(F.lit("no schema registered for "), F.coalesce("_schema", F.lit("no topic")))

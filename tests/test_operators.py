@@ -123,3 +123,8 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, "a"), (3, "b")], "n int, s string")
     profile = {r["summary"]: (r["n"], r["s"]) for r in O.table_profile(df).collect()}
     assert profile["count"] == ("2", "2") and profile["mean"][0] == "2.0" and profile["max"] == ("3", "b")
+
+
+def test_preview(spark):
+    schema, few = O.preview(spark.range(0, 100), 3)
+    assert "id: long" in schema and few.count() == 3

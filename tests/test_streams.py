@@ -53,6 +53,15 @@ def test_a_replayed_batch_doubles_nothing(spark, base):
     assert versions.read_since(spark, quarantine_path(base)).count() == 1
 
 
+def test_a_failing_catalog_does_not_stop_the_stream(spark, base, monkeypatch):
+    def fail(*args, **kwargs):
+        raise OSError("catalog away")
+
+    monkeypatch.setattr("strataflow.streaming.ingest.register_table", fail)
+    route_messages(batch(spark, ("csv-ratings", '{"userId": "1"}')), 0, SCHEMAS, base, database="b")
+    assert bronze(spark, base).count() == 1
+
+
 def test_a_column_added_between_batches(spark, base):
     route_messages(batch(spark, ("csv-ratings", '{"userId": "1"}')), 0, SCHEMAS, base)
     wider = registry.load_schemas({"ratings": ["userId", "rating", "device"]})

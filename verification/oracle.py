@@ -296,7 +296,7 @@ ORACLE: dict[str, str] = {
     "recommendation_cleaned": _model("recommendation_history_cleaned"),
     "supplier_metrics": _supplier("int_movie_metrics"),
     "supplier_top": _supplier("gold_top_movies"),
-    "dedup_stress": """
+    "dedup_latest": """
         SELECT * EXCLUDE (n) FROM (
             SELECT * REPLACE (CAST(l_shipdate AS TIMESTAMP) AS l_shipdate),
                    row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -305,14 +305,14 @@ ORACLE: dict[str, str] = {
                                 l_linestatus DESC) AS n
             FROM lineitem)
         WHERE n = 1""",
-    "bucketized": f"""
+    "bucketize": f"""
         SELECT bucket, category, count(*) AS n, min(s) AS low, max(s) AS high
         FROM (SELECT s, {BUCKET} AS bucket,
                      CASE WHEN s < 0.5 OR s > 4.0 THEN 'high' WHEN s <= 2.5 THEN 'low' WHEN s <= 3.5 THEN 'medium'
                           ELSE 'high' END AS category
               FROM (SELECT l_quantity / 10 AS s FROM lineitem))
         GROUP BY bucket, category""",
-    "clamped_domains": """
+    "clamp_domain": """
         SELECT o_orderkey,
                CASE WHEN o_totalprice BETWEEN 50000 AND 250000 THEN o_totalprice END AS price_in_range,
                CASE WHEN o_orderkey % 12 >= 1 THEN CAST(o_orderkey % 12 - 1 AS INTEGER) END AS month_idx,
@@ -329,11 +329,11 @@ ORACLE: dict[str, str] = {
                date_trunc('second', CAST(ts AS TIMESTAMP)) AS at,
                CAST(NULL AS TIMESTAMP) AS none_of_these
         FROM events""",
-    "exploded_tokens": """
+    "explode_delimited": """
         SELECT DISTINCT p_brand, token
         FROM (SELECT p_brand, lower(trim(unnest(string_split(p_name, ' ')))) AS token FROM part)
         WHERE token NOT IN ('', 'bolt')""",
-    "labelled_codes": f"""
+    "code_label_map": f"""
         SELECT CASE code WHEN 1 THEN 'popular' WHEN 2 THEN 'well_rated' WHEN 3 THEN 'recent_popular'
                          WHEN 4 THEN 'trending' WHEN 5 THEN 'serendipity' END AS source_category,
                CASE WHEN month_idx IS NULL THEN 'unknown' WHEN month_idx <= 2 THEN 'early_stage'
@@ -352,7 +352,7 @@ ORACLE: dict[str, str] = {
         FROM orders GROUP BY 1, 2, 3""",
     "quality_not_null": _with(" UNION ALL ".join(_check(*c) for c in DECLARED_CHECKS + RAW_CHECKS)),
     "quality_unique": " UNION ALL ".join(_check(*c) for c in UNIQUE_CHECKS),
-    "profile": _with(
+    "table_profile": _with(
         " UNION ALL ".join(
             _profile_row(statistic, fn)
             for statistic, fn in [
@@ -366,7 +366,7 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_read": """
         SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('O', 'P')""",
-    "merged_orders": """
+    "insert_only_merge": """
         SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderstatus,
                CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END AS o_totalprice
         FROM orders""",
@@ -379,8 +379,8 @@ ORACLE: dict[str, str] = {
         "FROM int_movie_metrics p"
     ),
     "csv_load": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
-    "csv_tail_twice": "SELECT 'first' AS pass, o_orderkey, o_custkey, o_orderpriority FROM orders",
-    "canonical_names": """
+    "csv_tail": "SELECT 'first' AS pass, o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "canonical_schemas": """
         WITH headers AS (
             SELECT 'in/' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '.csv' AS file_path,
                    o_orderstatus AS proposed, replace(o_orderpriority, '-', ',') AS columns FROM orders),
@@ -391,7 +391,7 @@ ORACLE: dict[str, str] = {
         SELECT file_path, named.proposed || CASE WHEN n > 0 THEN '_' || CAST(n AS VARCHAR) ELSE '' END AS schema_name,
                headers.columns AS columns
         FROM headers JOIN named ON headers.columns = named.columns""",
-    "parsed_messages": f"SELECT 'csv-' || event_type AS topic, {EVENT_TEXT} FROM events",
+    "parse_topic_json": f"SELECT 'csv-' || event_type AS topic, {EVENT_TEXT} FROM events",
     "stream_to_bronze": f"""
         SELECT {EVENT_TEXT}, 'kafka' AS _source, 'csv-' || event_type AS _topic
         FROM events WHERE event_type <> 'error'""",

@@ -58,13 +58,16 @@ ROUNDED = ("avg_rating", "avg_ratings", "pct_positive", "quality")
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_defaults(spark)
-        return fn(spark, sf_dir)
+def query(key: str) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
+        return fn
 
-    QUERIES[fn.__name__] = run
-    return fn
+    return add
 
 
 def _as_of():
@@ -121,13 +124,13 @@ QUERIES.update({key: _model_query(name) for key, name in SILVER_QUERIES.items()}
 QUERIES.update({name: _model_query(name) for name, m in MODELS.items() if m.layer != "rollup"})
 
 
-@query
+@query("supplier_metrics")
 def supplier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movie metrics with the published thresholds, at a grain that reaches them."""
     return comparable(model_ref(spark, sf_dir, Thresholds(), "l_suppkey")("int_movie_metrics"))
 
 
-@query
+@query("supplier_top")
 def supplier_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(model_ref(spark, sf_dir, Thresholds(), "l_suppkey")("gold_top_movies"))
 
@@ -135,13 +138,13 @@ def supplier_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- single operators ----------------------------------------------------------
 
 
-@query
+@query("dedup_latest")
 def dedup_stress(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = given(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
     return dedup_latest(lines, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
-@query
+@query("bucketize")
 def bucketized(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.col("l_quantity") / 10
     bucket = bucketize(score, RATING_RANGE[0], BUCKETS)
@@ -152,7 +155,7 @@ def bucketized(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("clamp_domain")
 def clamped_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given(spark, sf_dir, "orders")
     return orders.select(
@@ -163,7 +166,7 @@ def clamped_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("sentinel_nulls")
 def sentinel_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = (F.col("l_linenumber") % 3 - 1).cast("int")
     return (
@@ -173,7 +176,7 @@ def sentinel_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("parsed_times")
 def parsed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank and unreadable dates, and epoch seconds as text."""
     ts = F.col("ts").cast("timestamp")
@@ -192,13 +195,13 @@ def parsed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("explode_delimited")
 def exploded_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = given(spark, sf_dir, "part")
     return explode_delimited(parts, "p_name", " ", "token", ["p_brand"], drop=["bolt"])
 
 
-@query
+@query("code_label_map")
 def labelled_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = (F.col("o_orderkey") % 7).cast("int")
     month = clamp_between((F.col("o_orderkey") % 12 - 1).cast("int"), lo=0)
@@ -209,7 +212,7 @@ def labelled_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("flags_and_differences")
 def flags_and_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = clamp_between(F.col("l_quantity") / 10, 0.5, 4.5)
     shown = F.col("l_discount") * 50
@@ -220,7 +223,7 @@ def flags_and_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("recency")
 def recency(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate").cast("timestamp")
     return (
@@ -234,14 +237,14 @@ def recency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("quality_not_null")
 def quality_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = quality_report(shapes.movies(spark, sf_dir), not_null=["movie_id", "title", "genres"])
     declared = checks.silver_checks(model_ref(spark, sf_dir))
     return declared.unionAll(raw.select(F.lit("movies").alias("table"), "*"))
 
 
-@query
+@query("quality_unique")
 def quality_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [("lineitem", "l_orderkey"), ("orders", "o_orderkey"), ("customer", "c_custkey"), ("events", "user_id")]
     reports = [
@@ -251,7 +254,7 @@ def quality_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, reports)
 
 
-@query
+@query("table_profile")
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["user_id", "movie_id", "rating"]
     described = table_profile(model_ref(spark, sf_dir)("ratings_cleaned"), cols)
@@ -261,7 +264,7 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- storage, merges and runs --------------------------------------------------
 
 
-@query
+@query("incremental_read")
 def incremental_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three versions by order status; what came after the first."""
     path = new_scratch(spark, "incremental-read")
@@ -271,7 +274,7 @@ def incremental_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_since(spark, path, 0)
 
 
-@query
+@query("insert_only_merge")
 def merged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of open status first, then all of them with another price: known ones stay as they are."""
     path = new_scratch(spark, "merge")
@@ -297,19 +300,19 @@ def _loaded_twice(spark: SparkSession, sf_dir: str, entity, label: str) -> str:
     return base
 
 
-@query
+@query("incremental_ratings")
 def incremental_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _loaded_twice(spark, sf_dir, RATINGS, "run-ratings")
     return comparable(read_cleaned(spark, RATINGS, base))
 
 
-@query
+@query("incremental_belief_features")
 def incremental_belief_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _loaded_twice(spark, sf_dir, BELIEF, "run-belief")
     return comparable(read_features(spark, BELIEF, base))
 
 
-@query
+@query("bronze_load")
 def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load replaces the one before, columns and all."""
     base = new_scratch(spark, "bronze")
@@ -319,7 +322,7 @@ def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_since(spark, path, snapshot="latest").drop("_ingestion_timestamp")
 
 
-@query
+@query("gold_build")
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored way: silver tables, then one mart from them, read back with silver titles."""
     base = new_scratch(spark, "gold-build")
@@ -341,13 +344,13 @@ def _orders_as_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@query
+@query("csv_load")
 def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _orders_as_csv(spark, sf_dir)
     return load_csv(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
 
 
-@query
+@query("csv_tail")
 def csv_tail_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows on the first pass, none past the offsets it leaves on the second."""
     files = glob_paths(spark, f"{_orders_as_csv(spark, sf_dir)}/*.csv")
@@ -360,13 +363,13 @@ def csv_tail_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("pass", F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_orderpriority")
 
 
-@query
+@query("canonical_schemas")
 def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = canonical_schemas(shapes.order_headers(spark, sf_dir))
     return registry.select("file_path", "schema_name", F.array_join("columns", ",").alias("columns"))
 
 
-@query
+@query("parse_topic_json")
 def parsed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = load_schemas(shapes.EVENT_SCHEMAS)["click"]
     return parse_messages(shapes.event_messages(spark, sf_dir), schema)
@@ -386,14 +389,14 @@ def _streamed(spark: SparkSession, sf_dir: str, label: str) -> str:
     return base
 
 
-@query
+@query("stream_to_bronze")
 def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _streamed(spark, sf_dir, "stream")
     tables = [read_since(spark, stream_path(base, name)) for name in sorted(shapes.EVENT_SCHEMAS)]
     return reduce(DataFrame.unionAll, tables).drop("_ingestion_timestamp")
 
 
-@query
+@query("stream_quarantine")
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _streamed(spark, sf_dir, "stream-quarantine")
     rejected = read_since(spark, quarantine_path(base))
