@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 FETCH_SIZE = 1000
 
@@ -43,6 +42,10 @@ def range_options(column: str, low, high, partitions: int) -> dict[str, str]:
     }
 
 
+def bounds_query(table: str, column: str) -> str:
+    return f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}"
+
+
 def extract_table(
     spark: SparkSession,
     source: JdbcSource,
@@ -55,13 +58,14 @@ def extract_table(
     With ``partition_column`` (numeric, date or timestamp) the scan runs as that
     many range queries; without it one task reads everything.
     """
-    reader = spark.read.format("jdbc").options(**source.options()).option("dbtable", table)
-    if partition_column is None:
-        return reader.load()
-    low, high = reader.load().agg(F.min(partition_column), F.max(partition_column)).first()
-    if low is None:
-        return reader.load()
-    return reader.options(**range_options(partition_column, low, high, partitions)).load()
+    reader = spark.read.format("jdbc").options(**source.options())
+    if partition_column is not None:
+        # One row, computed by the database; it takes a scan there and none here.
+        low, high = reader.option("query", bounds_query(table, partition_column)).load().first()
+        reader = spark.read.format("jdbc").options(**source.options())
+        if low is not None:
+            reader = reader.options(**range_options(partition_column, low, high, partitions))
+    return reader.option("dbtable", table).load()
 
 
 def discovery_query(schema: str = "raw") -> str:

@@ -180,6 +180,59 @@ def test_jdbc_options():
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "4",
     }
     assert "table_schema = 'raw'" in jdbc.discovery_query()
+    assert jdbc.bounds_query("raw.t", "id") == "SELECT MIN(id) AS low, MAX(id) AS high FROM raw.t"
+
+
+class Reader:
+    """Records how a JDBC read is put together; there is no database to ask."""
+
+    def __init__(self, log, answers):
+        self.log, self.answers, self.set = log, answers, {}
+
+    def format(self, name):
+        return self
+
+    def options(self, **options):
+        self.set.update(options)
+        return self
+
+    def option(self, name, value):
+        return self.options(**{name: value})
+
+    def load(self):
+        self.log.append(self.set)
+        return self.answers[len(self.log) - 1]
+
+
+class ReaderSession:
+    def __init__(self, *answers):
+        self.log, self.answers = [], answers
+
+    @property
+    def read(self):
+        return Reader(self.log, self.answers)
+
+
+def test_jdbc_reads(spark):
+    source = jdbc.JdbcSource("jdbc:x")
+    plain = ReaderSession("rows")
+    assert jdbc.extract_table(plain, source, "raw.t") == "rows"
+    assert plain.log[0]["dbtable"] == "raw.t" and "partitionColumn" not in plain.log[0]
+
+    bounds = spark.createDataFrame([(1, 9)], "low int, high int")
+    ranged = ReaderSession(bounds, "rows")
+    assert jdbc.extract_table(ranged, source, "raw.t", "id", 4) == "rows"
+    assert "dbtable" not in ranged.log[0] and "query" not in ranged.log[1]
+    assert ranged.log[1]["lowerBound"] == "1" and ranged.log[1]["numPartitions"] == "4"
+
+    empty = ReaderSession(spark.createDataFrame([(None, None)], "low int, high int"), "rows")
+    jdbc.extract_table(empty, source, "raw.t", "id", 4)
+    assert "partitionColumn" not in empty.log[1]
+
+    found = spark.createDataFrame([("raw.b",), ("raw.a",)], "full_name string")
+    assert jdbc.discover_tables(ReaderSession(found), source) == ["raw.a", "raw.b"]
+    with pytest.raises(ValueError, match="no tables"):
+        jdbc.discover_tables(ReaderSession(found.limit(0)), source)
 
 
 class Session:

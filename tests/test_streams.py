@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 import json
 import os
 import random
@@ -128,6 +129,32 @@ def test_csv_files_headers_and_stream(spark, base):
     assert rows(bronze(spark, base, "pairs").select("x", "y")) == [("1", "2"), ("1", "2")]
 
 
+def test_csv_values_are_read_as_other_readers_do(spark, base):
+    lines = ['1,"say ""hi"", you"', "2,", '3,"a\\b"', "4, x ", '5,"two\nlines"']
+    path = write_csv(f"{base}/csv", "q", "id,t", lines)
+    with open(path, newline="") as f:
+        expected = [tuple(r.values()) for r in csv.DictReader(f)]
+    tail, _ = csv_files.csv_tail(spark, [path], ["id", "t"], multiline=True)
+    assert rows(tail.select("id", "t")) == sorted(expected, key=repr)
+    assert [r[0] for r in tail.orderBy("id").select("row_number").collect()] == [1, 2, 3, 4, 5]
+    loaded = csv_files.load_csv(spark, path, "id int, t string", multiline=True)
+    assert rows(loaded.where("id = 2")) == [(2, None)]
+
+
+def test_files_that_did_not_grow_are_not_read(spark, base):
+    paths = [write_csv(f"{base}/csv", name, "id", ["1", "2"]) for name in ("a", "b")]
+    _, offsets = csv_files.csv_tail(spark, paths, ["id"])
+    stored = spark.createDataFrame([tuple(r) for r in offsets.collect()], offsets.schema)
+    tail, same = csv_files.csv_tail(spark, paths, ["id"], stored)
+    assert tail.columns == ["id", "file_path", "row_number"] and tail.count() == 0
+    assert rows(same) == rows(stored)
+    write_csv(f"{base}/csv", "b", "id", ["1", "2", "3"])
+    tail, offsets = csv_files.csv_tail(spark, paths, ["id"], stored)
+    assert [p.rsplit("/", 1)[1] for p in tail.inputFiles()] == ["b.csv"]
+    assert rows(tail.select("id", "row_number")) == [("3", 3)]
+    assert {r[0].rsplit("/", 1)[1]: r[1] for r in offsets.collect()} == {"a.csv": 2, "b.csv": 3}
+
+
 def test_tail_of_growing_files_matches_a_plain_reader(spark, base, conf):
     # Small blocks, so that each file is read by many tasks and a task reads many blocks.
     conf(spark__sql__files__maxPartitionBytes="4k", spark__sql__files__openCostInBytes="1k")
@@ -142,7 +169,7 @@ def test_tail_of_growing_files_matches_a_plain_reader(spark, base, conf):
     )
     saved = {r["file_path"].rsplit("/", 1)[1]: r["row_offset"] for r in offsets.collect()}
     assert saved == {"one.csv": 3000, "two.csv": 37, "three.csv": 500}
-    stored = spark.createDataFrame([(r["file_path"], r["row_offset"]) for r in offsets.collect()], offsets.schema)
+    stored = spark.createDataFrame([tuple(r) for r in offsets.collect()], offsets.schema)
 
     # Two files grow, one new file appears.
     content["one"] += [f"one-new-{i},{i}" for i in range(800)]
