@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame
 
 from strataflow.plans.silver import belief, elicitation, movies, ratings, recommendations
 
+STREAM_AUDIT = "_ingestion_timestamp timestamp, _source string, _topic string"
+
 
 @dataclass(frozen=True)
 class Entity:
     """One bronze table and the two silver tables made of it.
 
-    ``snapshot`` says what the current content of the bronze table is (see
+    ``bronze_schema`` is given where rows are text and versions many. ``snapshot`` says what the current content of the bronze table is (see
     ``read_since``). ``bound`` are key columns by which a merge narrows its target. Features get ``as_of`` only when ``uses_clock``.
     """
 
@@ -31,6 +33,7 @@ class Entity:
     merge_keys_features: tuple[str, ...]
     partition_features: tuple[str, ...] = ()
     bound: tuple[str, ...] = ()
+    bronze_schema: str | None = None
     uses_clock: bool = False
     run_cleaned: bool = True
     run_features: bool = True
@@ -69,6 +72,7 @@ MOVIES = Entity(
 RATINGS = Entity(
     name="ratings",
     bronze="streaming/ratings_for_additional_users",
+    bronze_schema=f"userId string, movieId string, rating string, tstamp string, {STREAM_AUDIT}",
     snapshot="all",
     table_cleaned="ratings_cleaned",
     table_features="rating_features",
@@ -120,6 +124,7 @@ ELICITATION = Entity(
 RECOMMENDATIONS = Entity(
     name="recommendation_history",
     bronze="streaming/user_recommendation_history",
+    bronze_schema=f"userId string, tstamp string, movieId string, predictedRating string, {STREAM_AUDIT}",
     snapshot="all",
     table_cleaned="recommendation_history_cleaned",
     table_features="recommendation_features",

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strataflow.plans.entities import Entity
-from strataflow.session import apply_defaults, size_shuffle
-from strataflow.sources.catalog import register_table, set_checkpoint
-from strataflow.sources.files import drop_path, new_scratch, size_of
+from strataflow.session import apply_defaults, shuffle_width, size_shuffle
+from strataflow.sources.catalog import get_checkpoint, register_table, set_checkpoint
+from strataflow.sources.files import drop_path, new_scratch, path_exists, size_of
 from strataflow.sources.versions import (
     committed_versions,
     drop_leftover,
@@ -57,10 +57,24 @@ def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: Data
     return batch, scratch
 
 
+def _size_run(spark: SparkSession, entity: Entity, base: str, last: int | None) -> int:
+    """Set the shuffle width for the new rows and the tables they are merged into.
+
+    Returns the tasks that the new rows alone need.
+    """
+    bronze = entity.bronze_path(base)
+    new = [v for v in committed_versions(spark, bronze) if last is None or v > last]
+    added = size_of(spark, [version_path(bronze, v) for v in new])
+    targets = [p for p in (entity.cleaned_path(base), entity.features_path(base)) if path_exists(spark, p)]
+    size_shuffle(spark, added + size_of(spark, targets))
+    return shuffle_width(added, spark.sparkContext.defaultParallelism)
+
+
 def _process(
     spark: SparkSession, entity: Entity, base: str, last: int | None, current: int, as_of: Column | None
 ) -> bool:
-    raw = read_since(spark, entity.bronze_path(base), last, entity.snapshot)
+    tasks = _size_run(spark, entity, base, last)
+    raw = read_since(spark, entity.bronze_path(base), last, entity.snapshot, entity.bronze_schema)
     if raw.isEmpty():
         return False
     # What a failed run left behind must not count as existing rows.
@@ -79,6 +93,7 @@ def _process(
                 partition_by=entity.partition_features,
                 bound=entity.bound + entity.partition_features,
                 schema=entity.features_schema,
+                tasks=tasks,
             )
     finally:
         if scratch:
@@ -86,20 +101,23 @@ def _process(
     return True
 
 
+def _registered(spark: SparkSession, entity: Entity, database: str, version: int) -> bool:
+    """Whether the catalog shows this version; the last registration may have failed."""
+    table = entity.table_cleaned if entity.run_cleaned else entity.table_features
+    return get_checkpoint(spark, f"{database}.{table}") == version
+
+
 def _register(spark: SparkSession, entity: Entity, base: str, database: str, version: int) -> None:
-    if entity.run_cleaned:
-        schema = StructType.fromDDL(entity.cleaned_schema)
-        table = f"{database}.{entity.table_cleaned}"
-        register_table(spark, table, entity.cleaned_path(base), schema)
-        set_checkpoint(spark, table, version)
+    tables = []
     if entity.run_features:
-        register_table(
-            spark,
-            f"{database}.{entity.table_features}",
-            entity.features_path(base),
-            StructType.fromDDL(entity.features_schema),
-            entity.partition_features,
-        )
+        parts = entity.partition_features
+        tables.append((entity.table_features, entity.features_path(base), entity.features_schema, parts))
+    if entity.run_cleaned:
+        tables.append((entity.table_cleaned, entity.cleaned_path(base), entity.cleaned_schema, ()))
+    for name, path, schema, parts in tables:
+        register_table(spark, f"{database}.{name}", path, StructType.fromDDL(schema), parts)
+    # On the table registered last, so that it stands for both.
+    set_checkpoint(spark, f"{database}.{name}", version)
 
 
 def run_incremental(
@@ -125,11 +143,9 @@ def run_incremental(
     if last is not None and last >= current:
         status = "UP_TO_DATE"
     else:
-        new = [v for v in committed_versions(spark, bronze) if last is None or v > last]
-        size_shuffle(spark, size_of(spark, [version_path(bronze, v) for v in new]))
         status = "OK" if _process(spark, entity, base, last, current, as_of) else "EMPTY"
-        if status == "OK" and database:
-            _register(spark, entity, base, database, current)
+    if database and status != "EMPTY" and not _registered(spark, entity, database, current):
+        _register(spark, entity, base, database, current)
     return {"status": status, "elapsed": time.monotonic() - started}
 
 

@@ -17,7 +17,12 @@ SQL_DEFAULTS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MB = 1024 * 1024
+TARGET_PARTITION_BYTES = 128 * MB
+# Beyond these a shuffle consists of too many small blocks: partitions grow and spill instead.
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 200_000
+MAX_SCAN_BYTES = 1024 * MB
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
@@ -46,10 +51,17 @@ def shuffle_width(input_bytes: int, cores: int) -> int:
     Adaptive execution merges partitions that turn out small but cannot widen a
     shuffle, so the estimate leans high: it takes compressed input at 3x.
     """
-    return max(cores, -(-3 * input_bytes // TARGET_PARTITION_BYTES))
+    wanted = -(-3 * input_bytes // TARGET_PARTITION_BYTES)
+    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+
+
+def scan_bytes(input_bytes: int) -> int:
+    """Bytes a scan task reads: 128 MB, more once that would give too many tasks."""
+    return min(max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS)), MAX_SCAN_BYTES)
 
 
 def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
     width = shuffle_width(input_bytes, spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes(input_bytes)))
     return width

@@ -42,18 +42,20 @@ def register_table(
     columns = [c for c in types if c not in parts] + parts
     if table_exists(spark, table) and spark.table(table).columns != columns:
         spark.sql(f"DROP TABLE {table}")
-    fresh = not table_exists(spark, table)
-    if fresh:
+    if not table_exists(spark, table):
         declared = ", ".join(f"`{c}` {types[c]}" for c in columns)
         spark.sql(
             f"CREATE TABLE {table} ({declared}) USING parquet "
             f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) LOCATION '{path}'"
         )
-    if fresh or partition_by:
+    if partition_by:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     else:
-        newest = committed_versions(spark, path)[-1]
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({VERSION_COL} = {newest})")
+        # All of them, as an earlier registration may have failed; known ones are left alone.
+        versions = committed_versions(spark, path)
+        for i in range(0, len(versions), 500):
+            added = " ".join(f"PARTITION ({VERSION_COL} = {v})" for v in versions[i : i + 500])
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(table)
 
 

@@ -41,7 +41,11 @@ def next_version(spark: SparkSession, path: str) -> int:
 
 
 def spread_partitions(
-    df: DataFrame, partition_by: Sequence[str], rows_per_file: int, sizes_of: DataFrame | None = None
+    df: DataFrame,
+    partition_by: Sequence[str],
+    rows_per_file: int,
+    sizes_of: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows of a partition value together, in one task per ``rows_per_file`` of them.
 
@@ -50,7 +54,7 @@ def spread_partitions(
     ``rows_per_file`` rows written; that bounds what is broadcast. The piece of a
     row follows from its content, so a task that is run again gives the same rows.
     """
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = df if sizes_of is None else sizes_of
     sizes = counted.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
     pieces = F.ceil(F.col("_rows") / rows_per_file)
@@ -62,7 +66,7 @@ def spread_partitions(
     return (
         df.join(F.broadcast(large), same, "left")
         .withColumn("_piece", piece)
-        .repartition(width, *partition_by, "_piece")
+        .repartition(tasks, *partition_by, "_piece")
         .select(*df.columns)
     )
 
@@ -74,6 +78,7 @@ def write_version(
     partition_by: Sequence[str] = (),
     rows_per_file: int = ROWS_PER_FILE,
     sizes_of: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Write one version, replacing an earlier attempt at it.
 
@@ -82,7 +87,7 @@ def write_version(
     of a value that holds most of them.
     """
     if partition_by:
-        df = spread_partitions(df, partition_by, rows_per_file, sizes_of)
+        df = spread_partitions(df, partition_by, rows_per_file, sizes_of, tasks)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -95,13 +100,14 @@ def read_versions(
     """Rows of the given versions.
 
     With ``schema`` columns come in its order and no footer is opened to plan the
-    read; without it the schemas of the versions are merged.
+    read. Without it the schema is that of a file of the one version, or, of several
+    versions, the merged one, for which all their footers are read.
     """
     if not versions:
         raise ValueError(f"no committed version to read under {path}")
     reader = spark.read.option("basePath", path)
     if schema is None:
-        reader = reader.option("mergeSchema", "true")
+        reader = reader.option("mergeSchema", len(versions) > 1)
     else:
         reader = reader.schema(f"{schema}, {VERSION_COL} int")
     df = reader.parquet(*[version_path(path, v) for v in versions])
@@ -180,13 +186,15 @@ def insert_only_merge(
     partition_by: Sequence[str] = (),
     bound: Sequence[str] = (),
     schema: str | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Add the rows of ``batch`` whose key the table does not hold yet, as ``version``.
 
     Creates the table when there is none and appends everything when ``keys`` is
     empty. Existing rows are never changed. ``bound`` names columns, fixed by the
     key, by which the target is narrowed to the batch's range; it makes the merge
-    read ``batch`` more than once, so pass a stored one.
+    read ``batch`` more than once, so pass a stored one. ``tasks`` is how many write
+    a partitioned table; by default as many as a shuffle has partitions.
     """
     spark = batch.sparkSession
     others = [v for v in committed_versions(spark, path) if v != version]
@@ -194,4 +202,4 @@ def insert_only_merge(
     if keys and others:
         target = read_versions(spark, path, others, schema)
         rows = new_rows(batch, _within_batch_range(batch, target, bound), keys)
-    write_version(rows, path, version, partition_by, sizes_of=batch)
+    write_version(rows, path, version, partition_by, sizes_of=batch, tasks=tasks)

@@ -8,6 +8,7 @@ from strataflow.plans import incremental
 from strataflow.plans.entities import BELIEF, ENTITIES, MOVIES, RATINGS
 from strataflow.plans.gold import MODELS, Thresholds
 from strataflow.plans.incremental import last_processed, read_cleaned, read_features, run_incremental
+from strataflow.session import scan_bytes, shuffle_width
 from strataflow.sources import shapes, versions
 from strataflow.sources.catalog import get_checkpoint
 from tests.conftest import plan_of, rows
@@ -15,6 +16,15 @@ from tests.conftest import plan_of, rows
 SF = "/root/testdata/sf0.001"
 
 
+def test_width_follows_the_input():
+    tb = 1024**4
+    assert shuffle_width(0, 8) == 8
+    assert shuffle_width(1024**3, 8) == 24
+    assert shuffle_width(100 * tb, 8000) == 50_000
+    assert scan_bytes(1024**3) == 128 * 1024**2
+    assert 500 * 1024**2 < scan_bytes(100 * tb) < 600 * 1024**2
+
+
 def movie_batch(spark, *movies):
     df = spark.createDataFrame(list(movies), "movie_id int, title string, genres string")
     return df.withColumns({"_ingestion_timestamp": F.current_timestamp(), "_source": F.lit("postgres")})
@@ -43,6 +53,22 @@ def test_runs_take_up_what_is_new(spark, base):
     assert get_checkpoint(spark, "silver.movies_cleaned") == 1
 
 
+def test_a_registration_that_failed_is_made_up_for(spark, base, monkeypatch):
+    def fail(*args, **kwargs):
+        raise OSError("catalog away")
+
+    for n in range(2):
+        versions.write_version(movie_batch(spark, (n, "A (2000)", "x")), MOVIES.bronze_path(base), n)
+        with monkeypatch.context() as m:
+            m.setattr(incremental, "register_table", fail)
+            with pytest.raises(OSError):
+                run_incremental(spark, MOVIES, base, database="silver_late")
+    assert run_incremental(spark, MOVIES, base, database="silver_late")["status"] == "UP_TO_DATE"
+    assert spark.table("silver_late.movies_cleaned").count() == 2
+    assert spark.table("silver_late.movie_genres").count() == 2
+    assert get_checkpoint(spark, "silver_late.movies_cleaned") == 1
+
+
 def test_an_empty_batch_changes_nothing(spark, base):
     versions.write_version(movie_batch(spark, (1, "A (2000)", "x")).limit(0), MOVIES.bronze_path(base), 0)
     assert run_incremental(spark, MOVIES, base, database=None)["status"] == "EMPTY"
