@@ -395,6 +395,14 @@ ORACLE: dict[str, str] = {
     "stream_to_bronze": f"""
         SELECT {EVENT_TEXT}, 'kafka' AS _source, 'csv-' || event_type AS _topic
         FROM events WHERE event_type <> 'error'""",
+    "stream_to_silver": _with(
+        "SELECT user_id, movie_id, predicted_rating, event_timestamp, source_system, source_topic "
+        "FROM recommendation_history_cleaned"
+    ),
+    "csv_to_bronze": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority,
+               'kafka' AS _source, 'csv-orders' AS _topic
+        FROM orders""",
     "stream_quarantine": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, 'no schema registered for error' AS error
         FROM events WHERE event_type = 'error'""",

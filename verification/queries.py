@@ -32,7 +32,7 @@ from strataflow.functions import (
 from strataflow.operators import dedup_latest, explode_delimited, quality_report, table_profile
 from strataflow.plans import checks
 from strataflow.plans.build import build, read_mart, resolver
-from strataflow.plans.entities import BELIEF, ENTITIES, MOVIES, RATINGS
+from strataflow.plans.entities import BELIEF, ENTITIES, MOVIES, RATINGS, RECOMMENDATIONS
 from strataflow.plans.gold import MODELS, Thresholds, in_order
 from strataflow.plans.incremental import read_cleaned, read_features, run_incremental
 from strataflow.plans.silver.elicitation import SOURCE_LABELS
@@ -40,9 +40,9 @@ from strataflow.plans.silver.ratings import BUCKETS, RATING_RANGE
 from strataflow.session import apply_defaults
 from strataflow.sources import shapes
 from strataflow.sources.bronze import load_to_bronze
-from strataflow.sources.csv_files import csv_tail, load_csv
+from strataflow.sources.csv_files import csv_stream, csv_tail, load_csv
 from strataflow.sources.files import glob_paths, new_scratch
-from strataflow.sources.messages import file_messages, parse_messages
+from strataflow.sources.messages import file_messages, parse_messages, to_messages
 from strataflow.sources.registry import canonical_schemas, load_schemas
 from strataflow.sources.shapes import given
 from strataflow.sources.versions import insert_only_merge, read_since, write_version
@@ -401,3 +401,38 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _streamed(spark, sf_dir, "stream-quarantine")
     rejected = read_since(spark, quarantine_path(base))
     return rejected.select(F.get_json_object("data", "$.event_id").alias("event_id"), "error")
+
+
+@query("stream_to_silver")
+def stream_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way of a streamed table: messages, bronze by the stream, silver by a run."""
+    base = new_scratch(spark, "stream-silver")
+    name = "user_recommendation_history"
+    sent = to_messages(shapes.recommendation_rows(spark, sf_dir), F.lit(name))
+    sent.write.json(f"{base}/in")
+    start_bronze_stream(
+        file_messages(spark, f"{base}/in"),
+        lambda: load_schemas({name: ["userId", "tstamp", "movieId", "predictedRating"]}),
+        f"{base}/bronze",
+        f"{base}/checkpoint",
+        available_now=True,
+    ).awaitTermination()
+    run_incremental(spark, RECOMMENDATIONS, base, database=None)
+    return comparable(read_cleaned(spark, RECOMMENDATIONS, base)).drop("ingestion_timestamp")
+
+
+@query("csv_to_bronze")
+def csv_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New CSV files as a stream of messages into the bronze table of their schema."""
+    base = new_scratch(spark, "csv-bronze")
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    orders = given(spark, sf_dir, "orders").select(*columns)
+    orders.write.csv(f"{base}/in", header=True)
+    start_bronze_stream(
+        to_messages(csv_stream(spark, f"{base}/in", columns), F.lit("orders")),
+        lambda: load_schemas({"schemas": {"orders": columns}}),
+        base,
+        f"{base}/checkpoint",
+        available_now=True,
+    ).awaitTermination()
+    return read_since(spark, stream_path(base, "orders")).drop("_ingestion_timestamp")
