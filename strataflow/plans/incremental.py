@@ -101,23 +101,23 @@ def _process(
     return True
 
 
-def _registered(spark: SparkSession, entity: Entity, database: str, version: int) -> bool:
-    """Whether the catalog shows this version; the last registration may have failed."""
-    table = entity.table_cleaned if entity.run_cleaned else entity.table_features
-    return get_checkpoint(spark, f"{database}.{table}") == version
-
-
 def _register(spark: SparkSession, entity: Entity, base: str, database: str, version: int) -> None:
+    """Bring the catalog up to ``version``: whatever it does not show yet, as a registration may have failed."""
     tables = []
     if entity.run_features:
         parts = entity.partition_features
         tables.append((entity.table_features, entity.features_path(base), entity.features_schema, parts))
     if entity.run_cleaned:
         tables.append((entity.table_cleaned, entity.cleaned_path(base), entity.cleaned_schema, ()))
+    # The checkpoint is on the table registered last, so that it stands for both.
+    marked = f"{database}.{tables[-1][0]}"
+    shown = get_checkpoint(spark, marked)
+    if shown == version:
+        return
     for name, path, schema, parts in tables:
-        register_table(spark, f"{database}.{name}", path, StructType.fromDDL(schema), parts)
-    # On the table registered last, so that it stands for both.
-    set_checkpoint(spark, f"{database}.{name}", version)
+        new = [v for v in committed_versions(spark, path) if shown is None or v > shown]
+        register_table(spark, f"{database}.{name}", path, StructType.fromDDL(schema), parts, new)
+    set_checkpoint(spark, marked, version)
 
 
 def run_incremental(
@@ -144,7 +144,7 @@ def run_incremental(
         status = "UP_TO_DATE"
     else:
         status = "OK" if _process(spark, entity, base, last, current, as_of) else "EMPTY"
-    if database and status != "EMPTY" and not _registered(spark, entity, database, current):
+    if database and status != "EMPTY":
         _register(spark, entity, base, database, current)
     return {"status": status, "elapsed": time.monotonic() - started}
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from strataflow.sources.files import glob_paths
 from strataflow.sources.versions import VERSION_COL, committed_versions, version_path
 
+PARTITIONS_PER_STATEMENT = 500
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 CHECKPOINT_PROPERTY = "silver.last_bronze_version"
 
 
@@ -28,13 +32,36 @@ def register_snapshot(spark: SparkSession, table: str, path: str, version: int)
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{version_path(path, version)}'")
 
 
+def _partition_specs(
+    spark: SparkSession, path: str, versions: Sequence[int], partition_by: Sequence[str]
+) -> list[str]:
+    """``PARTITION (…)`` of every folder the versions consist of."""
+    if not partition_by:
+        return [f"PARTITION ({VERSION_COL} = {v})" for v in versions]
+    specs = []
+    for v in versions:
+        for folder in glob_paths(spark, version_path(path, v) + "/*=*" * len(partition_by)):
+            values = [unquote(part.split("=", 1)[1]) for part in folder.split("/")[-len(partition_by) :]]
+            literals = ["null" if x == NULL_FOLDER else "'" + x.replace("'", "\\'") + "'" for x in values]
+            pairs = [f"`{c}` = {x}" for c, x in zip(partition_by, literals)]
+            specs.append(f"PARTITION ({VERSION_COL} = {v}, {', '.join(pairs)})")
+    return specs
+
+
 def register_table(
-    spark: SparkSession, table: str, path: str, schema: StructType, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+    versions: Sequence[int] | None = None,
 ) -> None:
-    """Make all committed versions of an appended folder readable as one external table.
+    """Make versions of an appended folder, by default all committed, readable as an external table.
 
     The version and the partition columns, as the folders nest, follow the others.
-    The table is declared anew when the columns differ; files are never touched.
+    The table is declared anew, with all versions, when the columns differ; files
+    are never touched. Only the folders of the versions added are looked at, and
+    those the table has already are left alone.
     """
     ensure_database(spark, table.rsplit(".", 1)[0])
     types = {f.name: f.dataType.simpleString() for f in schema} | {VERSION_COL: "int"}
@@ -48,14 +75,13 @@ def register_table(
             f"CREATE TABLE {table} ({declared}) USING parquet "
             f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) LOCATION '{path}'"
         )
-    if partition_by:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    else:
-        # All of them, as an earlier registration may have failed; known ones are left alone.
+        versions = None
+    if versions is None:
         versions = committed_versions(spark, path)
-        for i in range(0, len(versions), 500):
-            added = " ".join(f"PARTITION ({VERSION_COL} = {v})" for v in versions[i : i + 500])
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    specs = _partition_specs(spark, path, versions, partition_by)
+    for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        added = " ".join(specs[i : i + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(table)
 
 

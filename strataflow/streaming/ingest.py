@@ -31,10 +31,10 @@ def quarantine_path(base: str) -> str:
     return f"{base}/{QUARANTINE}"
 
 
-def _try_register(table: str, path: str, rows: DataFrame) -> None:
+def _try_register(table: str, path: str, rows: DataFrame, version: int) -> None:
     """The rows are stored by now; a catalog that is away must not stop the stream."""
     try:
-        register_table(rows.sparkSession, table, path, rows.schema)
+        register_table(rows.sparkSession, table, path, rows.schema, versions=[version])
     except Exception:
         log.warning("could not register %s", table, exc_info=True)
 
@@ -66,7 +66,7 @@ def route_messages(
             rows = stamp_audit(parsed.withColumnRenamed("topic", "_in"), source, topic=F.col("_in")).drop("_in")
             write_version(rows, stream_path(base, name), batch_id)
             if database:
-                _try_register(f"{database}.{name}", stream_path(base, name), rows)
+                _try_register(f"{database}.{name}", stream_path(base, name), rows, batch_id)
         if len(known) < len(present):
             unknown = F.coalesce(~F.col("_schema").isin(*known), F.lit(True))
             error = F.concat(F.lit("no schema registered for "), F.coalesce("_schema", F.lit("no topic")))

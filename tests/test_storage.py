@@ -128,13 +128,15 @@ def test_registered_table_follows_versions_and_columns(spark, base):
 
 
 def test_registered_partitioned_table(spark, base):
-    df = numbers(spark, 1, 2).withColumn("d", F.lit("2024-01-01").cast("date"))
+    df = numbers(spark, 1, 2).withColumn("d", F.expr("if(k = 1, null, date'2024-01-01')"))
     schema = StructType.fromDDL("k int, d date, v string")
     for n in range(2):
         versions.write_version(df, base, n, ["d"])
-        catalog.register_table(spark, "reg.parted", base, schema, ["d"])
+        catalog.register_table(spark, "reg.parted", base, schema, ["d"], [n])
     assert spark.table("reg.parted").columns == ["k", "v", "_version", "d"]
-    assert spark.table("reg.parted").count() == 4
+    assert rows(spark.table("reg.parted").select("k", F.col("d").cast("string"))) == [
+        (1, None), (1, None), (2, "2024-01-01"), (2, "2024-01-01"),
+    ]
 
 
 def test_checkpoint_property(spark, base):
