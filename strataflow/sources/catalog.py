@@ -69,19 +69,23 @@ def register_table(
     columns = [c for c in types if c not in parts] + parts
     if table_exists(spark, table) and spark.table(table).columns != columns:
         spark.sql(f"DROP TABLE {table}")
-    if not table_exists(spark, table):
+    fresh = not table_exists(spark, table)
+    if fresh:
         declared = ", ".join(f"`{c}` {types[c]}" for c in columns)
         spark.sql(
             f"CREATE TABLE {table} ({declared}) USING parquet "
             f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) LOCATION '{path}'"
         )
-        versions = None
-    if versions is None:
-        versions = committed_versions(spark, path)
-    specs = _partition_specs(spark, path, versions, partition_by)
-    for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
-        added = " ".join(specs[i : i + PARTITIONS_PER_STATEMENT])
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    if fresh and partition_by:
+        # Everything has to be listed, which this does in parallel.
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    else:
+        if fresh or versions is None:
+            versions = committed_versions(spark, path)
+        specs = _partition_specs(spark, path, versions, partition_by)
+        for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+            added = " ".join(specs[i : i + PARTITIONS_PER_STATEMENT])
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(table)
 
 

@@ -26,9 +26,10 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Matching paths in name order."""
+    """Matching paths, fully qualified, in name order."""
     fs, p = _fs(spark, pattern)
-    return sorted(s.getPath().toString() for s in (fs.globStatus(p) or []))
+    found = fs.globStatus(p)
+    return sorted(path.toString() for path in spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found) or [])
 
 
 def size_of(spark: SparkSession, paths: list[str]) -> int:

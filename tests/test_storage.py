@@ -253,3 +253,10 @@ def test_scratch_is_the_named_folder_and_local_only_without_one(spark):
     assert os.path.isdir(local) and files.scratch_root(Session("local[2]")) == local
     first = files.new_scratch(spark, "x")
     assert os.path.dirname(first) == files.scratch_root(spark) and first != files.new_scratch(spark, "x")
+
+
+def test_globs(spark, tmp_path):
+    for name in ("b, c", "a", "x=1, y=2"):
+        (tmp_path / name).mkdir()
+    assert [p.rsplit("/", 1)[1] for p in files.glob_paths(spark, f"{tmp_path}/*")] == ["a", "b, c", "x=1, y=2"]
+    assert files.glob_paths(spark, f"{tmp_path}/none*") == [] == files.glob_paths(spark, f"{tmp_path}/none/x")
