@@ -16,8 +16,10 @@ STREAM_AUDIT = "_ingestion_timestamp timestamp, _source string, _topic string"
 class Entity:
     """One bronze table and the two silver tables made of it.
 
-    ``bronze_schema`` is given where rows are text and versions many. ``snapshot`` says what the current content of the bronze table is (see
-    ``read_since``). ``bound`` are key columns by which a merge narrows its target. Features get ``as_of`` only when ``uses_clock``.
+    ``snapshot`` says what the current content of the bronze table is (see
+    ``read_since``); ``bronze_schema`` is given where rows are text and versions
+    many. ``bound`` are key columns by which a merge narrows its target. Features
+    get ``as_of`` only when ``uses_clock``.
     """
 
     name: str
