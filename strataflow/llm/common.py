@@ -111,7 +111,7 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the frame's size, which for a plain scan is the size of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def width_for(df: DataFrame, per_task: int = 16 * 1024 * 1024) -> int:

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import quality_qda, simhash_anchor
+from strataflow.llm import pii, quality_qda, simhash_anchor, suffix_dedup
 from strataflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,21 @@ def query(f: Query) -> Query:
     return run
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
