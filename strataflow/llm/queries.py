@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import pii, quality_qda, simhash_anchor, suffix_dedup
+from strataflow.llm import bpe_codec, packing_gga, pii, quality_qda, simhash_anchor, suffix_dedup, token_binary
 from strataflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,11 +42,26 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
+
+
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_gga.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
+
+
+@query
+def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_binary.write_and_read(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
