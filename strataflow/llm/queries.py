@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe_codec, packing_gga, pii, quality_qda, simhash_anchor, suffix_dedup, token_binary
+from strataflow.llm import bpe_codec, packing_gga, pii, quality_qda, quality_rules, simhash_anchor, suffix_dedup, token_binary, topk_nra
 from strataflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
 
 
+@query
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_nra.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
@@ -62,6 +67,11 @@ def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.write_and_read(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
