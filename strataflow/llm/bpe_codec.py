@@ -134,8 +134,9 @@ def round_trip(docs: DataFrame, ranks_file: str) -> DataFrame:
     Null and empty texts have no ids. ``docs`` is read more than once in one job, so it should be
     a table or what ``stored`` returns. Every row is its own document, whatever its doc_id.
     """
-    n = width_for(docs)
-    chunks = texts_of(docs).mapInArrow(_split(max(16, 2 * n)), "chunk long, body binary").repartition(n, "chunk")
+    # Both sides of the join below have as many partitions, so chunks move once.
+    n = max(width_for(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chunks = texts_of(docs).mapInArrow(_split(max(16, 2 * width_for(docs))), "chunk long, body binary").repartition(n, "chunk")
     sent = chunks.mapInArrow(_send, "bucket int, chunk long, words binary").groupBy("bucket").agg(F.collect_list(F.struct("chunk", "words")).alias("parts"))
     told = sent.mapInArrow(_encode(ranks_file), "chunk long, bucket int, ids binary").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ids")).alias("told"))
     both = chunks.join(told, "chunk", "left").select("chunk", "body", "told")

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe_codec, packing_gga, pii, quality_qda, quality_rules, simhash_anchor, suffix_dedup, token_binary, topk_nra
+from strataflow.llm import bpe_codec, packing_gga, paragraph_dedup, pii, quality_qda, quality_rules, simhash_anchor, suffix_dedup, token_binary, topk_nra
 from strataflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.write_and_read(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+@query
+def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.cut_paragraphs(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

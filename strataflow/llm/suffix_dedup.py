@@ -40,8 +40,8 @@ _LAST = np.iinfo(np.int64).max
 _U = np.uint64
 
 _CHUNK = pa.schema([("chunk", pa.int64()), ("body", pa.binary())])
-_SENT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("names", pa.binary())])
-_TOLD = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("bits", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("names", pa.binary())])
+_TOLD = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("bits", pa.binary())])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,8 +65,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _body(held: list[tuple]) -> bytes:
+    held = sorted(held, key=lambda h: h[0])
     ids, nulls = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.uint8)
-    return pack(ids, nulls, np.array([len(h[2]) for h in held], np.int64), b"".join(h[2] for h in held), level=3)
+    return pack(ids, nulls, np.array([len(h[2]) for h in held], np.int64), b"".join(h[2] for h in held), level=5)
 
 
 class _Text:
@@ -119,7 +120,10 @@ class _Sorted:
         names = text.names(self.at, SAMPLE, 1)
         self.bucket = ((names >> _U(40)) % _U(buckets)).astype(np.int32)
         low = names & _U((1 << (8 * width)) - 1) if width < 8 else names
-        self.order = np.lexsort((low, self.bucket))
+        if width <= 5:
+            self.order = np.argsort(self.bucket.astype(np.uint64) << _U(8 * width) | low)
+        else:
+            self.order = np.lexsort((low, self.bucket))
         b, k = self.bucket[self.order], low[self.order]
         new = np.ones(len(k), bool)
         new[1:] = (b[1:] != b[:-1]) | (k[1:] != k[:-1])
@@ -207,31 +211,54 @@ class _Candidates:
         n = len(text.raw)
         open_ = ahead[PERIOD : PERIOD + n] > ahead[:n]
         for i, (a, e) in enumerate(zip(text.starts[:-1].tolist(), text.starts[1:].tolist(), strict=True)):
-            open_[e if self.copy[i] else max(a, e - LENGTH + 1) : e] = False
-            if self.copy[i]:
-                open_[a:e] = False
+            open_[a if self.copy[i] else max(a, e - LENGTH + 1) : e] = False
         self.at = np.nonzero(open_)[0]
-        self.high = text.names(self.at, LENGTH, 2)
+
+
+class _Buckets:
+    """Suffixes at the positions, dealt to buckets; within one they keep their order."""
+
+    def __init__(self, text: _Text, at: np.ndarray, buckets: int):
+        self.at, self.high = at, text.names(at, LENGTH, 2)
         bucket = (self.high % _U(buckets)).astype(np.int32)
         self.order = np.argsort(bucket, kind="stable")
         self.edges = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
 
 
+def _settled(text: _Text, at: np.ndarray) -> np.ndarray:
+    """Which of the positions tie with one of a smaller document in the chunk: they are decided here and aren't sent."""
+    low, high = text.names(at, LENGTH, 3), text.names(at, LENGTH, 2)
+    doc = text.ids[np.searchsorted(text.starts, at, side="right") - 1]
+    order = np.argsort(low, kind="stable")
+    new = np.ones(len(at), bool)
+    new[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
+    first = doc[order][new][np.cumsum(new) - 1]
+    out = np.empty(len(at), bool)
+    out[order] = doc[order] > first
+    return out
+
+
 def _told(parts) -> dict[int, bytes]:
     return {p["bucket"]: p["bits"] for p in parts or []}
 
 
 def _send_suffixes(buckets: int, width: int, name_bytes: int):
-    def sent(body: bytes, told: dict[int, bytes]) -> Iterator[tuple]:
+    def sent(chunk: int, body: bytes, told: dict[int, bytes]) -> Iterator[tuple]:
         text = _Text(body)
         c = _Candidates(text, told, buckets, width)
-        low = text.names(c.at, LENGTH, 3)
-        doc = np.searchsorted(text.starts, c.at, side="right") - 1
+        settled = _settled(text, c.at)
+        mine, gone = np.zeros(len(text.raw), bool), np.zeros(len(text.raw), bool)
+        mine[c.at[~settled]], gone[c.at[settled]] = True, True
+        # The chunk's own state goes round in a bucket of its own: what was sent, what is settled.
+        yield -1 - chunk, pack(np.packbits(mine), np.packbits(gone), c.copy)
+        s = _Buckets(text, c.at[~settled], buckets)
+        low = text.names(s.at, LENGTH, 3)
+        doc = np.searchsorted(text.starts, s.at, side="right") - 1
         for b in range(buckets):
-            own = c.order[c.edges[b] : c.edges[b + 1]]
+            own = s.order[s.edges[b] : s.edges[b + 1]]
             if len(own):
                 docs, counts = np.unique(doc[own], return_counts=True)
-                more = planes(c.high[own] >> _U(32), name_bytes - 8) if name_bytes > 8 else b""
+                more = planes(s.high[own] >> _U(32), name_bytes - 8) if name_bytes > 8 else b""
                 yield b, pack(planes(low[own], min(name_bytes, 8)), more, text.ids[docs], counts.astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +266,7 @@ def _send_suffixes(buckets: int, width: int, name_bytes: int):
             (b, c.as_py(), x)
             for batch in batches
             for c, body, parts in zip(batch.column(0), batch.column(1), batch.column(2), strict=True)
-            for b, x in sent(body.as_py(), _told(parts.as_py()))
+            for b, x in sent(c.as_py(), body.as_py(), _told(parts.as_py()))
         )
         yield from rows_to_batches(rows, _SENT)
 
@@ -250,6 +277,9 @@ def _rank_suffixes(name_bytes: int):
     """One bucket, sorted by name: which suffixes tie with one of a smaller document."""
 
     def told(bucket: int, parts: list[dict]) -> Iterator[tuple]:
+        if bucket < 0:
+            yield from ((part["chunk"], -1, part["names"]) for part in parts)
+            return
         lows, highs, docs = [], [], []
         for part in parts:
             low, more, ids, counts = unpack(part["names"], bytes, bytes, np.int64, np.int32)
@@ -279,30 +309,29 @@ def _rank_suffixes(name_bytes: int):
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
-def _removals(buckets: int, width: int):
-    def removed(body: bytes, told: dict[int, bytes], ties: dict[int, bytes]) -> Iterator[tuple]:
+def _removals(buckets: int):
+    def removed(body: bytes, ties: dict[int, bytes]) -> Iterator[tuple]:
         text = _Text(body)
-        c = _Candidates(text, told, buckets, width)
-        change = np.zeros(len(text.raw) + LENGTH + 1, np.int32)
+        n = len(text.raw)
+        mine, settled, copy = unpack(ties.pop(-1), np.uint8, np.uint8, bool)
+        s = _Buckets(text, np.nonzero(np.unpackbits(mine, count=n))[0], buckets)
+        change = np.zeros(n + LENGTH + 1, np.int32)
+        hits = [np.nonzero(np.unpackbits(settled, count=n))[0]]
         for b, bits in ties.items():
-            own = c.at[c.order[c.edges[b] : c.edges[b + 1]]]
-            hit = own[np.unpackbits(unpack(bits, np.uint8)[0], count=len(own)).astype(bool)]
+            own = s.at[s.order[s.edges[b] : s.edges[b + 1]]]
+            hits.append(own[np.unpackbits(unpack(bits, np.uint8)[0], count=len(own)).astype(bool)])
+        for hit in hits:
             change[hit] += 1
-            change[hit + LENGTH] -= 1
-        gone = np.cumsum(change)[: len(text.raw)] > 0
+        change[LENGTH:] -= change[:-LENGTH].copy()
+        gone = np.cumsum(change)[:n] > 0
         data = np.frombuffer(text.raw, np.uint8)
         for i, (a, e) in enumerate(zip(text.starts[:-1].tolist(), text.starts[1:].tolist(), strict=True)):
-            own = np.ones(e - a, bool) if c.copy[i] else gone[a:e]
+            own = np.ones(e - a, bool) if copy[i] else gone[a:e]
             spans = int(np.count_nonzero(np.diff(own.astype(np.int8), prepend=np.int8(0)) == 1))
             yield (None if text.nulls[i] else int(text.ids[i])), e - a, int(own.sum()), spans, data[a:e][~own].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (
-            r
-            for batch in batches
-            for body, told, ties in zip(batch.column(1), batch.column(2), batch.column(3), strict=True)
-            for r in removed(body.as_py(), _told(told.as_py()), _told(ties.as_py()))
-        )
+        rows = (r for batch in batches for body, ties in zip(batch.column(1), batch.column(2), strict=True) for r in removed(body.as_py(), _told(ties.as_py())))
         yield from rows_to_batches(rows, _RESULT)
 
     return run
@@ -324,23 +353,24 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     table or what ``stored`` returns. Kept bytes may end within a character: see ``keep_text``.
     """
     total = max(3 * input_bytes(docs), 1 << 20)
-    n = width_for(docs)
-    buckets = max(16, 4 * n)
+    # Both sides of the joins below have as many partitions, so chunks move once.
+    n = max(width_for(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(16, 4 * width_for(docs))
     width = min(8, max(4, math.ceil((math.log2(total) + 8 - math.log2(buckets)) / 8)))
     name = _name_bytes(total, buckets)
     chunks = texts_of(docs).mapInArrow(_chunks, "chunk long, body binary").repartition(n, "chunk")
 
     def exchange(sent: DataFrame, rank) -> DataFrame:
         by = sent.groupBy("bucket").agg(F.collect_list(F.struct("chunk", "names")).alias("parts"))
-        told = by.mapInArrow(rank, "chunk long, bucket int, bits binary")
+        told = by.mapInArrow(rank, "chunk long, bucket long, bits binary")
         return told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("told"))
 
-    sent = "bucket int, chunk long, names binary"
+    sent = "bucket long, chunk long, names binary"
     ranks = exchange(chunks.mapInArrow(_send_samples(buckets, width), sent), _rank_samples(width))
     ranked = chunks.join(ranks, "chunk", "left").select("chunk", "body", "told")
     ties = exchange(ranked.mapInArrow(_send_suffixes(buckets, width, name), sent), _rank_suffixes(name))
-    both = ranked.join(ties.withColumnRenamed("told", "ties"), "chunk", "left").select("chunk", "body", "told", "ties")
-    return both.mapInArrow(_removals(buckets, width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    both = chunks.join(ties, "chunk", "left").select("chunk", "body", "told")
+    return both.mapInArrow(_removals(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:
