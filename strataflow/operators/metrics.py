@@ -18,10 +18,13 @@ from pyspark.sql.window import Window
 
 POSITIVE_AT = 4
 POINTS = 10_000
+# Sums of so many points stay within 64 bits up to 9e10 rows.
+EXACT_BELOW = 10_000
 
 
 def _points(rating: str) -> Column:
-    return F.rint(F.col(rating) * POINTS)
+    """Whole ten-thousandths; none of a value beyond ``EXACT_BELOW``, which counts as remainder, in the order of addition."""
+    return F.when(F.abs(F.col(rating)) < EXACT_BELOW, F.rint(F.col(rating) * POINTS)).otherwise(0.0)
 
 
 def _beyond(rating: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.plans.entities import ENTITIES
 from strataflow.plans.gold import MODELS, Model, Thresholds, in_order
 from strataflow.plans.incremental import read_cleaned, read_features
-from strataflow.session import apply_defaults, size_shuffle
+from strataflow.session import apply_defaults, sized_shuffle
 from strataflow.sources.catalog import register_snapshot
 from strataflow.sources.files import drop_path, new_scratch, path_exists, size_of
 from strataflow.sources.versions import drop_older, next_version, read_since, write_version
@@ -85,7 +85,13 @@ def build(
     """
     apply_defaults(spark)
     silver = f"{base}/silver"
-    size_shuffle(spark, size_of(spark, [silver]) if path_exists(spark, silver) else 0)
+    with sized_shuffle(spark, size_of(spark, [silver]) if path_exists(spark, silver) else 0):
+        return _build(spark, base, select, thresholds, database, threads)
+
+
+def _build(
+    spark: SparkSession, base: str, select: str | None, thresholds: Thresholds, database: str | None, threads: int
+) -> dict[str, str]:
     scratch = new_scratch(spark, "gold-build")
 
     def store(name: str, df: DataFrame) -> DataFrame:

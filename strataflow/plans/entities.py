@@ -33,7 +33,6 @@ class Entity:
     features_schema: str
     merge_keys_cleaned: tuple[str, ...]
     merge_keys_features: tuple[str, ...]
-    partition_features: tuple[str, ...] = ()
     bound: tuple[str, ...] = ()
     bronze_schema: str | None = None
     uses_clock: bool = False
@@ -50,6 +49,15 @@ class Entity:
     def features_path(self, base: str) -> str:
         return f"{base}/silver/features/{self.table_features}"
 
+    @property
+    def order_cleaned(self) -> tuple[str, ...]:
+        """Time first, then the rest of the key, which splits a day that holds most rows."""
+        return (*self.bound, *(c for c in self.merge_keys_cleaned if c not in self.bound)) if self.bound else ()
+
+    @property
+    def order_features(self) -> tuple[str, ...]:
+        return (*self.bound, *(c for c in self.merge_keys_features if c not in self.bound)) if self.bound else ()
+
     def build_cleaned(self, df: DataFrame) -> DataFrame:
         return self.clean(df, **self.clean_options)
 
@@ -84,7 +92,6 @@ RATINGS = Entity(
     features_schema=ratings.FEATURES_SCHEMA,
     merge_keys_cleaned=tuple(ratings.KEYS),
     merge_keys_features=tuple(ratings.KEYS),
-    partition_features=("event_date",),
     bound=("event_timestamp",),
     uses_clock=True,
     run_features=False,
@@ -102,7 +109,6 @@ BELIEF = Entity(
     features_schema=belief.FEATURES_SCHEMA,
     merge_keys_cleaned=tuple(belief.KEYS),
     merge_keys_features=tuple(belief.KEYS),
-    partition_features=("event_date",),
     bound=("event_timestamp",),
 )
 
@@ -118,7 +124,6 @@ ELICITATION = Entity(
     features_schema=elicitation.FEATURES_SCHEMA,
     merge_keys_cleaned=tuple(elicitation.KEYS),
     merge_keys_features=tuple(elicitation.KEYS),
-    partition_features=("event_date",),
     bound=("event_timestamp",),
     uses_clock=True,
 )
@@ -136,7 +141,6 @@ RECOMMENDATIONS = Entity(
     features_schema=recommendations.FEATURES_SCHEMA,
     merge_keys_cleaned=tuple(recommendations.KEYS),
     merge_keys_features=tuple(recommendations.KEYS),
-    partition_features=("event_date",),
     bound=("event_timestamp",),
 )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strataflow.plans.entities import Entity
-from strataflow.session import apply_defaults, shuffle_width, size_shuffle
+from strataflow.session import apply_defaults, shuffle_width, sized_shuffle
 from strataflow.sources.catalog import get_checkpoint, register_table, set_checkpoint
 from strataflow.sources.files import drop_path, new_scratch, path_exists, size_of
 from strataflow.sources.versions import (
@@ -41,7 +41,7 @@ def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: Data
     """
     path = entity.cleaned_path(base)
     if not committed_versions(spark, path):
-        insert_only_merge(cleaned, path, entity.merge_keys_cleaned, version)
+        insert_only_merge(cleaned, path, entity.merge_keys_cleaned, version, order_by=entity.order_cleaned)
         return read_versions(spark, path, [version], entity.cleaned_schema), None
     scratch = new_scratch(spark, f"{entity.name}-batch")
     cleaned.write.parquet(scratch)
@@ -51,29 +51,48 @@ def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: Data
         path,
         entity.merge_keys_cleaned,
         version,
+        order_by=entity.order_cleaned,
         bound=entity.bound,
         schema=entity.cleaned_schema,
     )
     return batch, scratch
 
 
-def _size_run(spark: SparkSession, entity: Entity, base: str, last: int | None) -> int:
-    """Set the shuffle width for the new rows and the tables they are merged into.
-
-    Returns the tasks that the new rows alone need.
-    """
+def _bytes_of_run(spark: SparkSession, entity: Entity, base: str, last: int | None) -> tuple[int, int]:
+    """Bytes of the new rows, and of those and the tables they are merged into."""
     bronze = entity.bronze_path(base)
     new = [v for v in committed_versions(spark, bronze) if last is None or v > last]
     added = size_of(spark, [version_path(bronze, v) for v in new])
     targets = [p for p in (entity.cleaned_path(base), entity.features_path(base)) if path_exists(spark, p)]
-    size_shuffle(spark, added + size_of(spark, targets))
-    return shuffle_width(added, spark.sparkContext.defaultParallelism)
+    return added, added + size_of(spark, targets)
+
+
+def _backfill_features(spark: SparkSession, entity: Entity, base: str, as_of: Column | None) -> int | None:
+    """Features of everything cleaned, where none were built yet: they were switched on later, or the first run broke off.
+
+    Returns the bronze version the silver tables are then complete up to.
+    """
+    if not (entity.run_cleaned and entity.run_features) or committed_versions(spark, entity.features_path(base)):
+        return last_processed(spark, entity, base)
+    version = latest_version(spark, entity.cleaned_path(base))
+    if version is not None:
+        cleaned = read_cleaned(spark, entity, base)
+        insert_only_merge(
+            entity.build_features(cleaned, as_of),
+            entity.features_path(base),
+            entity.merge_keys_features,
+            version,
+            order_by=entity.order_features,
+            schema=entity.features_schema,
+        )
+    return version
 
 
 def _process(
     spark: SparkSession, entity: Entity, base: str, last: int | None, current: int, as_of: Column | None
 ) -> bool:
-    tasks = _size_run(spark, entity, base, last)
+    added, _ = _bytes_of_run(spark, entity, base, last)
+    tasks = shuffle_width(added, spark.sparkContext.defaultParallelism)
     raw = read_since(spark, entity.bronze_path(base), last, entity.snapshot, entity.bronze_schema)
     if raw.isEmpty():
         return False
@@ -90,8 +109,8 @@ def _process(
                 entity.features_path(base),
                 entity.merge_keys_features,
                 current,
-                partition_by=entity.partition_features,
-                bound=entity.bound + entity.partition_features,
+                order_by=entity.order_features,
+                bound=entity.bound,
                 schema=entity.features_schema,
                 tasks=tasks,
             )
@@ -105,18 +124,17 @@ def _register(spark: SparkSession, entity: Entity, base: str, database: str, ver
     """Bring the catalog up to ``version``: whatever it does not show yet, as a registration may have failed."""
     tables = []
     if entity.run_features:
-        parts = entity.partition_features
-        tables.append((entity.table_features, entity.features_path(base), entity.features_schema, parts))
+        tables.append((entity.table_features, entity.features_path(base), entity.features_schema))
     if entity.run_cleaned:
-        tables.append((entity.table_cleaned, entity.cleaned_path(base), entity.cleaned_schema, ()))
+        tables.append((entity.table_cleaned, entity.cleaned_path(base), entity.cleaned_schema))
     # The checkpoint is on the table registered last, so that it stands for both.
     marked = f"{database}.{tables[-1][0]}"
     shown = get_checkpoint(spark, marked)
     if shown == version:
         return
-    for name, path, schema, parts in tables:
+    for name, path, schema in tables:
         new = [v for v in committed_versions(spark, path) if shown is None or v > shown]
-        register_table(spark, f"{database}.{name}", path, StructType.fromDDL(schema), parts, new)
+        register_table(spark, f"{database}.{name}", path, StructType.fromDDL(schema), new)
     set_checkpoint(spark, marked, version)
 
 
@@ -137,13 +155,14 @@ def run_incremental(
     apply_defaults(spark)
     bronze = entity.bronze_path(base)
     current = latest_version(spark, bronze)
-    last = last_processed(spark, entity, base)
     if current is None:
         raise ValueError(f"nothing loaded under {bronze}")
-    if last is not None and last >= current:
-        status = "UP_TO_DATE"
-    else:
-        status = "OK" if _process(spark, entity, base, last, current, as_of) else "EMPTY"
+    with sized_shuffle(spark, _bytes_of_run(spark, entity, base, last_processed(spark, entity, base))[1]):
+        last = _backfill_features(spark, entity, base, as_of)
+        if last is not None and last >= current:
+            status = "UP_TO_DATE"
+        else:
+            status = "OK" if _process(spark, entity, base, last, current, as_of) else "EMPTY"
     if database and status != "EMPTY":
         _register(spark, entity, base, database, current)
     return {"status": status, "elapsed": time.monotonic() - started}

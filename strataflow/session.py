@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings; all can be changed on a live session, so the jobs can
@@ -19,10 +23,12 @@ SQL_DEFAULTS = {
 
 MB = 1024 * 1024
 TARGET_PARTITION_BYTES = 128 * MB
-# Beyond these a shuffle consists of too many small blocks: partitions grow and spill instead.
+# What the driver can keep track of: beyond these partitions and tasks grow (and spill) instead. Both
+# are arguments of the functions below, and a warning says when one binds.
 MAX_SHUFFLE_PARTITIONS = 50_000
 MAX_SCAN_TASKS = 200_000
-MAX_SCAN_BYTES = 1024 * MB
+
+log = logging.getLogger(__name__)
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
@@ -45,23 +51,33 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shuffle_width(input_bytes: int, cores: int) -> int:
-    """Partitions to start a shuffle with: about 128 MB each, at least one per core.
+def shuffle_width(input_bytes: int, cores: int, most: int = MAX_SHUFFLE_PARTITIONS) -> int:
+    """Partitions to start a shuffle with: about 128 MB each, at least one per core, ``most`` at most.
 
     Adaptive execution merges partitions that turn out small but cannot widen a
     shuffle, so the estimate leans high: it takes compressed input at 3x.
     """
     wanted = -(-3 * input_bytes // TARGET_PARTITION_BYTES)
-    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    if wanted > most:
+        log.warning("a shuffle of %d partitions is held to %d; load in several bronze versions instead", wanted, most)
+    return max(cores, min(wanted, most))
 
 
-def scan_bytes(input_bytes: int) -> int:
-    """Bytes a scan task reads: 128 MB, more once that would give too many tasks."""
-    return min(max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS)), MAX_SCAN_BYTES)
+def scan_bytes(input_bytes: int, most_tasks: int = MAX_SCAN_TASKS) -> int:
+    """Bytes a scan task reads: 128 MB, more once that would give more than ``most_tasks`` tasks."""
+    return max(TARGET_PARTITION_BYTES, -(-input_bytes // most_tasks))
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
+@contextmanager
+def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Within the block the session's shuffles and scans suit the input; after it they are as before."""
     width = shuffle_width(input_bytes, spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes(input_bytes)))
-    return width
+    wanted = {"spark.sql.shuffle.partitions": str(width), "spark.sql.files.maxPartitionBytes": str(scan_bytes(input_bytes))}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield width
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from strataflow.sources.files import glob_paths
 from strataflow.sources.versions import VERSION_COL, committed_versions, version_path
 
 PARTITIONS_PER_STATEMENT = 500
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 CHECKPOINT_PROPERTY = "silver.last_bronze_version"
 
 
@@ -26,66 +23,39 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def register_snapshot(spark: SparkSession, table: str, path: str, version: int) -> None:
-    """Point a table at one version: its content and columns are replaced in one step."""
+    """Point a table at one version. With the same columns the table only moves, so readers always find it."""
     ensure_database(spark, table.rsplit(".", 1)[0])
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{version_path(path, version)}'")
-
-
-def _partition_specs(
-    spark: SparkSession, path: str, versions: Sequence[int], partition_by: Sequence[str]
-) -> list[str]:
-    """``PARTITION (…)`` of every folder the versions consist of."""
-    if not partition_by:
-        return [f"PARTITION ({VERSION_COL} = {v})" for v in versions]
-    specs = []
-    for v in versions:
-        for folder in glob_paths(spark, version_path(path, v) + "/*=*" * len(partition_by)):
-            values = [unquote(part.split("=", 1)[1]) for part in folder.split("/")[-len(partition_by) :]]
-            literals = ["null" if x == NULL_FOLDER else "'" + x.replace("'", "\\'") + "'" for x in values]
-            pairs = [f"`{c}` = {x}" for c, x in zip(partition_by, literals)]
-            specs.append(f"PARTITION ({VERSION_COL} = {v}, {', '.join(pairs)})")
-    return specs
+    location = version_path(path, version)
+    if table_exists(spark, table):
+        if spark.table(table).schema == spark.read.parquet(location).schema:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
 
 
 def register_table(
-    spark: SparkSession,
-    table: str,
-    path: str,
-    schema: StructType,
-    partition_by: Sequence[str] = (),
-    versions: Sequence[int] | None = None,
+    spark: SparkSession, table: str, path: str, schema: StructType, versions: Sequence[int] | None = None
 ) -> None:
     """Make versions of an appended folder, by default all committed, readable as an external table.
 
-    The version and the partition columns, as the folders nest, follow the others.
-    The table is declared anew, with all versions, when the columns differ; files
-    are never touched. Only the folders of the versions added are looked at, and
-    those the table has already are left alone.
+    The version follows the other columns. The table is declared anew, with all versions, when the columns
+    differ; files are never touched. Versions that are not committed are never added.
     """
     ensure_database(spark, table.rsplit(".", 1)[0])
-    types = {f.name: f.dataType.simpleString() for f in schema} | {VERSION_COL: "int"}
-    parts = [VERSION_COL, *partition_by]
-    columns = [c for c in types if c not in parts] + parts
-    if table_exists(spark, table) and spark.table(table).columns != columns:
+    types = {f.name: f.dataType.simpleString() for f in schema if f.name != VERSION_COL} | {VERSION_COL: "int"}
+    if table_exists(spark, table) and spark.table(table).columns != list(types):
         spark.sql(f"DROP TABLE {table}")
     fresh = not table_exists(spark, table)
     if fresh:
-        declared = ", ".join(f"`{c}` {types[c]}" for c in columns)
-        spark.sql(
-            f"CREATE TABLE {table} ({declared}) USING parquet "
-            f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) LOCATION '{path}'"
-        )
-    if fresh and partition_by:
-        # Everything has to be listed, which this does in parallel.
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    else:
-        if fresh or versions is None:
-            versions = committed_versions(spark, path)
-        specs = _partition_specs(spark, path, versions, partition_by)
-        for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
-            added = " ".join(specs[i : i + PARTITIONS_PER_STATEMENT])
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+        declared = ", ".join(f"`{c}` {t}" for c, t in types.items())
+        spark.sql(f"CREATE TABLE {table} ({declared}) USING parquet PARTITIONED BY ({VERSION_COL}) LOCATION '{path}'")
+    committed = committed_versions(spark, path)
+    added = committed if fresh or versions is None else [v for v in versions if v in set(committed)]
+    specs = [f"PARTITION ({VERSION_COL} = {v})" for v in added]
+    for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs[i : i + PARTITIONS_PER_STATEMENT])}")
     spark.catalog.refreshTable(table)
 
 

@@ -25,6 +25,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Matching paths, fully qualified, in name order."""
     fs, p = _fs(spark, pattern)

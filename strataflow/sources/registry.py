@@ -28,8 +28,10 @@ def name_schemas(
 ) -> dict[str, list[str]]:
     """Names for column lists in order of arrival; an equal ordered list keeps its first name."""
     schemas = {name: list(cols) for name, cols in (known or {}).items()}
+    named = {tuple(cols) for cols in schemas.values()}
     for wanted, cols in proposals:
-        if list(cols) not in schemas.values():
+        if tuple(cols) not in named:
+            named.add(tuple(cols))
             schemas[_free_name(wanted, schemas)] = list(cols)
     return schemas
 
@@ -41,14 +43,17 @@ def canonical_schemas(
 
     Files with the same ordered columns share the name proposed by the first of
     them; a name already used for other columns gets ``_1``, ``_2``, …. A file in
-    ``known`` keeps its entry unless ``force_refresh``. Files are reduced to their
+    ``known`` keeps its entry unless ``force_refresh`` and ``headers`` has it anew; entries of files that are not in
+    ``headers`` always stay, so the result can be saved in the place of ``known``. Files are reduced to their
     distinct column lists before anything leaves the executors.
     """
     mapped, kept, registered = headers, None, {}
     if known is not None:
         registered = registered_schemas(known)
-        if not force_refresh:
-            kept = headers.select("file_path").join(known, "file_path")
+        if force_refresh:
+            kept = known.join(headers.select("file_path"), "file_path", "left_anti")
+        else:
+            kept = known
             mapped = headers.join(known.select("file_path"), "file_path", "left_anti")
     first_seen = (
         mapped.groupBy("columns")

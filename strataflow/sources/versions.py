@@ -10,15 +10,18 @@ repeatable loads without a transactional table format.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from strataflow.sources.files import drop_path, glob_paths
 
 VERSION_COL = "_version"
-ROWS_PER_FILE = 5_000_000
+#: Stretches of days a merge looks for in its target; between them nothing is read.
+MAX_STRETCHES = 8
 
 
 def version_path(path: str, version: int) -> str:
@@ -40,58 +43,20 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if latest is None else latest + 1
 
 
-def spread_partitions(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    rows_per_file: int,
-    sizes_of: DataFrame | None = None,
-    tasks: int | None = None,
-) -> DataFrame:
-    """Rows of a partition value together, in one task per ``rows_per_file`` of them.
-
-    Sizes are counted in ``sizes_of``, any cheaper table that holds no fewer rows
-    per value; by default in ``df`` itself. Only values that need more than one task are looked up, at most one per
-    ``rows_per_file`` rows written; that bounds what is broadcast. The piece of a
-    row follows from its content, so a task that is run again gives the same rows.
-    """
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = df if sizes_of is None else sizes_of
-    sizes = counted.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-    pieces = F.ceil(F.col("_rows") / rows_per_file)
-    large = sizes.where(F.col("_rows") > rows_per_file).select(
-        *[F.col(c).alias(f"_large_{c}") for c in partition_by], pieces.alias("_pieces")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in partition_by]
-    piece = F.pmod(F.xxhash64(*df.columns), F.coalesce("_pieces", F.lit(1).cast("bigint")))
-    return (
-        df.join(F.broadcast(large), same, "left")
-        .withColumn("_piece", piece)
-        .repartition(tasks, *partition_by, "_piece")
-        .select(*df.columns)
-    )
-
-
 def write_version(
-    df: DataFrame,
-    path: str,
-    version: int,
-    partition_by: Sequence[str] = (),
-    rows_per_file: int = ROWS_PER_FILE,
-    sizes_of: DataFrame | None = None,
-    tasks: int | None = None,
+    df: DataFrame, path: str, version: int, order_by: Sequence[str] = (), tasks: int | None = None
 ) -> None:
     """Write one version, replacing an earlier attempt at it.
 
-    A partitioned write first sees how many rows each partition value has (see
-    ``spread_partitions``): few files per value, yet no task is left with all rows
-    of a value that holds most of them.
+    With ``order_by`` the rows are dealt to ``tasks`` tasks (by default as many as a shuffle has
+    partitions) by ranges of these columns and sorted, so that files and row groups
+    hold tight ranges and a reader skips what it does not ask for. A value that holds most rows is
+    split where the further columns differ.
     """
-    if partition_by:
-        df = spread_partitions(df, partition_by, rows_per_file, sizes_of, tasks)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(version_path(path, version))
+    if order_by:
+        tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(tasks, *order_by).sortWithinPartitions(*order_by)
+    df.write.mode("overwrite").parquet(version_path(path, version))
 
 
 def read_versions(
@@ -165,16 +130,38 @@ def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFr
     return batch.join(known, list(keys), "left_anti")
 
 
+def day_stretches(batch: DataFrame, column: str, most: int = MAX_STRETCHES) -> list[tuple[date, date]]:
+    """First and last day of the ``most`` stretches that cover a time column with the widest gaps between them.
+
+    One row per day of the batch is ordered; ``most`` rows at most reach the driver.
+    """
+    days = batch.select(F.to_date(column).alias("day")).where("day IS NOT NULL").distinct()
+    ends = days.agg(F.min("day"), F.max("day")).first()
+    if ends[0] is None:
+        return []
+    gaps = days.withColumn("before", F.lag("day").over(Window.orderBy("day"))).where("datediff(day, before) > 1")
+    widest = gaps.orderBy(F.datediff("day", "before").desc(), "day").limit(most - 1).collect()
+    starts = sorted([ends[0], *(r["day"] for r in widest)])
+    stops = sorted([ends[1], *(r["before"] for r in widest)])
+    return list(zip(starts, stops))
+
+
 def _within_batch_range(batch: DataFrame, target: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Target rows inside the batch's range of ``cols``, columns that follow from the key.
+    """Target rows inside the batch's stretches of ``cols``, columns that follow from the key.
 
-    Exact, as equal keys share these values; lets the scan skip partitions and row
-    groups. The range stays a subquery, so nothing is read before the merge runs.
+    Exact, as equal keys share these values. Times are narrowed to stretches of days, so one late row opens
+    its own day and not the whole time up to it; other columns to their range.
     """
     for c in cols:
-        low = batch.agg(F.min(c)).scalar()
-        high = batch.agg(F.max(c)).scalar()
-        target = target.where((F.col(c) >= low) & (F.col(c) <= high))
+        if isinstance(target.schema[c].dataType, (TimestampType, TimestampNTZType, DateType)):
+            kind = target.schema[c].dataType.simpleString()
+            day = lambda d: F.lit(d).cast(kind)  # noqa: E731, B023
+            inside = [(F.col(c) >= day(a)) & (F.col(c) < day(b + timedelta(days=1))) for a, b in day_stretches(batch, c)]
+            target = target.where(reduce(Column.__or__, inside, F.lit(False)))
+        else:
+            low = batch.agg(F.min(c)).scalar()
+            high = batch.agg(F.max(c)).scalar()
+            target = target.where((F.col(c) >= low) & (F.col(c) <= high))
     return target
 
 
@@ -183,7 +170,7 @@ def insert_only_merge(
     path: str,
     keys: Sequence[str],
     version: int,
-    partition_by: Sequence[str] = (),
+    order_by: Sequence[str] = (),
     bound: Sequence[str] = (),
     schema: str | None = None,
     tasks: int | None = None,
@@ -193,8 +180,8 @@ def insert_only_merge(
     Creates the table when there is none and appends everything when ``keys`` is
     empty. Existing rows are never changed. ``bound`` names columns, fixed by the
     key, by which the target is narrowed to the batch's range; it makes the merge
-    read ``batch`` more than once, so pass a stored one. ``tasks`` is how many write
-    a partitioned table; by default as many as a shuffle has partitions.
+    read ``batch`` more than once, so pass a stored one. ``order_by`` and ``tasks``
+    are those of ``write_version``.
     """
     spark = batch.sparkSession
     others = [v for v in committed_versions(spark, path) if v != version]
@@ -202,4 +189,4 @@ def insert_only_merge(
     if keys and others:
         target = read_versions(spark, path, others, schema)
         rows = new_rows(batch, _within_batch_range(batch, target, bound), keys)
-    write_version(rows, path, version, partition_by, sizes_of=batch, tasks=tasks)
+    write_version(rows, path, version, order_by, tasks)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable, Mapping
 
@@ -13,9 +14,10 @@ from pyspark.storagelevel import StorageLevel
 
 from strataflow.operators import stamp_audit
 from strataflow.session import apply_defaults
-from strataflow.sources.catalog import register_table
+from strataflow.sources.catalog import get_checkpoint, register_table, set_checkpoint
+from strataflow.sources.files import first_line, glob_paths, make_folder
 from strataflow.sources.messages import TOPIC_PREFIX, dead_letters, parse_messages, schema_name_of
-from strataflow.sources.versions import write_version
+from strataflow.sources.versions import VERSION_COL, committed_versions, latest_version, write_version
 
 log = logging.getLogger(__name__)
 
@@ -32,13 +34,38 @@ def quarantine_path(base: str) -> str:
 
 
 def _try_register(table: str, path: str, rows: DataFrame, version: int) -> None:
-    """The rows are stored by now; a catalog that is away must not stop the stream."""
+    """Show this batch and those whose registration failed before.
+
+    The rows are stored by now; a catalog that is away must not stop the stream.
+    """
+    spark = rows.sparkSession
     try:
-        register_table(rows.sparkSession, table, path, rows.schema, versions=[version])
+        shown = get_checkpoint(spark, table)
+        new = [v for v in committed_versions(spark, path) if shown is None or v > shown]
+        register_table(spark, table, path, rows.schema, new)
+        set_checkpoint(spark, table, max([version, *new]))
     except Exception:
         log.warning("could not register %s", table, exc_info=True)
 
 
+def first_version_of(spark: SparkSession, base: str, checkpoint: str) -> int:
+    """The number that batch 0 of the query with this checkpoint has under ``base``.
+
+    A query is known by the id in its checkpoint. Its number is fixed, in a folder's name, before it first writes, beyond
+    all versions there are; so a query with another checkpoint adds to what is there, and a replay finds its own batches.
+    """
+    query = json.loads(first_line(spark, f"{checkpoint}/metadata"))["id"]
+    known = f"{base}/streaming_queries/{query}"
+    found = glob_paths(spark, f"{known}/first=*")
+    if found:
+        return int(found[0].rsplit("=", 1)[1])
+    folders = {m.rsplit("/", 2)[0] for m in glob_paths(spark, f"{base}/streaming/*/{VERSION_COL}=*/_SUCCESS")}
+    latest = [latest_version(spark, f) for f in [*sorted(folders), quarantine_path(base)]]
+    first = 1 + max((v for v in latest if v is not None), default=-1)
+    make_folder(spark, f"{known}/first={first}")
+    return first
+
+
 def route_messages(
     batch: DataFrame,
     batch_id: int,
@@ -50,7 +77,7 @@ def route_messages(
 ) -> list[str]:
     """Write one micro-batch: a version per schema present, and one of rejected messages.
 
-    The version is the batch number, so a batch that is replayed after a failure
+    The version is ``batch_id``, so a batch that is replayed after a failure
     replaces its first attempt. Only the names of the schemas present come to the
     driver. Returns the schemas written.
     """
@@ -88,14 +115,17 @@ def start_bronze_stream(
     """Run the routing as a checkpointed query.
 
     ``load_registry`` is called for every batch, so a schema registered while the
-    query runs is used from the next batch on. ``checkpoint`` and ``base`` belong
-    together: batch numbers start over with a new checkpoint.
+    query runs is used from the next batch on. Several queries, or one with a new
+    checkpoint, add to the same tables; they must not run at the same time.
     """
     spark: SparkSession = apply_defaults(messages.sparkSession)
+    first: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            route_messages(batch, batch_id, load_registry(), base, source, database=database)
+            if not first:
+                first.append(first_version_of(spark, base, checkpoint))
+            route_messages(batch, first[0] + batch_id, load_registry(), base, source, database=database)
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

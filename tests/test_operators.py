@@ -128,3 +128,8 @@ def test_profile(spark):
 def test_preview(spark):
     schema, few = O.preview(spark.range(0, 100), 3)
     assert "id: long" in schema and few.count() == 3
+
+
+def test_average_of_values_beyond_the_exact_range(spark):
+    df = spark.createDataFrame([(1, 1e15), (1, 3e15), (2, 3.5)], "k int, rating double")
+    assert rows(O.rating_metrics(df, ["k"]).select("k", "avg_rating")) == [(1, 2e15), (2, 3.5)]

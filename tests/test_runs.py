@@ -204,3 +204,28 @@ def test_hot_movie_is_split_in_the_join_at_rating_grain(spark, conf):
     result = df.collect()
     assert sum(r["total_ratings"] for r in result) == 120_000
     assert "skew=true" in plan_of(df)
+
+
+def test_features_can_be_switched_on_later(spark, base):
+    from dataclasses import replace
+
+    raw, on = shapes.ratings(spark, SF), replace(RATINGS, run_features=True)
+    even = F.col("userId").cast("int") % 2 == 0
+    for n, part in enumerate((raw.where(even), raw.where(~even))):
+        versions.write_version(part, RATINGS.bronze_path(base), n)
+        run_incremental(spark, RATINGS, base, database=None)
+    cleaned = rows(read_cleaned(spark, RATINGS, base))
+    assert run_incremental(spark, on, base, database=None)["status"] == "UP_TO_DATE"
+    assert rows(read_cleaned(spark, RATINGS, base)) == cleaned
+    assert read_features(spark, on, base).count() == len(cleaned)
+    versions.write_version(raw.withColumn("userId", F.lit("7000001")), RATINGS.bronze_path(base), 2)
+    run_incremental(spark, on, base, database=None)
+    assert read_features(spark, on, base).count() == read_cleaned(spark, on, base).count() > len(cleaned)
+
+
+def test_run_leaves_the_callers_settings(spark, base):
+    versions.write_version(movie_batch(spark, (1, "A (2000)", "x")), MOVIES.bronze_path(base), 0)
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(k) for k in keys]
+    run_incremental(spark, MOVIES, base, database=None)
+    assert [spark.conf.get(k) for k in keys] == before

@@ -84,7 +84,7 @@ def test_merge_bound_narrows_the_target_without_changing_the_result(spark, base)
     target = versions.read_versions(spark, f"{base}/bound", [0], schema)
     narrowed = versions._within_batch_range(batch(30, 60), target, ("at", "d"))
     plan = plan_of(narrowed)
-    assert "PartitionFilters: [isnotnull(d" in plan and "dynamicpruning" not in plan
+    assert "GreaterThanOrEqual(at" in plan and "dynamicpruning" not in plan
     assert narrowed.count() == 10
 
 
@@ -97,22 +97,32 @@ def test_small_batch_leaves_a_large_target_unshuffled(spark, base):
     assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
 
 
-def test_hot_partition_value_is_written_by_several_tasks(spark, base):
+def test_hot_day_is_written_by_several_tasks_in_tight_ranges(spark, base):
     hot = spark.range(0, 9_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.date_add(F.lit("2024-01-01"), (F.col("id") % 30).cast("int"))).alias("d")
     )
-    versions.write_version(hot, base, 0, ["d"], rows_per_file=1_000)
-    written = [os.listdir(p) for p in files_in(base)]
-    sizes = {p: len([f for f in os.listdir(p) if f.endswith(".parquet")]) for p in files_in(base)}
-    hot_folder = next(p for p in sizes if "HIVE_DEFAULT" in p)
-    assert written and 1 < sizes[hot_folder] <= 6
-    assert all(n == 1 for p, n in sizes.items() if p != hot_folder)
+    versions.write_version(hot, base, 0, ["d", "id"], tasks=6)
     read = versions.read_since(spark, base, schema="id bigint, d date")
     assert rows(read) == rows(hot)
-
-
-def files_in(base):
-    return [f"{base}/_version=0/{d}" for d in os.listdir(f"{base}/_version=0") if d.startswith("d=")]
+    by_file = spark.read.parquet(base).groupBy(F.input_file_name().alias("f")).agg(
+        F.countDistinct("d").alias("days"), F.max(F.col("d").isNull()).alias("hot"), F.count("*").alias("n")
+    ).collect()
+    assert sum(r.hot for r in by_file) > 1 and max(r.n for r in by_file) < 3_000
+
+
+def test_one_late_row_does_not_open_the_time_between(spark, base):
+    days = spark.range(0, 4_000).select(F.col("id").alias("k"), F.date_add(F.lit("2010-01-01"), F.col("id").cast("int")).alias("d"))
+    versions.insert_only_merge(days, base, ["k", "d"], 0, order_by=["d", "k"], tasks=8)
+    late = "k >= 3990 or k = 5"
+    batch = days.where(late).unionAll(days.where("k = 3999").selectExpr("k + 1", "date_add(d, 1)"))
+    batch.write.parquet(f"{base}-batch")
+    batch = spark.read.parquet(f"{base}-batch")
+    stretches = versions.day_stretches(batch, "d")
+    assert [str(a) for a, _ in stretches] == ["2010-01-06", "2020-12-04"]
+    target = versions._within_batch_range(batch, versions.read_since(spark, base, schema="k bigint, d date"), ["d"])
+    assert target.count() == 11 and "Or(And(GreaterThanOrEqual(d" in plan_of(target).replace(" ", "")
+    versions.insert_only_merge(batch, base, ["k", "d"], 1, bound=["d"], schema="k bigint, d date")
+    assert versions.read_since(spark, base, schema="k bigint, d date").count() == 4_001
 
 
 def test_registered_table_follows_versions_and_columns(spark, base):
@@ -127,16 +137,26 @@ def test_registered_table_follows_versions_and_columns(spark, base):
     assert spark.table("reg.plain").count() == 3
 
 
-def test_registered_partitioned_table(spark, base):
-    df = numbers(spark, 1, 2).withColumn("d", F.expr("if(k = 1, null, date'2024-01-01')"))
-    schema = StructType.fromDDL("k int, d date, v string")
+def test_catalog_leaves_out_uncommitted_versions(spark, base):
+    schema = StructType.fromDDL("k int, v string")
+    for n in range(3):
+        versions.write_version(numbers(spark, n), base, n)
+    os.remove(f"{base}/_version=1/_SUCCESS")
+    catalog.register_table(spark, "reg.whole", base, schema)
+    catalog.register_table(spark, "reg.named", base, schema)
+    catalog.register_table(spark, "reg.named", base, schema, [1, 2])
+    for table in ("reg.whole", "reg.named"):
+        assert rows(spark.table(table).select("k")) == [(0,), (2,)]
+
+
+def test_snapshot_moves_without_a_gap(spark, base, monkeypatch):
     for n in range(2):
-        versions.write_version(df, base, n, ["d"])
-        catalog.register_table(spark, "reg.parted", base, schema, ["d"], [n])
-    assert spark.table("reg.parted").columns == ["k", "v", "_version", "d"]
-    assert rows(spark.table("reg.parted").select("k", F.col("d").cast("string"))) == [
-        (1, None), (1, None), (2, "2024-01-01"), (2, "2024-01-01"),
-    ]
+        versions.write_version(numbers(spark, n), base, n)
+        catalog.register_snapshot(spark, "reg.moved", base, n)
+        assert rows(spark.table("reg.moved")) == [(n, "a")]
+    versions.write_version(numbers(spark, 5).withColumn("w", F.lit(1)), base, 2)
+    catalog.register_snapshot(spark, "reg.moved", base, 2)
+    assert spark.table("reg.moved").columns == ["k", "v", "w"]
 
 
 def test_checkpoint_property(spark, base):

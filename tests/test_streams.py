@@ -223,3 +223,40 @@ def test_both_registry_forms_load():
     new = registry.load_schemas({"schemas": {"a": ["x"]}, "file_mappings": {}})
     assert new == registry.load_schemas({"a": ["x"]})
     assert [f.dataType.simpleString() for f in new["a"]] == ["string"]
+
+
+def test_new_checkpoint_adds_to_what_is_there(spark, base):
+    for n in range(2):
+        spark.createDataFrame([("a", f'{{"x": "{n}"}}')], "topic string, value string").write.json(f"{base}/in{n}")
+        for _ in range(2):  # the second time there is nothing new
+            start_bronze_stream(
+                messages.file_messages(spark, f"{base}/in{n}"), lambda: registry.load_schemas({"a": ["x"]}), base, f"{base}/check{n}", available_now=True
+            ).awaitTermination()
+    assert rows(versions.read_since(spark, stream_path(base, "a")).select("x")) == [("0",), ("1",)]
+
+
+def test_failed_registration_is_made_up_for(spark, base, monkeypatch):
+    from strataflow.streaming import ingest
+
+    schemas, real = registry.load_schemas({"made_up": ["x"]}), ingest.register_table
+
+    def batch(n):
+        df = spark.createDataFrame([("made_up", f'{{"x": "{n}"}}')], "topic string, value string")
+        ingest.route_messages(df, n, schemas, base, prefix="", database="late")
+
+    batch(0)
+    monkeypatch.setattr(ingest, "register_table", lambda *a, **k: (_ for _ in ()).throw(OSError("away")))
+    batch(1)
+    monkeypatch.setattr(ingest, "register_table", real)
+    batch(2)
+    assert rows(spark.table("late.made_up").select("x")) == [("0",), ("1",), ("2",)]
+
+
+def test_registry_keeps_what_is_not_in_this_call(spark):
+    def headers(*names):
+        return spark.createDataFrame([(f"{n}.csv", n, [n, "id"]) for n in names], "file_path string, schema_name string, columns array<string>")
+
+    known = registry.canonical_schemas(headers("a", "b"))
+    for force in (False, True):
+        again = registry.canonical_schemas(headers("b", "c"), known, force_refresh=force)
+        assert rows(again.select("file_path", "schema_name")) == [("a.csv", "a"), ("b.csv", "b"), ("c.csv", "c")]

@@ -406,5 +406,14 @@ ORACLE: dict[str, str] = {
     "stream_quarantine": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, 'no schema registered for error' AS error
         FROM events WHERE event_type = 'error'""",
+    "stream_new_checkpoint": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders",
+    "stream_catalog": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders",
+    "catalog_uncommitted": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 1",
+    "canonical_schemas_known": """
+        SELECT 'in/' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '.csv' AS file_path,
+               replace(o_orderpriority, '-', ',') AS columns
+        FROM orders""",
+    "features_backfill": _model("rating_features"),
+    "catalog_run": _model("ratings_cleaned").replace("SELECT * FROM ratings_cleaned", "SELECT *, 1 AS checkpoint FROM ratings_cleaned"),
 }
 ORACLE.update({name: _model(name) for name in CTES if name not in ("movies_raw", "recommendation_history_cleaned")})

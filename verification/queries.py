@@ -8,6 +8,7 @@ and clocks are fixed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,14 @@ from strataflow.plans.silver.ratings import BUCKETS, RATING_RANGE
 from strataflow.session import apply_defaults
 from strataflow.sources import shapes
 from strataflow.sources.bronze import load_to_bronze
+from strataflow.sources.catalog import ensure_database, get_checkpoint, register_table
 from strataflow.sources.csv_files import csv_stream, csv_tail, load_csv
-from strataflow.sources.files import glob_paths, new_scratch
+from strataflow.sources.files import drop_path, glob_paths, new_scratch
 from strataflow.sources.messages import file_messages, parse_messages, to_messages
 from strataflow.sources.registry import canonical_schemas, load_schemas
 from strataflow.sources.shapes import given
-from strataflow.sources.versions import insert_only_merge, read_since, write_version
-from strataflow.streaming import start_bronze_stream
+from strataflow.sources.versions import insert_only_merge, read_since, version_path, write_version
+from strataflow.streaming import route_messages, start_bronze_stream
 from strataflow.streaming.ingest import quarantine_path, stream_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -436,3 +438,87 @@ def csv_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         available_now=True,
     ).awaitTermination()
     return read_since(spark, stream_path(base, "orders")).drop("_ingestion_timestamp")
+
+
+@query("stream_new_checkpoint")
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of the events through two queries with checkpoints of their own: all rows are there."""
+    base, name = new_scratch(spark, "stream-again"), "orders"
+    columns = ["o_orderkey", "o_orderstatus"]
+    orders = given(spark, sf_dir, "orders").select(*columns)
+    for n in range(2):
+        half = orders.where(F.col("o_orderkey") % 2 == n)
+        to_messages(half, F.lit(name)).write.json(f"{base}/in{n}")
+        start_bronze_stream(
+            file_messages(spark, f"{base}/in{n}"),
+            lambda: load_schemas({name: columns}),
+            base,
+            f"{base}/checkpoint{n}",
+            available_now=True,
+        ).awaitTermination()
+    return read_since(spark, stream_path(base, name)).select(*columns)
+
+
+def _own_database(spark: SparkSession, label: str) -> tuple[str, str]:
+    path = new_scratch(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    ensure_database(spark, name, f"{path}/database")
+    return path, name
+
+
+@query("stream_catalog")
+def stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, the second of which the catalog never heard of; the table shows all of them after the third."""
+    path, database = _own_database(spark, "stream-catalog")
+    columns = ["o_orderkey", "o_orderstatus"]
+    messages = to_messages(given(spark, sf_dir, "orders").select(*columns), F.lit("orders"))
+    key = F.get_json_object("value", "$.o_orderkey").cast("bigint")
+    for n in range(3):
+        shown = database if n != 1 else None
+        route_messages(messages.where(key % 3 == n), n, load_schemas({"orders": columns}), path, database=shown)
+    return spark.table(f"{database}.orders").select(*columns)
+
+
+@query("catalog_uncommitted")
+def catalog_uncommitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions, the second without its marker: the table shows the first and the third."""
+    path, database = _own_database(spark, "uncommitted")
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    for n in range(3):
+        write_version(orders.where(F.col("o_orderkey") % 3 == n), f"{path}/orders", n)
+    drop_path(spark, f"{version_path(f'{path}/orders', 1)}/_SUCCESS")
+    register_table(spark, f"{database}.orders", f"{path}/orders", orders.schema)
+    return spark.table(f"{database}.orders").select("o_orderkey", "o_totalprice")
+
+
+@query("canonical_schemas_known")
+def canonical_schemas_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files are known; the other half comes, then one of them again with ``force_refresh``: all entries stay."""
+    headers = shapes.order_headers(spark, sf_dir)
+    late = F.crc32(F.col("file_path").cast("binary")) % 2 == 0
+    known = canonical_schemas(headers.where(~late))
+    both = canonical_schemas(headers.where(late), known)
+    again = canonical_schemas(headers.where(late), both, force_refresh=True)
+    return again.select("file_path", F.array_join("columns", ",").alias("columns"))
+
+
+@query("features_backfill")
+def features_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of ratings without features, then with: the features of all of them."""
+    base = _loaded_twice(spark, sf_dir, RATINGS, "run-backfill")
+    switched = replace(RATINGS, run_features=True)
+    run_incremental(spark, switched, base, _as_of(), database=None)
+    return comparable(read_features(spark, switched, base))
+
+
+@query("catalog_run")
+def catalog_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with a database; the table is read through the catalog, with the checkpoint on it."""
+    path, database = _own_database(spark, "catalog-run")
+    raw = shapes.SILVER_INPUTS["ratings"](spark, sf_dir)
+    for n in range(2):
+        write_version(raw.where(F.col("userId").cast("bigint") % 2 == n), RATINGS.bronze_path(path), n)
+        run_incremental(spark, RATINGS, path, _as_of(), database=database)
+    table = f"{database}.{RATINGS.table_cleaned}"
+    shown = spark.table(table).drop("_version")
+    return comparable(shown).withColumn("checkpoint", F.lit(get_checkpoint(spark, table)))
