@@ -15,6 +15,8 @@ from strataflow.sources.files import new_scratch
 
 #: Rows of a batch made here, so that none grows with its partition.
 BATCH_ROWS = 2_000
+#: Stored bytes of input that one task of a shuffle takes.
+TASK_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,11 +112,15 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the frame's size, which for a plain scan is the size of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Catalyst's estimate of the frame's size, which for a plain scan is the size of its files.
+
+    Where Catalyst knows nothing it says so by a number beyond any table; the session's shuffle width stands in then.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else TASK_BYTES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def width_for(df: DataFrame, per_task: int = 16 * 1024 * 1024) -> int:
+def width_for(df: DataFrame, per_task: int = TASK_BYTES) -> int:
     """Partitions for a shuffle that carries about as much as ``df``: ``per_task`` bytes in each, and one per core at least."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return max(cores, -(-input_bytes(df) // per_task))
