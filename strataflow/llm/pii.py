@@ -199,7 +199,10 @@ def train(docs: DataFrame, sample_docs: int = 200, sample_stretches: int = 150)
 
     Only the fit is bounded; the patterns and the field then run over every whole text.
     """
-    picked = texts_of(docs).where("text LIKE '%@%' OR text LIKE '%+%'").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    own = texts_of(docs).where("doc_id IS NOT NULL AND (text LIKE '%@%' OR text LIKE '%+%')")
+    # Ids alone are ranked; at most ``sample_docs`` of them are broadcast to fetch the texts.
+    ids = own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    picked = own.join(F.broadcast(ids), "doc_id")
 
     def row(text: str) -> tuple[list[str]]:
         parts = [text[max(a - 1, 0) : b + 1].replace("\n", " ") for a, b in stretches(text) if b - a <= 200]
