@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import from_planes, input_bytes, pack, planes, rows_to_batches, texts_of, unpack, width_for
+from strataflow.llm.common import BATCH_ROWS, from_planes, input_bytes, pack, planes, rows_to_batches, texts_of, unpack, width_for
 
 PERIOD, COVER, LENGTH = 21, (3, 6, 7, 12, 14), 50
 SAMPLE = LENGTH - PERIOD + 1
@@ -45,36 +45,46 @@ _TOLD = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("bits", pa.bi
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of doc_id, text and whatever columns follow them."""
     first = TaskContext.get().partitionId() << 32
 
     def made() -> Iterator[tuple]:
-        held, size, n = [], 0, 0
+        held, slices, size, n = [], [], 0, 0
         for b in batches:
-            for d, t in zip(b.column(0), b.column(1), strict=True):
+            begin = 0
+            for i, (d, t) in enumerate(zip(b.column(0), b.column(1), strict=True)):
                 d, raw = d.as_py(), t.as_py().encode()
                 held.append((_LAST if d is None else d, d is None, raw))
                 size += len(raw)
                 if size >= CHUNK_BYTES:
-                    yield first + n, _body(held)
-                    held, size, n = [], 0, n + 1
+                    yield first + n, _body(held, [*slices, b.slice(begin, i + 1 - begin)])
+                    held, slices, size, n, begin = [], [], 0, n + 1, i + 1
+            slices.append(b.slice(begin))
         if held:
-            yield first + n, _body(held)
+            yield first + n, _body(held, slices)
 
     for row in made():
         yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
 
 
-def _body(held: list[tuple]) -> bytes:
-    held = sorted(held, key=lambda h: h[0])
+def _body(held: list[tuple], slices: list[pa.RecordBatch]) -> bytes:
+    order = sorted(range(len(held)), key=lambda i: held[i][0])
+    rest = pa.Table.from_batches([x.select(x.schema.names[2:]) for x in slices]) if slices[0].num_columns > 2 else None
+    sink = pa.BufferOutputStream()
+    if rest is not None:
+        with pa.ipc.new_stream(sink, rest.schema) as out:
+            out.write_table(rest.take(pa.array(order)).combine_chunks())
+    held = [held[i] for i in order]
     ids, nulls = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.uint8)
-    return pack(ids, nulls, np.array([len(h[2]) for h in held], np.int64), b"".join(h[2] for h in held), level=5)
+    lengths = np.array([len(h[2]) for h in held], np.int64)
+    return pack(ids, nulls, lengths, b"".join(h[2] for h in held), sink.getvalue().to_pybytes(), level=5)
 
 
 class _Text:
     """A chunk's texts one after the other, with each position's document."""
 
     def __init__(self, body: bytes):
-        self.ids, self.nulls, self.lengths, raw = unpack(body, np.int64, np.uint8, np.int64, bytes)
+        self.ids, self.nulls, self.lengths, raw, self.rest = unpack(body, np.int64, np.uint8, np.int64, bytes, bytes)
         self.raw, n = raw, len(raw)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
         padded = np.frombuffer(raw + bytes(8), np.uint8)
@@ -309,30 +319,56 @@ def _rank_suffixes(name_bytes: int):
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
+def _removed(body: bytes, ties: dict[int, bytes], buckets: int) -> tuple[_Text, list[np.ndarray]]:
+    """For each document of a chunk, in the chunk's order, which bytes go."""
+    text = _Text(body)
+    n = len(text.raw)
+    mine, settled, copy = unpack(ties.pop(-1), np.uint8, np.uint8, bool)
+    s = _Buckets(text, np.nonzero(np.unpackbits(mine, count=n))[0], buckets)
+    change = np.zeros(n + LENGTH + 1, np.int32)
+    hits = [np.nonzero(np.unpackbits(settled, count=n))[0]]
+    for b, bits in ties.items():
+        own = s.at[s.order[s.edges[b] : s.edges[b + 1]]]
+        hits.append(own[np.unpackbits(unpack(bits, np.uint8)[0], count=len(own)).astype(bool)])
+    for hit in hits:
+        change[hit] += 1
+    change[LENGTH:] -= change[:-LENGTH].copy()
+    gone = np.cumsum(change)[:n] > 0
+    return text, [np.ones(e - a, bool) if c else gone[a:e] for a, e, c in zip(text.starts[:-1], text.starts[1:], copy, strict=True)]
+
+
+def _kept(text: _Text, i: int, gone: np.ndarray) -> bytes:
+    return np.frombuffer(text.text(i), np.uint8)[~gone].tobytes()
+
+
 def _removals(buckets: int):
-    def removed(body: bytes, ties: dict[int, bytes]) -> Iterator[tuple]:
-        text = _Text(body)
-        n = len(text.raw)
-        mine, settled, copy = unpack(ties.pop(-1), np.uint8, np.uint8, bool)
-        s = _Buckets(text, np.nonzero(np.unpackbits(mine, count=n))[0], buckets)
-        change = np.zeros(n + LENGTH + 1, np.int32)
-        hits = [np.nonzero(np.unpackbits(settled, count=n))[0]]
-        for b, bits in ties.items():
-            own = s.at[s.order[s.edges[b] : s.edges[b + 1]]]
-            hits.append(own[np.unpackbits(unpack(bits, np.uint8)[0], count=len(own)).astype(bool)])
-        for hit in hits:
-            change[hit] += 1
-        change[LENGTH:] -= change[:-LENGTH].copy()
-        gone = np.cumsum(change)[:n] > 0
-        data = np.frombuffer(text.raw, np.uint8)
-        for i, (a, e) in enumerate(zip(text.starts[:-1].tolist(), text.starts[1:].tolist(), strict=True)):
-            own = np.ones(e - a, bool) if copy[i] else gone[a:e]
-            spans = int(np.count_nonzero(np.diff(own.astype(np.int8), prepend=np.int8(0)) == 1))
-            yield (None if text.nulls[i] else int(text.ids[i])), e - a, int(own.sum()), spans, data[a:e][~own].tobytes()
+    def rows(body: bytes, ties: dict[int, bytes]) -> Iterator[tuple]:
+        text, every = _removed(body, ties, buckets)
+        for i, gone in enumerate(every):
+            spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=np.int8(0)) == 1))
+            yield (None if text.nulls[i] else int(text.ids[i])), len(gone), int(gone.sum()), spans, _kept(text, i, gone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for batch in batches for body, ties in zip(batch.column(1), batch.column(2), strict=True) for r in removed(body.as_py(), _told(ties.as_py())))
-        yield from rows_to_batches(rows, _RESULT)
+        every = (r for batch in batches for body, ties in zip(batch.column(1), batch.column(2), strict=True) for r in rows(body.as_py(), _told(ties.as_py())))
+        yield from rows_to_batches(every, _RESULT)
+
+    return run
+
+
+def _rewritten(buckets: int, columns: list[str]):
+    """The chunks' own rows with what is left of their texts; ``_null`` tells texts that were null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body, ties in zip(batch.column(1), batch.column(2), strict=True):
+                text, every = _removed(body.as_py(), _told(ties.as_py()), buckets)
+                rest = pa.ipc.open_stream(text.rest).read_all()
+                left = [_kept(text, i, gone).decode("utf-8", "ignore") if gone.any() else text.text(i).decode() for i, gone in enumerate(every)]
+                keep = [i for i, (x, gone) in enumerate(zip(left, every, strict=True)) if x or not len(gone)]
+                null = rest.column("_null").to_pylist()
+                texts = pa.array([None if null[i] else left[i] for i in keep], pa.string())
+                rest = rest.take(pa.array(keep, pa.int64()))
+                yield from pa.table({c: texts if c == "text" else rest.column(c) for c in columns}).to_batches(max_chunksize=BATCH_ROWS)
 
     return run
 
@@ -345,20 +381,15 @@ def _name_bytes(total: int, buckets: int) -> int:
     return min(12, max(7, math.ceil((2 * math.log2(max(total, 2)) + 2 - math.log2(buckets)) / 8)))
 
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay).
-
-    Null and empty texts have no bytes. A null doc_id counts as larger than any other. Rows with one and
-    the same doc_id never cut each other. ``docs`` is read several times in one job, so it should be a
-    table or what ``stored`` returns. Kept bytes may end within a character: see ``keep_text``.
-    """
+def _exchanged(docs: DataFrame, own: DataFrame) -> tuple[DataFrame, int]:
+    """Chunks of ``own`` (doc_id, text, more columns) with the answers of all buckets, and the number of buckets."""
     total = max(3 * input_bytes(docs), 1 << 20)
     # Both sides of the joins below have as many partitions, so chunks move once.
     n = max(width_for(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     buckets = max(16, 4 * width_for(docs))
     width = min(8, max(4, math.ceil((math.log2(total) + 8 - math.log2(buckets)) / 8)))
     name = _name_bytes(total, buckets)
-    chunks = texts_of(docs).mapInArrow(_chunks, "chunk long, body binary").repartition(n, "chunk")
+    chunks = own.mapInArrow(_chunks, "chunk long, body binary").repartition(n, "chunk")
 
     def exchange(sent: DataFrame, rank) -> DataFrame:
         by = sent.groupBy("bucket").agg(F.collect_list(F.struct("chunk", "names")).alias("parts"))
@@ -369,7 +400,17 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     ranks = exchange(chunks.mapInArrow(_send_samples(buckets, width), sent), _rank_samples(width))
     ranked = chunks.join(ranks, "chunk", "left").select("chunk", "body", "told")
     ties = exchange(ranked.mapInArrow(_send_suffixes(buckets, width, name), sent), _rank_suffixes(name))
-    both = chunks.join(ties, "chunk", "left").select("chunk", "body", "told")
+    return chunks.join(ties, "chunk", "left").select("chunk", "body", "told"), buckets
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay).
+
+    Null and empty texts have no bytes. A null doc_id counts as larger than any other. Rows with one and
+    the same doc_id never cut each other. ``docs`` is read several times in one job, so it should be a
+    table or what ``stored`` returns. Kept bytes may end within a character: see ``keep_text``.
+    """
+    both, buckets = _exchanged(docs, texts_of(docs))
     return both.mapInArrow(_removals(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
@@ -380,12 +421,10 @@ def digest(docs: DataFrame) -> DataFrame:
 def keep_text(docs: DataFrame) -> DataFrame:
     """The documents with their columns, texts without the repeated bytes; pieces of cut characters go too.
 
-    Rows with one doc_id take the text of one of them (the longest kept); null texts stay null; documents that lose everything are dropped.
+    The other columns travel with the texts, so nothing is joined back. Null and empty texts stay; documents that lose everything are dropped.
     """
-    kept = cut_repeats(docs).where("doc_id IS NOT NULL AND n_removed > 0").groupBy("doc_id").agg(F.max(F.struct(F.length("kept").alias("n"), "kept")).alias("_cut"))
-    clean = F.udf(lambda raw: raw.decode("utf-8", "ignore"), "string")
-    text = kept.select(F.col("doc_id").alias("_id"), clean("_cut.kept").alias("_text"))
-    joined = docs.join(text, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    new = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
-    columns = [new.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return joined.where("_id IS NULL OR _text <> ''").select(*columns)
+    plain = texts_of(docs)
+    rest = [F.col(f"`{c}`").alias(c) for c in docs.columns if c != "text"]
+    own = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"), *rest, F.col("text").isNull().alias("_null"))
+    both, buckets = _exchanged(plain, own)
+    return both.mapInArrow(_rewritten(buckets, docs.columns), docs.schema)
