@@ -17,6 +17,8 @@ SQL_DEFAULTS = {
     # Splits a hot key's partition of a sort-merge join at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Catalyst checks a side's size against this; a catalog of half a million movies stays below.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     # INT96, the default, carries no statistics, so merges could not skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }

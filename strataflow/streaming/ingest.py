@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
+from pyspark.util import inheritable_thread_target
 
 from strataflow.operators import stamp_audit
 from strataflow.session import apply_defaults
@@ -74,26 +76,30 @@ def route_messages(
     source: str = "kafka",
     prefix: str = TOPIC_PREFIX,
     database: str | None = None,
+    threads: int = 8,
 ) -> list[str]:
     """Write one micro-batch: a version per schema present, and one of rejected messages.
 
     The version is ``batch_id``, so a batch that is replayed after a failure
     replaces its first attempt. Only the names of the schemas present come to the
-    driver. Returns the schemas written.
+    driver. Schemas are written ``threads`` at a time. Returns the schemas written.
     """
-    spark = batch.sparkSession
     named = batch.select("topic", "value", schema_name_of("topic", prefix).alias("_schema"))
     # Read by one write per schema; the source is asked only once.
     named.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         present = {r[0] for r in named.select("_schema").distinct().collect()}
         known = sorted(n for n in present if n in schemas)
-        for name in known:
+
+        def write(name: str) -> None:
             parsed = parse_messages(named.where(F.col("_schema") == name), schemas[name])
             rows = stamp_audit(parsed.withColumnRenamed("topic", "_in"), source, topic=F.col("_in")).drop("_in")
             write_version(rows, stream_path(base, name), batch_id)
             if database:
                 _try_register(f"{database}.{name}", stream_path(base, name), rows, batch_id)
+
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(inheritable_thread_target(write), known))
         if len(known) < len(present):
             unknown = F.coalesce(~F.col("_schema").isin(*known), F.lit(True))
             error = F.concat(F.lit("no schema registered for "), F.coalesce("_schema", F.lit("no topic")))

@@ -260,3 +260,12 @@ def test_registry_keeps_what_is_not_in_this_call(spark):
     for force in (False, True):
         again = registry.canonical_schemas(headers("b", "c"), known, force_refresh=force)
         assert rows(again.select("file_path", "schema_name")) == [("a.csv", "a"), ("b.csv", "b"), ("c.csv", "c")]
+
+
+def test_many_topics_in_one_batch(spark, base):
+    data = [(f"t{k}", f'{{"x": "{k}-{i}"}}') for k in range(50) for i in range(2)]
+    df = spark.createDataFrame(data, "topic string, value string")
+    schemas = registry.load_schemas({f"t{k}": ["x"] for k in range(50)})
+    for _ in range(2):  # a replay doubles nothing
+        assert len(route_messages(df, 0, schemas, base, prefix="")) == 50
+    assert rows(versions.read_since(spark, stream_path(base, "t7")).select("x")) == [("7-0",), ("7-1",)]

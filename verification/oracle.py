@@ -417,3 +417,13 @@ ORACLE: dict[str, str] = {
     "catalog_run": _model("ratings_cleaned").replace("SELECT * FROM ratings_cleaned", "SELECT *, 1 AS checkpoint FROM ratings_cleaned"),
 }
 ORACLE.update({name: _model(name) for name in CTES if name not in ("movies_raw", "recommendation_history_cleaned")})
+MARTS = sorted(name for name in CTES if name.startswith("gold_"))
+ORACLE["gold_build_all"] = _with(" UNION ALL ".join(f"SELECT '{m}' AS mart, count(*) AS n FROM {m}" for m in MARTS))
+ORACLE["customer_underrated"] = _with(
+    "SELECT movie_id, title, round(avg_rating, 6) AS avg_rating, total_ratings FROM gold_underrated_movies",
+    (
+        ("CAST(l_partkey AS INTEGER) AS movie_id", "CAST(o_custkey AS INTEGER) AS movie_id"),
+        ("total_ratings >= 30", "total_ratings >= 50"),
+        ("total_ratings < 40", "total_ratings < 100"),
+    ),
+)

@@ -137,6 +137,12 @@ def supplier_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(model_ref(spark, sf_dir, Thresholds(), "l_suppkey")("gold_top_movies"))
 
 
+@query("customer_underrated")
+def customer_underrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published thresholds of underrated movies at the grain of customers, who have 50 to 99 ratings."""
+    return comparable(model_ref(spark, sf_dir, Thresholds(), "o_custkey")("gold_underrated_movies"))
+
+
 # --- single operators ----------------------------------------------------------
 
 
@@ -522,3 +528,16 @@ def catalog_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{database}.{RATINGS.table_cleaned}"
     shown = spark.table(table).drop("_version")
     return comparable(shown).withColumn("checkpoint", F.lit(get_checkpoint(spark, table)))
+
+
+@query("gold_build_all")
+def gold_build_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stored marts built by tag with a database of their own; how many rows the catalog shows of each."""
+    path, database = _own_database(spark, "gold-all")
+    for entity in (MOVIES, RATINGS):
+        write_version(shapes.SILVER_INPUTS[entity.name](spark, sf_dir), entity.bronze_path(path), 0)
+        run_incremental(spark, entity, path, database=database)
+    build(spark, path, "tag:gold", PART_THRESHOLDS, database=database)
+    marts = sorted(m.name for m in MODELS.values() if m.stored)
+    counts = [spark.table(f"{database}.{m}").agg(F.count("*").alias("n")).select(F.lit(m).alias("mart"), "n") for m in marts]
+    return reduce(DataFrame.unionAll, counts)
