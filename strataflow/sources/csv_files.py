@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,17 +32,19 @@ def discover_csv_files(spark: SparkSession, base: str) -> list[str]:
     return glob_paths(spark, f"{base}/*.csv")
 
 
-def read_headers(spark: SparkSession, files: list[str]) -> DataFrame:
+def read_headers(spark: SparkSession, files: list[str], threads: int = 32) -> DataFrame:
     """``(file_path, schema_name, columns)``: the stripped header names of each file.
 
-    Opens each file for its first line only; the name proposed for the schema is
-    that of the file.
+    Opens each file for its first line only, ``threads`` at a time; a Spark job would have to read
+    each file's first block. The name proposed for the schema is that of the file.
     """
-    rows = []
-    for path in files:
+
+    def header(path: str) -> tuple[str, str, list[str]]:
         names = next(csv.reader([first_line(spark, path) or ""]), [])
-        stem = path.rsplit("/", 1)[-1].removesuffix(".csv")
-        rows.append((path, stem, [n.strip() for n in names]))
+        return path, path.rsplit("/", 1)[-1].removesuffix(".csv"), [n.strip() for n in names]
+
+    with ThreadPoolExecutor(threads) as pool:
+        rows = list(pool.map(header, files))
     return spark.createDataFrame(rows, HEADERS_SCHEMA)
 
 
