@@ -111,6 +111,23 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
     return words.reshape(-1).view("<u8")
 
 
+def bit_planes(values: np.ndarray, bits: int) -> bytes:
+    """The low ``bits`` bits of unsigned words: planes of whole bytes, then planes of single bits."""
+    whole = bits // 8
+    rest = [np.packbits(((values >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)).tobytes() for k in range(8 * whole, bits)]
+    return b"".join([planes(values, whole), *rest])
+
+
+def from_bit_planes(data: bytes, bits: int, count: int) -> np.ndarray:
+    whole = bits // 8
+    words = from_planes(data[: whole * count], whole).copy() if whole else np.zeros(count, np.uint64)
+    at, size = whole * count, -(-count // 8)
+    for k in range(8 * whole, bits):
+        words |= np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=count).astype(np.uint64) << np.uint64(k)
+        at += size
+    return words
+
+
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the frame's size, which for a plain scan is the size of its files.
 

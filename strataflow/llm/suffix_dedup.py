@@ -13,7 +13,7 @@ smaller doc_id. Which suffixes tie in their first 50 bytes is all that has to be
 
 A bucket holds names of its suffixes (hashes of the 30 or 50 bytes), not their bytes: names are equal where the
 strings are, and the order of unequal strings has no part in the rule. Names are wide enough that
-two unequal strings are expected to share one far less than once in a corpus (``_name_bytes``).
+two unequal strings are expected to share one far less than once in a corpus (``_name_bits``).
 
 Texts travel in compressed chunks. A task holds one chunk or one bucket; both have bounded sizes, whatever the corpus.
 """
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import BATCH_ROWS, from_planes, input_bytes, pack, planes, rows_to_batches, texts_of, unpack, width_for
+from strataflow.llm.common import BATCH_ROWS, bit_planes, from_bit_planes, from_planes, input_bytes, pack, planes, rows_to_batches, texts_of, unpack, width_for
 
 PERIOD, COVER, LENGTH = 21, (3, 6, 7, 12, 14), 50
 SAMPLE = LENGTH - PERIOD + 1
@@ -77,7 +77,7 @@ def _body(held: list[tuple], slices: list[pa.RecordBatch]) -> bytes:
     held = [held[i] for i in order]
     ids, nulls = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.uint8)
     lengths = np.array([len(h[2]) for h in held], np.int64)
-    return pack(ids, nulls, lengths, b"".join(h[2] for h in held), sink.getvalue().to_pybytes(), level=5)
+    return pack(ids, nulls, lengths, b"".join(h[2] for h in held), sink.getvalue().to_pybytes(), level=7)
 
 
 class _Text:
@@ -252,7 +252,7 @@ def _told(parts) -> dict[int, bytes]:
     return {p["bucket"]: p["bits"] for p in parts or []}
 
 
-def _send_suffixes(buckets: int, width: int, name_bytes: int):
+def _send_suffixes(buckets: int, width: int, name_bits: int):
     def sent(chunk: int, body: bytes, told: dict[int, bytes]) -> Iterator[tuple]:
         text = _Text(body)
         c = _Candidates(text, told, buckets, width)
@@ -268,8 +268,9 @@ def _send_suffixes(buckets: int, width: int, name_bytes: int):
             own = s.order[s.edges[b] : s.edges[b + 1]]
             if len(own):
                 docs, counts = np.unique(doc[own], return_counts=True)
-                more = planes(s.high[own] >> _U(32), name_bytes - 8) if name_bytes > 8 else b""
-                yield b, pack(planes(low[own], min(name_bytes, 8)), more, text.ids[docs], counts.astype(np.int32))
+                more = bit_planes(s.high[own] >> _U(32), name_bits - 64) if name_bits > 64 else b""
+                steps = np.diff(text.ids[docs], prepend=0)
+                yield b, pack(bit_planes(low[own], min(name_bits, 64)), more, planes(steps, 8), planes(counts, 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (
@@ -283,7 +284,7 @@ def _send_suffixes(buckets: int, width: int, name_bytes: int):
     return run
 
 
-def _rank_suffixes(name_bytes: int):
+def _rank_suffixes(name_bits: int):
     """One bucket, sorted by name: which suffixes tie with one of a smaller document."""
 
     def told(bucket: int, parts: list[dict]) -> Iterator[tuple]:
@@ -292,12 +293,14 @@ def _rank_suffixes(name_bytes: int):
             return
         lows, highs, docs = [], [], []
         for part in parts:
-            low, more, ids, counts = unpack(part["names"], bytes, bytes, np.int64, np.int32)
-            lows.append(from_planes(low, min(name_bytes, 8)))
-            highs.append(from_planes(more, name_bytes - 8) if name_bytes > 8 else None)
-            docs.append(np.repeat(ids, counts))
+            low, more, steps, counts = unpack(part["names"], bytes, bytes, bytes, bytes)
+            counts = from_planes(counts, 4).astype(np.int64)
+            n = int(counts.sum())
+            lows.append(from_bit_planes(low, min(name_bits, 64), n))
+            highs.append(from_bit_planes(more, name_bits - 64, n) if name_bits > 64 else None)
+            docs.append(np.repeat(np.cumsum(from_planes(steps, 8).view(np.int64)), counts))
         low, doc = np.concatenate(lows), np.concatenate(docs)
-        high = np.concatenate(highs) if name_bytes > 8 else None
+        high = np.concatenate(highs) if name_bits > 64 else None
         order = np.argsort(low, kind="stable") if high is None else np.lexsort((high, low))
         k = low[order]
         new = np.ones(len(k), bool)
@@ -373,22 +376,20 @@ def _rewritten(buckets: int, columns: list[str]):
     return run
 
 
-def _name_bytes(total: int, buckets: int) -> int:
-    """Width of a name within its bucket, so that among all pairs of ``total`` positions 2**-2 false ties are expected.
-
-    Only suffixes with a tied sample are named, a fifth or so, which makes it a hundredth or less.
-    """
-    return min(12, max(7, math.ceil((2 * math.log2(max(total, 2)) + 2 - math.log2(buckets)) / 8)))
+def _name_bits(total: int, buckets: int) -> int:
+    """Width of a name within its bucket. Of ``total`` suffixes a fifth at most is taken to be named; among all
+    pairs of them 2**-6 false ties are expected, so one in 64 corpora has a single one."""
+    return min(96, max(32, math.ceil(2 * math.log2(max(total, 2) / 5) + 5 - math.log2(buckets))))
 
 
 def _exchanged(docs: DataFrame, own: DataFrame) -> tuple[DataFrame, int]:
     """Chunks of ``own`` (doc_id, text, more columns) with the answers of all buckets, and the number of buckets."""
-    total = max(3 * input_bytes(docs), 1 << 20)
+    total = max(2 * input_bytes(docs), 1 << 20)  # text is taken to be stored at half its size
     # Both sides of the joins below have as many partitions, so chunks move once.
     n = max(width_for(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     buckets = max(16, 4 * width_for(docs))
-    width = min(8, max(4, math.ceil((math.log2(total) + 8 - math.log2(buckets)) / 8)))
-    name = _name_bytes(total, buckets)
+    width = min(8, max(4, math.ceil((math.log2(total) + 9 - math.log2(buckets)) / 8)))
+    name = _name_bits(total, buckets)
     chunks = own.mapInArrow(_chunks, "chunk long, body binary").repartition(n, "chunk")
 
     def exchange(sent: DataFrame, rank) -> DataFrame:

@@ -371,3 +371,20 @@ def test_paragraph_dedup_against_all_pairs(docs, nothing):
     assert {r.doc_id: r.n_removed for r in rows} == {d: removed.get(d, 0) for d, _ in pairs(docs)}
     assert sum(removed.values()) > 3
     assert paragraph_dedup.cut_paragraphs(nothing).count() == 0
+
+
+def test_bit_planes_come_back():
+    from strataflow.llm.common import bit_planes, from_bit_planes
+
+    rng = np.random.default_rng(10)
+    for bits in (1, 7, 8, 31, 54, 64):
+        for n in (0, 1, 13):
+            values = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            kept = values & np.uint64((1 << bits) - 1)
+            assert from_bit_planes(bit_planes(values, bits), bits, n).tolist() == kept.tolist()
+
+
+def test_names_wider_than_a_word(docs, monkeypatch):
+    plain = got(suffix_dedup.digest(docs), "doc_id", "kept_sha256")
+    monkeypatch.setattr(suffix_dedup, "_name_bits", lambda total, buckets: 83)
+    assert got(suffix_dedup.digest(docs), "doc_id", "kept_sha256") == plain
