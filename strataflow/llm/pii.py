@@ -12,6 +12,7 @@ import hashlib
 import itertools
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ _DIGIT_OR_AT = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^A-Za-z0-9\s]")
 
 MAX_TOKENS = 24
+_ORDER = itemgetter(0, 2)
 #: A longer stretch is cut here; base spans are found on the whole text before.
 _STRETCH_TOKENS = 400
 N_FEATURES = 21
@@ -73,7 +75,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
                 spans.append((*m.span(), 3))
-    return sorted(spans)
+    return sorted(spans, key=_ORDER)
 
 
 def stretches(text: str) -> Iterator[tuple[int, int]]:
@@ -231,7 +233,7 @@ def all_spans(text: str, weights: np.ndarray | None, base: list[tuple[int, int,
             for s, e, kind in lattice.best(np.einsum("ij,jk->ik", lattice.x, weights)):
                 if all(e <= s2 or s >= e2 for s2, e2 in inside):
                     added.append((s, e, kind))
-    return sorted(base + added)
+    return sorted(base + added, key=_ORDER)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
