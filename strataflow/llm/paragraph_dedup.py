@@ -167,8 +167,10 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Only buckets with different paragraphs are compared, and large ones block by block.
     """
     bands, width = tuned(similarity)
-    own, n = texts_of(docs), width_for(docs)
-    rows = own.mapInArrow(_banded(bands, width), "pid long, bands array<long>").select("pid", F.explode("bands").alias("key")).repartition(2 * n, "key")
+    own, n = texts_of(docs), max(width_for(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = own.mapInArrow(_banded(bands, width), "pid long, bands array<long>").select("pid", F.explode("bands").alias("key"))
+    # A key that can't be null gets no filter from the join, so both readers of this exchange share it.
+    rows = rows.select("pid", F.coalesce("key", F.lit(0).cast("long")).alias("key")).repartition(n, "key")
     met = rows.groupBy("key").agg(F.min("pid").alias("least"), F.max("pid").alias("most")).where("least <> most").select("key")
     near = stored(rows.join(met, "key").distinct(), "near")
     texts = own.mapInArrow(_texts, "pid long, words binary").join(near.select("pid").distinct(), "pid", "left_semi")
