@@ -4,7 +4,8 @@ A table is a folder of ``_version=N`` folders, each written by one job. A
 version exists once that job has left its success marker, so readers never see
 half of one, and a retry of the same number replaces what the failed attempt
 left. That gives incremental reads (partition pruning on the number) and
-repeatable loads without a transactional table format.
+repeatable loads without a transactional table format. A table has one writer at a
+time: two that pick the same number would replace each other's rows.
 """
 
 from __future__ import annotations
