@@ -33,7 +33,7 @@ _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^A-Za-z0-9\s]")
 
 MAX_TOKENS = 24
 _ORDER = itemgetter(0, 2)
-#: A longer stretch is cut here; base spans are found on the whole text before.
+#: A longer stretch is taken in parts of at most so many tokens, cut at a blank where there is one; base spans are found on the whole text before.
 _STRETCH_TOKENS = 400
 N_FEATURES = 21
 
@@ -120,7 +120,9 @@ class _Lattice:
     """The candidate segments of one stretch: token bounds and features of those that begin and end with a visible token."""
 
     def __init__(self, text: str, start: int, end: int):
-        found = list(_TOKEN.finditer(text, start, end))[:_STRETCH_TOKENS]
+        found = list(itertools.islice(_TOKEN.finditer(text, start, end), _STRETCH_TOKENS))
+        if found and found[-1].end() < end:
+            found = found[: next((k + 1 for k in range(len(found) - 1, 0, -1) if found[k][0].isspace()), len(found))]
         self.bounds = [(m.start(), m.end()) for m in found]
         seen = [not m[0].isspace() for m in found]
         useful = [m[0].isdigit() or m[0] == "@" for m in found]
@@ -228,11 +230,13 @@ def all_spans(text: str, weights: np.ndarray | None, base: list[tuple[int, int,
         inside = [(s, e) for s, e in itertools.takewhile(lambda x: x[0] < b, itertools.islice(taken, first, None)) if e > a]
         if inside and sum(e - s for s, e in inside) >= b - a - 2:
             continue
-        lattice = _Lattice(text, a, b)
-        if len(lattice.segments):
-            for s, e, kind in lattice.best(np.einsum("ij,jk->ik", lattice.x, weights)):
-                if all(e <= s2 or s >= e2 for s2, e2 in inside):
-                    added.append((s, e, kind))
+        while a < b:
+            lattice = _Lattice(text, a, b)
+            a = lattice.bounds[-1][1]
+            if len(lattice.segments):
+                for s, e, kind in lattice.best(np.einsum("ij,jk->ik", lattice.x, weights)):
+                    if all(e <= s2 or s >= e2 for s2, e2 in inside):
+                        added.append((s, e, kind))
     return sorted(base + added, key=_ORDER)
 
 

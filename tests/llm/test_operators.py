@@ -110,6 +110,18 @@ def test_field_learns_base_spans_and_adds_none_over_them():
         assert set(pii.base_spans(t)) <= set(pii.all_spans(t, weights, pii.base_spans(t)))
 
 
+def test_long_stretches_are_taken_in_parts():
+    text = " ".join(f"{i % 97}-{i % 13}" for i in range(900))
+    parts, a = [], 0
+    while a < len(text):
+        lattice = pii._Lattice(text, a, len(text))
+        a = lattice.bounds[-1][1]
+        parts.append(a)
+    assert len(parts) > 5 and all(text[p - 1] == " " for p in parts[:-1])
+    weights = np.zeros((pii.N_FEATURES, 4))
+    assert pii.all_spans(text, weights - 1, []) == []
+
+
 def test_pii_rows(docs, nothing):
     want = []
     for d, t in pairs(docs):
