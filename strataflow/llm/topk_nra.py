@@ -109,13 +109,14 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     Ties go to the smaller vec_id. Repeated rows each count; a query leaves out every row with its own id. Vectors of other lengths than the
     query's aren't compared with it. An empty table gives no rows.
     """
-    rows = stored(scaled(vectors), "vectors")
+    rows = stored(scaled(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n = rows.count()
     blocks, groups = max(1, -(-n // BLOCK)), max(1, -(-n // (every * QUERIES)))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks))  # by row, as one id may have any number of them
     ids = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
     held = rows.groupBy(block.alias("block")).agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")).select("block", "rows", F.explode(ids).alias("group"))
-    asked = rows.where(F.col("vec_id") % every == 0).distinct().groupBy(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).alias("group")).agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))
+    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
+    asked = queries.groupBy(F.pmod(F.xxhash64("vec_id", "v"), F.lit(groups)).alias("group")).agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))
     met = held.join(asked, "group").select("rows", "asked").repartition(max(blocks * groups, 1))
     found = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
