@@ -34,8 +34,9 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
-        self.order = np.argsort(x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(x, self.order, 0)
+        columns = np.ascontiguousarray(x.T)
+        self.order = np.argsort(columns, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(columns, self.order, 1)
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and scores that hold the block's k best, ties included; the query's own rows are left out."""
@@ -44,24 +45,29 @@ class Lists:
         own = self.ids == query_id
         if not len(live):
             return np.nonzero(~own)[0], np.zeros(int((~own).sum()), np.int64)
-        lists = [(self.order[:, j], self.sorted[:, j] * q[j]) if q[j] < 0 else (self.order[::-1, j], self.sorted[::-1, j] * q[j]) for j in live]
+        lists = [(self.order[j], self.sorted[j] * q[j]) if q[j] < 0 else (self.order[j, ::-1], self.sorted[j, ::-1] * q[j]) for j in live]
         worst = np.array([values[-1] for _, values in lists])
         low, high = np.full(n, worst.sum()), np.zeros(n, np.int64)
-        step, at = max(64, n // 8), 0
-        unread = np.ones((n, len(live)), bool)
+        step, at = max(64, -(-n // 4)), 0
+        unread = np.ones((len(live), n), bool)
         while True:
             for d, (rows, values) in enumerate(lists):
                 part = rows[at : at + step]
                 low[part] += values[at : at + step] - worst[d]
-                unread[part, d] = False
+                unread[d, part] = False
             at = min(at + step, n)
+            if at >= n:  # all is read: the lower bounds are the scores
+                rows = np.nonzero(~own)[0]
+                if len(rows) > k:
+                    rows = rows[low[rows] >= np.partition(low[rows], len(rows) - k)[len(rows) - k]]
+                return rows, low[rows]
             ends = np.array([values[min(at, n - 1)] for _, values in lists])
-            high = low + np.einsum("ij,j->i", unread, ends - worst)
+            high = low + np.einsum("ji,j->i", unread, ends - worst)
             lows = np.where(own, np.iinfo(np.int64).min, low)
             bar = np.partition(lows, n - k)[n - k] if n > k else np.iinfo(np.int64).min
             alive = (high >= bar) & ~own
-            unseen = (unread.all(1) & alive).any()
-            if at >= n or (not unseen and alive.sum() <= 4 * k):
+            unseen = (unread.all(0) & alive).any()
+            if not unseen and alive.sum() <= 4 * k:
                 rows = np.nonzero(alive)[0]
                 return rows, np.einsum("ij,j->i", self.x[rows], q)
 
