@@ -1,7 +1,7 @@
 """Substring dedup by paragraphs: MinHash bands, exact Jaccard of the colliding ones, components of removals.
 
 A paragraph is a line. A line of more than ``LONG`` words is cut where its content says so (a hash of three words),
-so that a passage inside longer lines gives the same pieces wherever it stands. Pieces under ``MIN_WORDS`` words are left alone.
+so that a passage inside longer lines gives the same pieces wherever it stands. Short lines are compared like any other.
 """
 
 from __future__ import annotations
@@ -31,15 +31,13 @@ def tuned(similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int,
 
 
 def _pieces(text: str) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(number, words, word hashes) of the paragraphs with enough words. Numbers count all paragraphs that hold a word."""
+    """(number, words, word hashes) of all paragraphs that hold a word. One of fewer words than a shingle is filled up with empty ones."""
     number = 0
     for line in text.encode().split(b"\n"):
         words = line.split()
         if not words:
             continue
-        if len(words) < MIN_WORDS:
-            number += 1
-            continue
+        words += [b""] * (SHINGLE - len(words))
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         cuts = [0]
         if len(words) > LONG:
@@ -55,7 +53,7 @@ def _pieces(text: str) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
 
 
 def _shingles(hashes: np.ndarray) -> np.ndarray:
-    """Hashes of all runs of SHINGLE words; there are that many, as MIN_WORDS is larger."""
+    """Hashes of all runs of SHINGLE words; there are that many in every paragraph."""
     n = len(hashes) - SHINGLE + 1
     x = np.zeros(n, np.uint64)
     for k in range(SHINGLE):
@@ -77,11 +75,8 @@ def _occurs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for b in batches:
             for d, t in zip(b.column(0), b.column(1), strict=True):
-                text = t.as_py()
-                units = [{"n": n, "pid": _pid(words)} for n, words, _ in _pieces(text)]
-                # Lines in pieces count once for each piece.
-                plain = sum(0 < len(x.split()) < MIN_WORDS for x in text.encode().split(b"\n"))
-                yield d.as_py(), len(units) + plain, units
+                units = [{"n": n, "pid": _pid(words)} for n, words, _ in _pieces(t.as_py())]
+                yield d.as_py(), len(units), units
 
     yield from rows_to_batches(rows(), _OCCURS)
 

@@ -387,6 +387,30 @@ def test_paragraph_dedup_against_all_pairs(docs, nothing):
     assert paragraph_dedup.cut_paragraphs(nothing).count() == 0
 
 
+def test_short_lines_are_compared(spark):
+    """Lines of raw texts against all others; a line of under five words is alike to the same one only."""
+    ready(spark)
+    rng = random.Random(3)
+    plain = [f"w{i}" for i in range(400)]
+    verse = "\n".join(" ".join(rng.choices(plain, k=rng.randint(1, 9))) for _ in range(12))
+    made = [verse, f"own {' '.join(rng.choices(plain, k=6))}\n{verse}", "All rights reserved.\n \n}", "}\nAll  rights reserved.\nelse", "one", "one", "two", ""]
+    made += ["a b c d e f g h i", "a b c d e f g h", "a b c d", "b a c d"]
+    units = [(d, tuple(line.split())) for d, t in enumerate(made) for line in t.split("\n") if line.split()]
+    sets = [{w[i : i + 5] for i in range(len(w) - 4)} or {w} for _, w in units]
+    root = list(range(len(units)))
+    for i in range(len(units)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[i] if r == root[j] else r for r in root]
+    want = {d: [0, 0] for d in range(len(made))}
+    for k, (d, _) in enumerate(units):
+        want[d][0] += 1
+        want[d][1] += root[k] in root[:k]
+    rows = paragraph_dedup.cut_paragraphs(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()
+    assert {r.doc_id: [r.n_paragraphs, r.n_removed] for r in rows} == want
+    assert want[1][1] == 12 and want[3][1] == 2 and want[5][1] == 1 and want[9][1] == 1
+
+
 def test_bit_planes_come_back():
     from strataflow.llm.common import bit_planes, from_bit_planes
 
