@@ -1,7 +1,8 @@
 """Substring dedup by paragraphs: MinHash bands, exact Jaccard of the colliding ones, components of removals.
 
-A paragraph is a line. A line of more than ``LONG`` words is cut where its content says so (a hash of three words),
-so that a passage inside longer lines gives the same pieces wherever it stands. Short lines are compared like any other.
+A paragraph is a line, and also each piece of a line that is cut. Lines are cut where the hash of two neighbouring words is least among
+those around it, which depends on nothing further away: all cuts of a passage come again wherever else it stands, in a line
+of its own or inside a longer one. Short lines are compared like any other.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from strataflow.llm.common import rows_to_batches, stored, texts_of, width_for
 from strataflow.llm.components import components
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
-MIN_WORDS, LONG, CUT_EVERY, MAX_WORDS = 12, 64, 8, 40
+#: Places on either side that a cut is compared with. Pieces have more words than that.
+REACH = 4
 #: Paragraphs of one bucket that one group compares with as many others.
 BLOCK = 128
+#: Texts whose paragraphs are hashed together.
+_TEXTS_AT_ONCE = 64
 _U = np.uint64
 
 
@@ -30,26 +34,54 @@ def tuned(similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int,
     return min(options)[1:]
 
 
-def _pieces(text: str) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(number, words, word hashes) of all paragraphs that hold a word. One of fewer words than a shingle is filled up with empty ones."""
-    number = 0
+def _cuts(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places where lines are cut: least of all within REACH, the first of equal ones, all of them inside the line."""
+    n = len(hashes)
+    if n < 2 * REACH + 2:
+        return np.zeros(0, np.int64)
+    mixed = (hashes[:-1] * _U(3) + hashes[1:] * _U(5)) * _U(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> _U(29)
+    here = mixed[REACH : len(mixed) - REACH]
+    least = np.ones(len(here), bool)
+    for k in range(1, REACH + 1):
+        least &= here < mixed[REACH - k : len(mixed) - REACH - k]
+        least &= here <= mixed[REACH + k : len(mixed) - REACH + k]
+    at = np.nonzero(least)[0] + REACH + 1
+    line = np.searchsorted(starts, at, "right") - 1
+    return at[(at - starts[line] > REACH) & (ends[line] - at > REACH)]
+
+
+def _units(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, their hashes, and from where to where the paragraphs go: each line, then its pieces if there are several.
+
+    A line of fewer words than a shingle is filled up with empty ones.
+    """
+    words: list[bytes] = []
+    ends = []
     for line in text.encode().split(b"\n"):
-        words = line.split()
-        if not words:
-            continue
-        words += [b""] * (SHINGLE - len(words))
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        cuts = [0]
-        if len(words) > LONG:
-            mixed = (hashes[:-2] * _U(3) + hashes[1:-1] * _U(5) + hashes[2:] * _U(7)) * _U(0x9E3779B97F4A7C15) >> _U(33)
-            for at in (np.nonzero(mixed % _U(CUT_EVERY) == 0)[0] + 3).tolist():
-                while at - cuts[-1] > MAX_WORDS and len(words) - cuts[-1] - MAX_WORDS >= MIN_WORDS:
-                    cuts.append(cuts[-1] + MAX_WORDS)
-                if MIN_WORDS <= at - cuts[-1] and len(words) - at >= MIN_WORDS:
-                    cuts.append(at)
-        for a, b in zip(cuts, [*cuts[1:], len(words)], strict=True):
-            yield number, words[a:b], hashes[a:b]
-            number += 1
+        own = line.split()
+        if own:
+            words += own
+            if len(own) < SHINGLE:
+                words += [b""] * (SHINGLE - len(own))
+            ends.append(len(words))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    last = np.array(ends, np.int64)
+    first = np.concatenate([[0], last[:-1]]).astype(np.int64) if ends else last
+    cuts = _cuts(hashes, first, last)
+    several = np.diff(np.searchsorted(cuts, np.append(first, len(words)))) > 0
+    edges = np.sort(np.concatenate([first, cuts]))
+    a = np.concatenate([edges, first[several]])
+    b = np.concatenate([np.append(edges[1:], len(words))[: len(edges)], last[several]])
+    order = np.lexsort((-b, a))
+    return words, hashes, a[order], b[order]
+
+
+def _pieces(text: str) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(number, words, word hashes) of all paragraphs."""
+    words, hashes, starts, ends = _units(text)
+    for number, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+        yield number, words[a:b], hashes[a:b]
 
 
 def _shingles(hashes: np.ndarray) -> np.ndarray:
@@ -63,7 +95,7 @@ def _shingles(hashes: np.ndarray) -> np.ndarray:
 
 
 _OCCURS = pa.schema([("doc_id", pa.int64()), ("paragraphs", pa.int32()), ("units", pa.list_(pa.struct([("n", pa.int32()), ("pid", pa.int64())])))])
-_BANDS = pa.schema([("pid", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_BANDS = pa.schema([("pid", pa.int64()), ("key", pa.int64())])
 _TEXTS = pa.schema([("pid", pa.int64()), ("words", pa.binary())])
 
 
@@ -81,37 +113,56 @@ def _occurs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows_to_batches(rows(), _OCCURS)
 
 
-def _banded(bands: int, width: int):
+def few(similarity: float) -> int:
+    """A paragraph of that many shingles or fewer is alike to those with the same shingles only."""
+    return next(n for n in range(1000) if n + 1 >= similarity * (n + 2) - 1e-9)
+
+
+def _banded(bands: int, width: int, similarity: float):
     rng = np.random.default_rng(11)
     odd = rng.integers(0, 1 << 63, bands * width, dtype=np.uint64) * _U(2) + _U(1)
+    same = few(similarity)
+
+    def keyed(texts: Iterator[str], seen: set[int]) -> tuple[np.ndarray, np.ndarray] | None:
+        pids, hashes, starts, ends, held = [], [], [], [], 0
+        for text in texts:
+            words, own, firsts, lasts = _units(text)
+            for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True):
+                pid = _pid(words[a:b])
+                if pid not in seen:
+                    seen.add(pid)
+                    pids.append(pid)
+                    starts.append(held + a)
+                    ends.append(held + b - SHINGLE + 1)
+            hashes.append(own)
+            held += len(own)
+        if not pids:
+            return None
+        every, bounds = _shingles(np.concatenate(hashes)), np.stack([starts, ends], 1).reshape(-1)
+        low = []
+        for a in odd:
+            x = every * a
+            x ^= x >> _U(31)
+            # One value more, as the last paragraph may end with the last shingle.
+            low.append(np.minimum.reduceat(np.append(x, x[-1]), bounds)[::2])
+        names, keys = np.array(pids, np.int64), []
+        # Where the shingles must be the same, one band finds all.
+        wide = np.diff(bounds)[::2] > same
+        for k in range(bands):
+            x = np.full(len(pids), k + 1, np.uint64)
+            for j in range(width):
+                x = (x ^ low[k * width + j]) * _U(0xD6E8FEB86659FD93)
+                x ^= x >> _U(32)
+            keys.append(x[wide] if k else x)
+        return np.concatenate([names, *[names[wide]] * (bands - 1)]), np.concatenate(keys).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                seen: set[int] = set()
-                for t in b.column(1):
-                    pids, shingles = [], []
-                    for _, words, hashes in _pieces(t.as_py()):
-                        pid = _pid(words)
-                        if pid not in seen:
-                            seen.add(pid)
-                            pids.append(pid)
-                            shingles.append(_shingles(hashes))
-                    if not pids:
-                        continue
-                    every = np.concatenate(shingles)
-                    starts = np.cumsum([0, *map(len, shingles[:-1])])
-                    low = np.stack([np.minimum.reduceat((every * a) ^ ((every * a) >> _U(31)), starts) for a in odd], 1)
-                    keys = np.zeros((len(pids), bands), np.uint64)
-                    for k in range(bands):
-                        x = np.full(len(pids), k + 1, np.uint64)
-                        for j in range(width):
-                            x = (x ^ low[:, k * width + j]) * _U(0xD6E8FEB86659FD93)
-                            x ^= x >> _U(32)
-                        keys[:, k] = x
-                    yield from zip(pids, keys.view(np.int64).tolist(), strict=True)
-
-        yield from rows_to_batches(rows(), _BANDS)
+        for b in batches:
+            seen: set[int] = set()
+            for at in range(0, b.num_rows, _TEXTS_AT_ONCE):
+                found = keyed((t.as_py() for t in b.column(1).slice(at, _TEXTS_AT_ONCE)), seen)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], schema=_BANDS)
 
     return run
 
@@ -163,7 +214,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     bands, width = tuned(similarity)
     own, n = texts_of(docs), max(width_for(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = own.mapInArrow(_banded(bands, width), "pid long, bands array<long>").select("pid", F.explode("bands").alias("key"))
+    rows = own.mapInArrow(_banded(bands, width, similarity), "pid long, key long")
     # A key that can't be null gets no filter from the join, so both readers of this exchange share it.
     rows = rows.select("pid", F.coalesce("key", F.lit(0).cast("long")).alias("key")).repartition(n, "key")
     met = rows.groupBy("key").agg(F.min("pid").alias("least"), F.max("pid").alias("most")).where("least <> most").select("key")
@@ -181,6 +232,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def cut_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, n_paragraphs, n_removed, n_links, first_ids.
 
+    A line that is cut counts by itself and by its pieces, as ``n_paragraphs``, ``n_removed`` and ``n_links`` do.
     Of each class of alike paragraphs the first (smallest doc_id, then position) stays. ``n_links`` counts a document's
     paragraphs that are alike to another one, ``first_ids`` are the other documents that hold what stays in their place.
     Null and empty texts have no paragraphs; null doc_ids come last. Rows with one doc_id are taken as one document.

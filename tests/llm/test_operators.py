@@ -411,6 +411,51 @@ def test_short_lines_are_compared(spark):
     assert want[1][1] == 12 and want[3][1] == 2 and want[5][1] == 1 and want[9][1] == 1
 
 
+def test_passages_are_found_in_own_and_longer_lines(spark):
+    """Passages of 51 to 150 words, raw texts: the later document is linked to the first, and most of the passage's words are in common pieces."""
+    ready(spark)
+    rng = random.Random(4)
+    made, lengths = [], []
+    word = lambda: f"w{rng.randrange(10**6)}"
+    for n in (51, 55, 60, 64, 65, 80, 100, 150) * 8:
+        passage = " ".join(word() for _ in range(n))
+        around = [" ".join(word() for _ in range(rng.randint(5, 90))) for _ in range(4)]
+        first = passage if len(lengths) % 2 else f"{around[0]} {passage} {around[1]}"
+        made += [first, f"{around[2]} {passage} {around[3]}"]
+        lengths.append(n)
+    # 50 of 60 words in common: Jaccard 0.70 as lines.
+    common = " ".join(word() for _ in range(50))
+    made += [common + "".join(" " + word() for _ in range(10)) for _ in range(2)]
+    rows = {r.doc_id: r for r in paragraph_dedup.cut_paragraphs(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    assert all(rows[d].first_ids == ([d - 1] if d % 2 else []) for d in range(len(made)))
+    for k, n in enumerate(lengths):
+        held = [{b" ".join(words) for _, words, _ in paragraph_dedup._pieces(made[2 * k + i])} for i in range(2)]
+        assert all(x in made[2 * k].encode() for x in held[0])
+        assert sum(len(x.split()) for x in held[0] & held[1]) >= 0.25 * n
+    assert sum(rows[d].n_removed for d in range(1, len(made), 2)) > 200
+
+
+def test_lines_with_a_word_changed_stay_linked(spark):
+    """As whole lines, whatever their length: Jaccard of 0.8 and more between lines, with the change amid them."""
+    ready(spark)
+    rng = random.Random(5)
+    made = []
+    for n in (49, 56, 64, 90, 300):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        made += [" ".join(words), " ".join([*words[: n // 2], "changed", *words[n // 2 + 1 :]])]
+    lines = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    found = {frozenset((r.a, r.b)) for r in paragraph_dedup.links(lines).collect()}
+    for a, b in zip(made[::2], made[1::2], strict=True):
+        assert frozenset(paragraph_dedup._pid(x.encode().split()) for x in (a, b)) in found
+
+
+def test_few_shingles_must_be_the_same():
+    for s in (0.5, 0.8, 0.9):
+        n = paragraph_dedup.few(s)
+        assert not paragraph_dedup.similar(set(range(n)), set(range(n + 1)), s)
+        assert paragraph_dedup.similar(set(range(n + 1)), set(range(n + 2)), s)
+
+
 def test_bit_planes_come_back():
     from strataflow.llm.common import bit_planes, from_bit_planes
 
