@@ -9,6 +9,7 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import regex
 
 _U = np.uint64
 #: Code points that \s of the pre-token pattern takes (Unicode White_Space), fixed values.
@@ -142,15 +143,74 @@ def model_encode_words(words: list[str], name: str) -> list[list[int]]:
     return [[t.id for t in model.tokenize("".join([letters[b] for b in w.encode()]))] for w in words]
 
 
+_WORD = regex.compile(r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\p{Join_Control}]")
+_BLANKS, _BLANKS_BEFORE = regex.compile(r"\p{White_Space}*"), regex.compile(r"(?r)\p{White_Space}*")
+
+
+class AddedTokens:
+    """The added tokens of a tokenizers file, found as the library does: the longest of the leftmost, those that are not normalized first."""
+
+    def __init__(self, name: str):
+        self.passes = []
+        every = _model(name).get_added_tokens_decoder()
+        for normalized in (False, True):
+            tokens = {t.content: (i, t) for i, t in every.items() if t.content and t.normalized == normalized}
+            if tokens:
+                self.passes.append((regex.compile("|".join(map(regex.escape, sorted(tokens, key=len, reverse=True)))), tokens))
+
+    def within(self, text: str) -> bool:
+        return any(pattern.search(text) for pattern, _ in self.passes)
+
+    def cut(self, text: str) -> list[str | int]:
+        """Parts between added tokens, and those tokens' ids, in order."""
+        out: list[str | int] = [text]
+        for one in self.passes:
+            out = [y for x in out for y in (self._cut(x, *one) if isinstance(x, str) else [x])]
+        return out
+
+    @staticmethod
+    def _cut(text: str, pattern: regex.Pattern, tokens: dict) -> list[str | int]:
+        out, done = [], 0
+        for m in pattern.finditer(text):
+            (number, token), (a, b) = tokens[m[0]], m.span()
+            if token.single_word and (a and _WORD.match(text, a - 1) or _WORD.match(text, b)):
+                continue
+            if token.lstrip:
+                a = max(done, _BLANKS_BEFORE.match(text, 0, a).start())
+            if token.rstrip:
+                b = _BLANKS.match(text, b).end()
+            out += [text[done:a], number] if done < a else [number]
+            done = b
+        return [*out, text[done:]] if done < len(text) else out
+
+
 class Encoder:
     """Texts to ids with a tokenizers file; words seen before in this task are remembered, up to a bound."""
 
     def __init__(self, name: str, remember: int = 200_000):
         self.name, self.remember = name, remember
         self.known: dict[str, np.ndarray] = {}
+        self.added = AddedTokens(name)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other (int64), and how many each text has."""
+        """All ids one after the other (int64), and how many each text has. Added tokens are cut out before pre-tokens are found."""
+        if not any(map(self.added.within, texts)):
+            return self._plain(texts)
+        parts, owners, before, tokens, sizes = [], [], [], [], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            for x in self.added.cut(text) if self.added.within(text) else [text]:
+                if isinstance(x, str):
+                    parts.append(x)
+                    owners.append(k)
+                else:
+                    before.append(len(parts))
+                    tokens.append(x)
+                    sizes[k] += 1
+        ids, counts = self._plain(parts)
+        np.add.at(sizes, np.array(owners, np.int64), counts)
+        return np.insert(ids, np.concatenate([[0], np.cumsum(counts)])[before], tokens), sizes
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = Split(texts)
         if not split.words:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)

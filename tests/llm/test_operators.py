@@ -217,6 +217,34 @@ def library_ids(t):
     return bpe_text._model("byte_bpe_50k.json").encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_library(tmp_path):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    with open(file) as f:
+        made = json.load(f)
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}
+    extra = [("<|end", {}), ("<l>", {"lstrip": True}), ("<r>", {"rstrip": True}), ("cat", {"single_word": True}), ("<n>", {"normalized": True}), ("a<n>b", {"normalized": True, "lstrip": True, "rstrip": True})]
+    made["added_tokens"] += [{"id": 50257 + k, "content": c, **flags, **own} for k, (c, own) in enumerate(extra)]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(made))
+    rng = random.Random(6)
+    pieces = ["<|endoftext|>", "<|end", "<|endoftext|", "<l>", "<r>", "cat", "<n>", "a<n>b", "it's", "'s", " ", "  ", "\n", "\u00a0", "_", "é", "\u0301", "x1", "."]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(1500)] + ["a <|endoftext|> b", "<|endoftext|>" * 3, ""]
+    for name in ("byte_bpe_50k.json", str(other)):
+        library = Tokenizer.from_file(file if name == "byte_bpe_50k.json" else name)
+        encode = bpe_text.Encoder(name)
+        for at in range(0, len(texts), 50):
+            want = [library.encode(t, add_special_tokens=False).ids for t in texts[at : at + 50]]
+            ids, sizes = encode(texts[at : at + 50])
+            assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+    assert bpe_text.Encoder("byte_bpe_50k.json")(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275]
+    assert [x.tolist() for x in bpe_text.Encoder("byte_bpe_50k.json")(["<|endoftext|>"])] == [[50256], [1]]
+
+
 def test_elias_fano_selects_what_it_was_given():
     rng = np.random.default_rng(4)
     for n, top in ((0, 1), (1, 1), (5, 3), (1000, 10), (1000, 10**9), (3000, 2**40)):
