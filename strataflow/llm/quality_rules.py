@@ -2,7 +2,8 @@
 
 Base counts are exact. On top, five statistics of a document can each reject it beyond a cutoff. The cutoffs are selected for
 each stratum (a range of document lengths) on labelled holdouts: a cutoff is admitted if the exact
-binomial test shows that it rejects at most a share ``risk`` of good documents. The level is divided
+binomial test shows that it rejects at most a share ``risk`` / rules of good documents, so that all rules together
+reject at most a share ``risk``. The level is divided
 by the number of tests (strata x rules x cutoffs), so all admitted cutoffs hold at once with
 confidence 1 - ``level``; of the admitted ones of a rule the one that rejects most is used.
 """
@@ -107,7 +108,9 @@ def thresholds(counts: DataFrame, labels: DataFrame, risk: float, level: float)
     tested = seen.select("stratum", "s.rule", "s.value", F.explode("s.cuts").alias("cutoff"))
     tests = (len(STRATA) + 1) * sum(map(len, RULES.values()))
     sums = tested.groupBy("stratum", "rule", "cutoff").agg(F.count("*").alias("n"), F.sum((F.col("value") >= F.col("cutoff")).cast("long")).alias("x"))
-    sound = sums.where(F.col("x") < risk * F.col("n")).where(_tail(F.col("x"), F.col("n"), risk) <= level / tests)
+    # A document goes if any rule fires: the rules' shares add up to the risk at most.
+    each = risk / len(RULES)
+    sound = sums.where(F.col("x") < each * F.col("n")).where(_tail(F.col("x"), F.col("n"), each) <= level / tests)
     return sound.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 

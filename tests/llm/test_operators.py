@@ -188,6 +188,19 @@ def test_tail_is_the_binomial_distribution(spark):
         assert r.p == pytest.approx(sum(comb(r.n, i) * 0.02**i * 0.98 ** (r.n - i) for i in range(r.x + 1)), rel=1e-9)
 
 
+def test_rules_together_reject_no_more_than_the_risk(spark):
+    """Four rules that each reject other good documents, 8 of 1,000: any one alone is within 1 %, together they are not. With 1 of 1,000 each they are."""
+    ready(spark)
+    for share, admitted in ((8, set()), (1, {"repeats", "lines", "symbols", "long_words"})):
+        hit = lambda k, bad, well: F.when(F.floor(F.col("doc_id") % 1000 / share) == k, bad).otherwise(well).cast("long")  # noqa: B023, E731
+        counts = spark.range(30_000).toDF("doc_id").select(
+            "doc_id", F.lit(200).cast("long").alias("n_words"), hit(3, 4000, 1000).alias("word_chars"), hit(2, 300, 0).alias("n_symbols"), hit(1, 60, 0).alias("n_dup_lines"),
+            hit(0, 40, 0).alias("n_repeat_words"), F.lit(100).cast("long").alias("n_lines"), F.lit(False).alias("base_failed"),
+        )
+        found = quality_rules.thresholds(counts, counts.select("doc_id", F.lit(1).alias("quality")), 0.01, 0.05).collect()
+        assert {r.rule for r in found} - {"few_words"} == admitted
+
+
 # --- byte-level BPE ----------------------------------------------------------------
 
 
