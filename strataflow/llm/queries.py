@@ -8,7 +8,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe_codec, packing_gga, paragraph_dedup, pii, quality_qda, quality_rules, simhash_anchor, suffix_dedup, token_binary, topk_nra
+from strataflow.llm import (
+    bpe_codec,
+    collocations,
+    hilbert_shards,
+    packing_gga,
+    paragraph_dedup,
+    pii,
+    quality_qda,
+    quality_rules,
+    simhash_anchor,
+    source_divergence,
+    suffix_dedup,
+    token_binary,
+    topk_nra,
+)
 from strataflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +94,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.shards_of(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
