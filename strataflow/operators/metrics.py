@@ -56,13 +56,30 @@ def rating_metrics(
     return df.groupBy(*keys).agg(*aggs)
 
 
-def rating_totals(df: DataFrame, keys: Sequence[str], rating: str = "rating") -> DataFrame:
-    """Mergeable form of :func:`rating_metrics`: ``total_ratings``, ``points`` and ``beyond`` per key."""
-    return df.groupBy(*keys).agg(
+def rating_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    rating: str = "rating",
+    positive_at: float | None = None,
+    last_activity: str | None = None,
+) -> DataFrame:
+    """Mergeable form of :func:`rating_metrics`: ``total_ratings``, ``points`` and ``beyond`` per key, on request ``positives`` and ``last_activity``."""
+    aggs = [
         F.count(F.lit(1)).alias("total_ratings"),
         F.sum(_points(rating).cast("bigint")).alias("points"),
         F.sum(_beyond(rating)).alias("beyond"),
-    )
+    ]
+    if positive_at is not None:
+        aggs.append(F.count_if(F.col(rating) >= positive_at).alias("positives"))
+    if last_activity is not None:
+        aggs.append(F.max(last_activity).cast("timestamp").alias("last_activity"))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def merged_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Several rows of :func:`rating_totals` per key as one: counts and sums add up, the last activity is the latest."""
+    merge = {"last_activity": F.max}
+    return df.groupBy(*keys).agg(*[merge.get(c, F.sum)(c).alias(c) for c in df.columns if c not in keys])
 
 
 def average_of_totals() -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.plans.entities import ENTITIES
 from strataflow.plans.gold import MODELS, Model, Thresholds, in_order
 from strataflow.plans.incremental import read_cleaned, read_features
+from strataflow.plans.rollups import stored_rollups, update
 from strataflow.session import apply_defaults, sized_shuffle
 from strataflow.sources.catalog import register_snapshot
 from strataflow.sources.files import drop_path, new_scratch, path_exists, size_of
@@ -50,8 +51,8 @@ def silver_tables(spark: SparkSession, base: str) -> dict[str, Callable[[], Data
 
 
 def _features(spark: SparkSession, entity, base: str) -> DataFrame:
-    """Stored features, or the same computed from the cleaned table where storing is off."""
-    if path_exists(spark, entity.features_path(base)):
+    """Stored features, or the same computed from the cleaned table where the entity does not store them."""
+    if entity.run_features:
         return read_features(spark, entity, base)
     return entity.build_features(read_cleaned(spark, entity, base))
 
@@ -76,8 +77,9 @@ def build(
     thresholds: Thresholds = Thresholds(),
     database: str | None = "gold",
     threads: int = 4,
+    incremental: bool = False,
 ) -> dict[str, str]:
-    """Build the selected models from the silver tables under ``base``.
+    """Build the selected models from the silver tables under ``base``, with ``incremental`` from rollups that are kept and only brought up to date.
 
     Marts are stored as Parquet under ``gold/`` and registered in ``database``;
     the other models become temporary views. Marts are written ``threads`` at a
@@ -86,11 +88,21 @@ def build(
     apply_defaults(spark)
     silver = f"{base}/silver"
     with sized_shuffle(spark, size_of(spark, [silver]) if path_exists(spark, silver) else 0):
-        return _build(spark, base, select, thresholds, database, threads)
+        tables = silver_tables(spark, base)
+        if incremental:
+            update(spark, base)
+            tables.update(stored_rollups(spark, base))
+        return _build(spark, base, select, thresholds, database, threads, tables)
 
 
 def _build(
-    spark: SparkSession, base: str, select: str | None, thresholds: Thresholds, database: str | None, threads: int
+    spark: SparkSession,
+    base: str,
+    select: str | None,
+    thresholds: Thresholds,
+    database: str | None,
+    threads: int,
+    tables: Mapping[str, Callable[[], DataFrame]],
 ) -> dict[str, str]:
     scratch = new_scratch(spark, "gold-build")
 
@@ -109,8 +121,8 @@ def _build(
         drop_older(spark, path, keep=2)
         return path
 
-    stored_ref = resolver(silver_tables(spark, base), thresholds, store)
-    view_ref = resolver(silver_tables(spark, base), thresholds)
+    stored_ref = resolver(tables, thresholds, store)
+    view_ref = resolver(tables, thresholds)
     models = selected(select)
     results: dict[str, str] = {}
     for model in models:

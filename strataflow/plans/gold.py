@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions import iso_day_of_week
-from strataflow.operators import merge_totals, rank_within, rating_metrics, rating_totals, require_keys, top_k
+from strataflow.operators import merge_totals, rank_within, rating_totals, require_keys, top_k
 from strataflow.operators.metrics import POSITIVE_AT, average_of_merged, average_of_totals, ordering
 from strataflow.plans.silver.movies import NO_GENRES
 
@@ -199,6 +199,23 @@ def rollup_days(ref: Ref, t: Thresholds) -> DataFrame:
     return rating_totals(ref("stg_ratings"), ["event_date", "rating"])
 
 
+@_model("rollup")
+def rollup_users(ref: Ref, t: Thresholds) -> DataFrame:
+    return rating_totals(ref("stg_ratings"), ["user_id"], positive_at=POSITIVE_AT, last_activity="event_timestamp")
+
+
+@_model("rollup")
+def rollup_user_genres(ref: Ref, t: Thresholds) -> DataFrame:
+    """Totals of a user per genre.
+
+    The one join at rating grain. Genres are broadcast when their size allows it;
+    otherwise adaptive execution splits the partition of a hot movie, which an
+    inner sort-merge join right below a shuffle permits.
+    """
+    ratings = ref("stg_ratings").select("user_id", "movie_id", "rating")
+    return rating_totals(ratings.join(ref("stg_movie_genres"), "movie_id"), ["user_id", "genre"])
+
+
 # --- intermediate -----------------------------------------------------------
 
 
@@ -225,21 +242,19 @@ def int_genre_metrics(ref: Ref, t: Thresholds) -> DataFrame:
 
 @_model("intermediate")
 def int_user_metrics(ref: Ref, t: Thresholds) -> DataFrame:
-    return rating_metrics(
-        ref("stg_ratings"), ["user_id"], positive_at=POSITIVE_AT, last_activity="event_timestamp"
+    return ref("rollup_users").select(
+        "user_id",
+        "total_ratings",
+        average_of_totals().alias("avg_rating"),
+        (F.col("positives") / F.col("total_ratings")).alias("pct_positive"),
+        "last_activity",
     )
 
 
 @_model("intermediate")
 def int_user_genre_metrics(ref: Ref, t: Thresholds) -> DataFrame:
-    """Ratings of a user per genre.
-
-    The one join at rating grain. Genres are broadcast when their size allows it;
-    otherwise adaptive execution splits the partition of a hot movie, which an
-    inner sort-merge join right below a shuffle permits.
-    """
-    ratings = ref("stg_ratings").select("user_id", "movie_id", "rating")
-    return rating_metrics(ratings.join(ref("stg_movie_genres"), "movie_id"), ["user_id", "genre"])
+    """Ratings of a user per genre."""
+    return ref("rollup_user_genres").select("user_id", "genre", "total_ratings", average_of_totals().alias("avg_rating"))
 
 
 # --- marts -------------------------------------------------------------------

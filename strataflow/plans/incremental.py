@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from strataflow.plans.entities import Entity
 from strataflow.session import apply_defaults, shuffle_width, sized_shuffle
 from strataflow.sources.catalog import get_checkpoint, register_table, set_checkpoint
+from strataflow.sources.changes import CHANGE_TYPE, COMMIT_VERSION, NEW_CONTENT, changes_since
 from strataflow.sources.files import drop_path, new_scratch, path_exists, size_of
 from strataflow.sources.versions import (
     committed_versions,
@@ -33,7 +34,7 @@ def last_processed(spark: SparkSession, entity: Entity, base: str) -> int | None
 
 
 def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: DataFrame, version: int):
-    """Write the cleaned rows; return them re-readable, and the scratch folder used, if any.
+    """Write the cleaned rows; return them re-readable, the scratch folder used, if any, and how many were added.
 
     The batch is needed again for the merge and for the features, so it is stored
     once rather than computed each time: the first load in the table itself, later
@@ -41,12 +42,12 @@ def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: Data
     """
     path = entity.cleaned_path(base)
     if not committed_versions(spark, path):
-        insert_only_merge(cleaned, path, entity.merge_keys_cleaned, version, order_by=entity.order_cleaned)
-        return read_versions(spark, path, [version], entity.cleaned_schema), None
+        rows = insert_only_merge(cleaned, path, entity.merge_keys_cleaned, version, order_by=entity.order_cleaned)
+        return read_versions(spark, path, [version], entity.cleaned_schema), None, rows
     scratch = new_scratch(spark, f"{entity.name}-batch")
     cleaned.write.parquet(scratch)
     batch = spark.read.schema(entity.cleaned_schema).parquet(scratch)
-    insert_only_merge(
+    rows = insert_only_merge(
         batch,
         path,
         entity.merge_keys_cleaned,
@@ -55,7 +56,7 @@ def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: Data
         bound=entity.bound,
         schema=entity.cleaned_schema,
     )
-    return batch, scratch
+    return batch, scratch, rows
 
 
 def _bytes_of_run(spark: SparkSession, entity: Entity, base: str, last: int | None) -> tuple[int, int]:
@@ -88,21 +89,37 @@ def _backfill_features(spark: SparkSession, entity: Entity, base: str, as_of: Co
     return version
 
 
+def _new_rows(spark: SparkSession, entity: Entity, base: str, last: int | None, scratch: str) -> DataFrame:
+    """What bronze has beyond version ``last``.
+
+    Of a table that every load replaces these are the rows that a load did not find in the one before: merges only insert, so what
+    was cleaned once has nothing to add. Where the loads to compare with are gone, whole loads are read.
+    """
+    bronze = entity.bronze_path(base)
+    if entity.snapshot != "latest" or last is None or last not in committed_versions(spark, bronze):
+        return read_since(spark, bronze, last, entity.snapshot, entity.bronze_schema)
+    feed = changes_since(spark, bronze, last, types=NEW_CONTENT, scratch=scratch, schema=entity.bronze_schema)
+    return feed.drop(CHANGE_TYPE, COMMIT_VERSION)
+
+
 def _process(
     spark: SparkSession, entity: Entity, base: str, last: int | None, current: int, as_of: Column | None
 ) -> bool:
     added, _ = _bytes_of_run(spark, entity, base, last)
     tasks = shuffle_width(added, spark.sparkContext.defaultParallelism)
-    raw = read_since(spark, entity.bronze_path(base), last, entity.snapshot, entity.bronze_schema)
-    if raw.isEmpty():
-        return False
+    changes = new_scratch(spark, f"{entity.name}-changes")
+    raw = _new_rows(spark, entity, base, last, changes)
     # What a failed run left behind must not count as existing rows.
     drop_leftover(spark, entity.cleaned_path(base), last)
     scratch = None
     try:
         batch = raw
         if entity.run_cleaned:
-            batch, scratch = _store_cleaned(spark, entity, base, entity.build_cleaned(raw), current)
+            batch, scratch, stored = _store_cleaned(spark, entity, base, entity.build_cleaned(raw), current)
+            # The job that stored the rows counted them; only where there are none it matters whether there was input.
+            if not stored and last is None and raw.isEmpty():
+                drop_path(spark, version_path(entity.cleaned_path(base), current))
+                return False
         if entity.run_features:
             insert_only_merge(
                 entity.build_features(batch, as_of),
@@ -115,8 +132,9 @@ def _process(
                 tasks=tasks,
             )
     finally:
-        if scratch:
-            drop_path(spark, scratch)
+        for path in (scratch, changes):
+            if path:
+                drop_path(spark, path)
     return True
 
 

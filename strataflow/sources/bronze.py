@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.operators import stamp_audit
 from strataflow.sources.catalog import register_snapshot
+from strataflow.sources.csv_files import load_csv_checked
 from strataflow.sources.jdbc import JdbcSource, extract_table
-from strataflow.sources.versions import next_version, write_version
+from strataflow.sources.versions import next_version, write_observed
 
 
 def load_to_bronze(
@@ -22,18 +23,37 @@ def load_to_bronze(
 ) -> str | None:
     """Store ``df`` as the new content of a bronze table, columns and all.
 
-    Nothing is written for an empty ``df``. Returns the path, or None.
+    Its source is read once: the write itself tells whether there were rows, and an empty ``df`` leaves the
+    table as it was. Returns the path, or None.
     """
-    if df.isEmpty():
-        return None
     path = f"{base}/batch/{table_name}"
-    stamped = stamp_audit(df, source)
     version = next_version(spark, path)
-    write_version(stamped, path, version)
+    if not write_observed(stamp_audit(df, source), path, version)["rows"]:
+        return None
     register_snapshot(spark, f"{database}.{table_name}", path, version)
     return path
 
 
+def rejects_path(base: str, table_name: str) -> str:
+    return f"{base}/batch_rejects/{table_name}"
+
+
+def ingest_csv(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    table_name: str,
+    base: str,
+    multiline: bool = False,
+    database: str = "bronze",
+) -> str | None:
+    """Load CSV files into a bronze table; lines that do not fit become a version beside it, of the same number."""
+    rows, rejects = load_csv_checked(spark, path, schema, multiline)
+    number = next_version(spark, f"{base}/batch/{table_name}")
+    write_observed(rejects, rejects_path(base, table_name), number)
+    return load_to_bronze(spark, rows, table_name, base, "csv", database)
+
+
 def ingest_table(
     spark: SparkSession,
     table: str | None,

@@ -19,6 +19,9 @@ HEADERS_SCHEMA = "file_path string, schema_name string, columns array<string>"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
+_MISFIT = "_misfit"
+
+
 def load_csv(spark: SparkSession, path: str, schema: str | StructType, multiline: bool = False) -> DataFrame:
     """CSV with the given columns, by position; the header line is skipped.
 
@@ -28,6 +31,31 @@ def load_csv(spark: SparkSession, path: str, schema: str | StructType, multiline
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multiline).csv(path)
 
 
+def load_csv_checked(
+    spark: SparkSession, path: str, schema: str | StructType, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``load_csv`` with the lines that do not fit apart: ``(rows, rejects)``.
+
+    A line with more or fewer values than there are columns, or with a value that is not of its column's type, is a reject, as
+    ``data, error, timestamp, topic`` (the file); it does not become a row of NULLs.
+    """
+    columns = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wider = StructType([*columns, StructField(_MISFIT, StringType())])
+    reader = spark.read.schema(wider).options(**CSV_OPTIONS, multiLine=multiline, columnNameOfCorruptRecord=_MISFIT)
+    read = reader.csv(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    rows = read.where(F.col(_MISFIT).isNull()).select(*columns.names)
+    # Spark tells misfits only where it reads all columns, so all of them take part in a comparison that always holds.
+    values = F.concat_ws("\0", *[F.col(f"`{c}`").cast("string") for c in columns.names])
+    never = values.eqNullSafe(F.concat(F.col(_MISFIT), F.lit("\0\0")))
+    rejects = read.where(F.col(_MISFIT).isNotNull() & ~never).select(
+        F.col(_MISFIT).alias("data"),
+        F.lit(f"does not fit {columns.simpleString()}").alias("error"),
+        F.current_timestamp().alias("timestamp"),
+        F.col("_file").alias("topic"),
+    )
+    return rows, rejects
+
+
 def discover_csv_files(spark: SparkSession, base: str) -> list[str]:
     return glob_paths(spark, f"{base}/*.csv")
 

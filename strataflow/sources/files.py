@@ -30,6 +30,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Matching paths, fully qualified, in name order."""
     fs, p = _fs(spark, pattern)
@@ -46,6 +51,13 @@ def size_of(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
+def arrow_path(path: str):
+    """The Arrow file system of a path or URI, and the path in it, for work outside the JVM."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """First line of a file; reads no further than its first buffer."""
     fs, p = _fs(spark, path)

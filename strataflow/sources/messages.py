@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,7 +19,7 @@ def topic_for(schema_name: Column | str, prefix: str = TOPIC_PREFIX) -> Column:
 
 def schema_name_of(topic: Column | str, prefix: str = TOPIC_PREFIX) -> Column:
     """The topic without its prefix; a topic that has none passes as it is."""
-    return F.regexp_replace(topic, f"^{prefix}-", "")
+    return F.regexp_replace(topic, f"^{re.escape(prefix)}-", "")
 
 
 def to_messages(df: DataFrame, schema_name: Column, columns: list[str] | None = None) -> DataFrame:
@@ -33,15 +36,54 @@ def parse_messages(messages: DataFrame, schema: StructType) -> DataFrame:
     ).select("topic", "data.*")
 
 
+def unknown_schema(name: Column) -> Column:
+    """The error of a message that no schema is registered for."""
+    return F.concat(F.lit("no schema registered for "), F.coalesce(name, F.lit("no topic")))
+
+
+def misfit(schemas: Mapping[str, Sequence[str]], name: str = "_schema", value: str = "value") -> Column:
+    """Why a message can't become a row of its schema; NULL if it can.
+
+    ``schemas`` has the columns of each known schema. A message that would be a row of NULLs is a misfit: without a value, not a JSON
+    object, or with none of its schema's columns in it.
+    """
+    fields = F.from_json(F.col(value).cast("string"), "map<string, string>")
+    if not schemas:
+        return unknown_schema(F.col(name))
+    known = F.create_map(*[x for n, columns in schemas.items() for x in (F.lit(n), F.array(*map(F.lit, columns)))])
+    columns = F.try_element_at(known, F.col(name))
+    return (
+        F.when(columns.isNull(), unknown_schema(F.col(name)))
+        .when(F.col(value).isNull(), "no value")
+        .when(fields.isNull() | ~F.col(value).cast("string").rlike(r"^\s*\{"), "not a JSON object")
+        .when(~F.exists(columns, lambda c: F.try_element_at(fields, c).isNotNull()), F.concat(F.lit("no field of "), F.col(name)))
+    )
+
+
 def dead_letters(messages: DataFrame, error: Column) -> DataFrame:
-    """Rejected messages as ``data, error, timestamp``."""
+    """Rejected messages as ``data, error, timestamp, topic``."""
     return messages.select(
         F.col("value").cast("string").alias("data"),
         error.alias("error"),
         F.current_timestamp().alias("timestamp"),
+        "topic",
     )
 
 
+def tail_messages(rows: DataFrame, registry: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
+    """Rows of ``csv_tail_stream`` as messages of the schema that ``registry`` has for their file, by its name.
+
+    A row with more or fewer values than its schema has columns becomes a JSON array, which no schema takes, and one of a file that is not in the registry has
+    no topic; so both reach the quarantine and neither is lost.
+    """
+    name = F.element_at(F.split("file_path", "/"), -1)
+    known = registry.select(F.element_at(F.split("file_path", "/"), -1).alias("_name"), "schema_name", "columns")
+    met = rows.withColumn("_name", name).join(known, "_name", "left")
+    fits = F.size("columns") == F.size("values")
+    value = F.when(fits, F.to_json(F.map_from_arrays("columns", "values"))).otherwise(F.to_json("values"))
+    return met.select(topic_for("schema_name", prefix).alias("topic"), value.alias("value"))
+
+
 def kafka_messages(spark: SparkSession, servers: str, prefix: str = TOPIC_PREFIX, **options) -> DataFrame:
     """All topics of the prefix from their beginning; needs the Kafka connector on the class path."""
     return (

@@ -10,15 +10,15 @@ time: two that pick the same number would replace each other's rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
-from strataflow.sources.files import drop_path, glob_paths
+from strataflow.sources.files import create_empty, drop_path, glob_paths
 
 VERSION_COL = "_version"
 #: Stretches of days a merge looks for in its target; between them nothing is read.
@@ -44,6 +44,13 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if latest is None else latest + 1
 
 
+def _dealt(df: DataFrame, order_by: Sequence[str], tasks: int | None) -> DataFrame:
+    if not order_by:
+        return df
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(tasks, *order_by).sortWithinPartitions(*order_by)
+
+
 def write_version(
     df: DataFrame, path: str, version: int, order_by: Sequence[str] = (), tasks: int | None = None
 ) -> None:
@@ -54,16 +61,40 @@ def write_version(
     hold tight ranges and a reader skips what it does not ask for. A value that holds most rows is
     split where the further columns differ.
     """
-    if order_by:
-        tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(tasks, *order_by).sortWithinPartitions(*order_by)
-    df.write.mode("overwrite").parquet(version_path(path, version))
+    _dealt(df, order_by, tasks).write.mode("overwrite").parquet(version_path(path, version))
+
+
+def write_observed(
+    df: DataFrame,
+    path: str,
+    version: int,
+    order_by: Sequence[str] = (),
+    tasks: int | None = None,
+    metrics: Mapping[str, Column] | None = None,
+    keep_empty: bool = False,
+) -> dict[str, int]:
+    """``write_version`` that also returns the number of ``rows`` and further ``metrics`` (aggregates) of what it wrote, from the job that wrote it.
+
+    They are observed above the sort: below it, the job that samples the ranges would count as well. The version is committed
+    after its rows are known, and a version without any is taken back unless ``keep_empty``, so readers never see an empty one.
+    """
+    seen = Observation()
+    asked = {"rows": F.count(F.lit(1)), **(metrics or {})}
+    observed = _dealt(df, order_by, tasks).observe(seen, *[c.alias(name) for name, c in asked.items()])
+    target = version_path(path, version)
+    observed.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
+    found = seen.get
+    if found["rows"] or keep_empty:
+        create_empty(df.sparkSession, f"{target}/_SUCCESS")
+    else:
+        drop_path(df.sparkSession, target)
+    return found
 
 
 def read_versions(
-    spark: SparkSession, path: str, versions: Sequence[int], schema: str | None = None
+    spark: SparkSession, path: str, versions: Sequence[int], schema: str | None = None, keep_version: bool = False
 ) -> DataFrame:
-    """Rows of the given versions.
+    """Rows of the given versions, with ``keep_version`` also their number.
 
     With ``schema`` columns come in its order and no footer is opened to plan the
     read. Without it the schema is that of a file of the one version, or, of several
@@ -77,9 +108,9 @@ def read_versions(
     else:
         reader = reader.schema(f"{schema}, {VERSION_COL} int")
     df = reader.parquet(*[version_path(path, v) for v in versions])
-    if schema is None:
-        return df.drop(VERSION_COL)
-    return df.select(*StructType.fromDDL(schema).names)
+    if schema is not None:
+        df = df.select(*StructType.fromDDL(schema).names, VERSION_COL)
+    return df if keep_version else df.drop(VERSION_COL)
 
 
 def read_since(
@@ -175,14 +206,14 @@ def insert_only_merge(
     bound: Sequence[str] = (),
     schema: str | None = None,
     tasks: int | None = None,
-) -> None:
+) -> int:
     """Add the rows of ``batch`` whose key the table does not hold yet, as ``version``.
 
     Creates the table when there is none and appends everything when ``keys`` is
     empty. Existing rows are never changed. ``bound`` names columns, fixed by the
     key, by which the target is narrowed to the batch's range; it makes the merge
     read ``batch`` more than once, so pass a stored one. ``order_by`` and ``tasks``
-    are those of ``write_version``.
+    are those of ``write_version``. Returns how many rows were added.
     """
     spark = batch.sparkSession
     others = [v for v in committed_versions(spark, path) if v != version]
@@ -190,4 +221,4 @@ def insert_only_merge(
     if keys and others:
         target = read_versions(spark, path, others, schema)
         rows = new_rows(batch, _within_batch_range(batch, target, bound), keys)
-    write_version(rows, path, version, order_by, tasks)
+    return write_observed(rows, path, version, order_by, tasks, keep_empty=True)["rows"]

@@ -8,8 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.sources import csv_files, messages, registry, versions
-from strataflow.streaming import route_messages, start_bronze_stream
+from strataflow.sources import csv_files, csv_tail, messages, registry, versions
+from strataflow.sources.bronze import ingest_csv, rejects_path
+from strataflow.sources.files import drop_path, glob_paths
+from strataflow.streaming import ingest, route_messages, start_bronze_stream
 from strataflow.streaming.ingest import quarantine_path, stream_path
 from tests.conftest import rows
 
@@ -36,15 +38,205 @@ def test_routing(spark, base):
     assert route_messages(df, 0, SCHEMAS, base, database="bronze_stream") == ["ratings"]
     out = bronze(spark, base)
     assert out.columns == ["userId", "rating", "_ingestion_timestamp", "_source", "_topic"]
-    assert rows(out.select("userId", "rating", "_topic")) == [
-        ("1", "4", "csv-ratings"), ("2", None, "ratings"), (None, None, "csv-ratings"),
-    ]
+    assert rows(out.select("userId", "rating", "_topic")) == [("1", "4", "csv-ratings"), ("2", None, "ratings")]
     rejected = versions.read_since(spark, quarantine_path(base))
-    assert rejected.columns == ["data", "error", "timestamp"]
-    assert rows(rejected.select("data", "error")) == [
-        ('{"a": 1}', "no schema registered for other"), ('{"b": 1}', "no schema registered for no topic"),
+    assert rejected.columns == ["data", "error", "timestamp", "topic"]
+    assert rows(rejected.select("data", "error", "topic")) == [
+        ("not json", "not a JSON object", "csv-ratings"),
+        ('{"a": 1}', "no schema registered for other", "csv-other"),
+        ('{"b": 1}', "no schema registered for no topic", None),
+    ]
+    assert spark.table("bronze_stream.ratings").count() == 2
+
+
+def test_every_message_becomes_a_row_or_a_dead_letter(spark, base):
+    values = [
+        '{"userId": "1"}', '{"rating": 4.5, "more": {"x": 1}}', ' \n {"userId": {"nested": true}}', "{broken", '{"userId": "1"', '[{"userId": "1"}]', "[]", "{}", "5",
+        '"text"', "null", "", "  ", None, '{"userId": null}', '{"other": 1}', '{"userId": "1"} trailing', '{"userId": "a", "userId": "b"}',
     ]
-    assert spark.table("bronze_stream.ratings").count() == 3
+    route_messages(batch(spark, *[("csv-ratings", v) for v in values]), 0, SCHEMAS, base)
+    out = bronze(spark, base).select("userId", "rating")
+    rejected = versions.read_since(spark, quarantine_path(base))
+    assert out.count() + rejected.count() == len(values)
+    assert out.where("userId IS NULL AND rating IS NULL").count() == 0
+    assert out.count() == 5
+    why = {(r["data"], r["error"]) for r in rejected.collect()}
+    assert {(None, "no value"), ("{}", "no field of ratings"), ("{broken", "not a JSON object"), ('[{"userId": "1"}]', "not a JSON object")} <= why
+
+
+def test_a_batch_of_misfits_alone_writes_no_table(spark, base):
+    assert route_messages(batch(spark, ("csv-ratings", "nothing")), 0, SCHEMAS, base) == []
+    assert versions.committed_versions(spark, stream_path(base, "ratings")) == []
+    assert versions.read_since(spark, quarantine_path(base)).count() == 1
+
+
+def test_a_prefix_is_plain_text(spark):
+    df = spark.createDataFrame([("a.b-x",), ("aXb-x",)], "topic string")
+    assert rows(df.select(messages.schema_name_of("topic", "a.b"))) == [("aXb-x",), ("x",)]
+
+
+def test_quarantined_messages_are_taken_back_once(spark, base):
+    known = {"ratings": ["userId"]}
+    for n, pairs in enumerate([
+        [("csv-late", '{"x": "1"}'), ("csv-ratings", "{broken"), ("csv-never", "{}")],
+        [("csv-late", '{"x": "2"}'), ("csv-late", "broken"), ("csv-ratings", '{"userId": "1"}')],
+    ]):
+        route_messages(batch(spark, *pairs), n, registry.load_schemas(known), base)
+    assert ingest.replay_quarantine(spark, base, registry.load_schemas(known)) == {}
+    schemas = registry.load_schemas({**known, "late": ["x"]})
+    assert ingest.replay_quarantine(spark, base, schemas) == {"late": [0, 1]}
+    late = bronze(spark, base, "late")
+    assert rows(late.select("x", "_topic")) == [("1", "csv-late"), ("2", "csv-late")]
+    assert versions.committed_versions(spark, stream_path(base, "late")) == [2]  # beyond all others
+    assert ingest.replay_quarantine(spark, base, schemas) == {}
+    assert bronze(spark, base, "late").count() == 2
+    newest = versions.read_since(spark, quarantine_path(base), 1)
+    assert rows(newest.select("data", "error")) == [("broken", "not a JSON object")]
+
+
+def test_a_replay_that_broke_off_is_finished_under_its_number(spark, base, monkeypatch):
+    schemas = registry.load_schemas({"late": ["x"]})
+    route_messages(batch(spark, ("csv-late", '{"x": "1"}')), 0, {}, base)
+    write = ingest.write_version
+
+    def fail(df, path, *args, **kwargs):
+        write(df, path, *args, **kwargs)
+        if path.endswith("/late"):
+            drop_path(spark, f"{versions.version_path(path, args[0])}/_SUCCESS")
+            raise OSError("driver lost")
+
+    monkeypatch.setattr(ingest, "write_version", fail)
+    with pytest.raises(OSError):
+        ingest.replay_quarantine(spark, base, schemas)
+    monkeypatch.undo()
+    route_messages(batch(spark, ("csv-late", '{"x": "2"}')), ingest.version_for(spark, base, "q", 0), {}, base)  # more is quarantined meanwhile
+    assert ingest.replay_quarantine(spark, base, schemas) == {"late": [0, 2]}
+    assert rows(bronze(spark, base, "late").select("x")) == [("1",), ("2",)]
+    assert versions.committed_versions(spark, stream_path(base, "late")) == [1, 3]
+
+
+def test_queries_that_take_turns_share_numbers(spark, base):
+    number = lambda query, batch: ingest.version_for(spark, base, query, batch)
+    assert [number("a", 0), number("a", 1), number("b", 0), number("a", 2), number("b", 1), number("a", 2), number("a", 3)] == [0, 1, 2, 3, 4, 3, 5]
+    kept = glob_paths(spark, f"{base}/streaming_queries/*/batch=*")
+    assert sorted(p.rsplit("/", 2)[1] + p.rsplit("=", 1)[1] for p in kept) == ["a2", "a3", "b0", "b1"]
+
+
+def test_a_stream_replays_what_was_registered(spark, base):
+    inbox, known = f"{base}/in", {"ratings": ["userId"]}
+
+    def run():
+        start_bronze_stream(
+            messages.file_messages(spark, inbox), lambda: registry.load_schemas(known), base, f"{base}/cp", available_now=True, replay=True
+        ).awaitTermination()
+
+    write_messages(inbox, "a", ("csv-ratings", '{"userId": "1"}'), ("csv-late", '{"x": "1"}'))
+    run()
+    known["late"] = ["x"]
+    write_messages(inbox, "b", ("csv-late", '{"x": "2"}'))
+    run()
+    run()
+    assert rows(bronze(spark, base, "late").select("x")) == [("1",), ("2",)]
+
+
+# --- the tail of growing files -----------------------------------------------------------
+
+
+def append(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.csv", "ab") as f:
+        f.write(text.encode())
+
+
+def tailed(spark, folder, checkpoint, out, **options):
+    """One start of the tail: what its batches brought, beyond what ``out`` has."""
+
+    def keep(df, batch_id):
+        out.setdefault(batch_id, [])
+        out[batch_id] = [(r.file_path.rsplit("/", 1)[1], r.row_start, list(r["values"])) for r in df.collect()]
+
+    stream = csv_tail.csv_tail_stream(spark, folder, **options)
+    stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def plain_tail(path, name):
+    with open(f"{path}/{name}.csv", newline="", encoding="utf-8") as f:
+        return [row for row in csv.reader(f) if row][1:]
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_tail_as_a_stream(spark, base, multiline, monkeypatch):
+    rng, folder = random.Random(11), f"{base}/csv"
+    monkeypatch.setattr(csv_tail, "BLOCK", 64)
+    breaks = ["\n", "two\nlines", 'say "hi"\n', "\r\n"] if multiline else []
+
+    def line():
+        return ",".join('"' + v.replace('"', '""') + '"' if set(v) & set('",\n\r') else v for v in rng.choices(["", "x", "ü" * 50, 'q"t', "a,b", "\\", *breaks], k=rng.choice([2, 2, 3])))
+
+    out = {}
+    half = ""
+    for turn in range(4):
+        for name in ("one", "two", f"new{turn}"):
+            text = "" if os.path.exists(f"{folder}/{name}.csv") else "a,b\n"
+            text += "".join(line() + rng.choice(["\n", "\r\n"] if not multiline else ["\n"]) + rng.choice(["", "", "\n"]) for _ in range(rng.choice([0, 1, 30])))
+            append(folder, name, text)
+        # A line that another program is still writing is left for the next start.
+        append(folder, "one", half[len(half) // 2 :] + ("\n" if half else ""))
+        half = 'half,"wri""tten"'
+        append(folder, "one", half[: len(half) // 2])
+        tailed(spark, folder, f"{base}/cp", out, multiline=multiline, split_bytes=100)
+    append(folder, "one", half[len(half) // 2 :] + "\n")
+    for _ in range(2):
+        tailed(spark, folder, f"{base}/cp", out, multiline=multiline, split_bytes=100)
+    got = {}
+    for rows_ in out.values():
+        for name, at, values in rows_:
+            got.setdefault(name, []).append((at, values))
+    for name in ("one", "two", "new0", "new3"):
+        starts = [at for at, _ in sorted(got.get(f"{name}.csv", []))]
+        assert len(set(starts)) == len(starts)
+        assert [v for _, v in sorted(got.get(f"{name}.csv", []))] == plain_tail(folder, name)
+
+
+def test_tail_to_bronze_through_failures(spark, base, monkeypatch):
+    folder = f"{base}/csv"
+    append(folder, "a", "x,y\n1,2\n3\n4,5\n")
+    append(folder, "stranger", "z\n1\n")
+    known = headers(spark, ("elsewhere/a.csv", "pairs", ["x", "y"]))
+    write, failing = ingest.write_version, [True]
+
+    def fail_after_writing(df, path, *args, **kwargs):
+        write(df, path, *args, **kwargs)
+        if failing and path.endswith("/pairs"):
+            failing.pop()
+            raise OSError("driver lost between rows and offsets")
+
+    monkeypatch.setattr(ingest, "write_version", fail_after_writing)
+
+    def run():
+        sent = messages.tail_messages(csv_tail.csv_tail_stream(spark, folder), known)
+        start_bronze_stream(sent, lambda: registry.load_schemas({"pairs": ["x", "y"]}), base, f"{base}/cp", available_now=True).awaitTermination()
+
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    append(folder, "a", "6,7\n")
+    for _ in range(2):
+        run()
+    assert rows(bronze(spark, base, "pairs").select("x", "y", "_topic")) == [("1", "2", "csv-pairs"), ("4", "5", "csv-pairs"), ("6", "7", "csv-pairs")]
+    rejected = versions.read_since(spark, quarantine_path(base))
+    assert rows(rejected.select("data", "error")) == [('["1"]', "no schema registered for no topic"), ('["3"]', "not a JSON object")]
+
+
+def test_csv_lines_that_do_not_fit(spark, base):
+    lines = ["1,a", "2", "3,b,c", "x,d", ",e", '5,"f,g"', "6,"]
+    path = write_csv(f"{base}/csv", "q", "id,t", lines)
+    good, rejects = csv_files.load_csv_checked(spark, path, "id int, t string")
+    assert rows(good) == [(1, "a"), (5, "f,g"), (6, None), (None, "e")]
+    assert rows(rejects.select("data")) == [("2",), ("3,b,c",), ("x,d",)]
+    assert ingest_csv(spark, path, "id int, t string", "q", base, database="csv_bronze").endswith("batch/q")
+    assert versions.read_since(spark, f"{base}/batch/q").count() == 4
+    kept = versions.read_since(spark, rejects_path(base, "q")).select("data", F.col("topic").endswith("/csv/q.csv"))
+    assert rows(kept) == [(x, True) for x in ("2", "3,b,c", "x,d")]
 
 
 def test_a_replayed_batch_doubles_nothing(spark, base):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from verification.queries import mart_view
+
 AS_OF = "TIMESTAMP '2001-06-01 00:00:00'"
 INGESTED = "TIMESTAMP '2024-06-01 00:00:00'"
 
@@ -418,7 +420,40 @@ ORACLE: dict[str, str] = {
 }
 ORACLE.update({name: _model(name) for name in CTES if name not in ("movies_raw", "recommendation_history_cleaned")})
 MARTS = sorted(name for name in CTES if name.startswith("gold_"))
-ORACLE["gold_build_all"] = _with(" UNION ALL ".join(f"SELECT '{m}' AS mart, count(*) AS n FROM {m}" for m in MARTS))
+ORACLE["gold_build_all"] = _with(" UNION ALL ".join(f"SELECT {', '.join(mart_view(m))} FROM {m}" for m in MARTS))
+ORACLE["gold_incremental"] = ORACLE["gold_build_all"]
+ORACLE["change_feed"] = """
+    WITH old AS (
+        SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE o_orderkey % 10 <> 0)
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'insert' AS change_type, 1 AS commit_version FROM orders WHERE o_orderkey % 10 = 0
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'update_postimage', 1 FROM orders WHERE o_orderkey % 10 = 1
+    UNION ALL SELECT *, 'update_preimage', 1 FROM old WHERE o_orderkey % 10 = 1
+    UNION ALL SELECT *, 'delete', 1 FROM old WHERE o_orderkey % 10 IN (2, 3)"""
+ORACLE["change_feed_run"] = _model("elicitation_features")
+ORACLE["csv_tail_to_bronze"] = ORACLE["csv_to_bronze"]
+ORACLE["csv_rejects"] = """
+    SELECT CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN 'reject' ELSE 'row' END AS kind,
+           CASE WHEN o_orderkey % 7 = 0 THEN concat_ws(',', o_orderkey, o_custkey)
+                WHEN o_orderkey % 11 = 0 THEN concat_ws(',', o_orderkey, o_custkey, o_orderpriority, 'more')
+                WHEN o_orderkey % 13 = 0 THEN concat_ws(',', 'none', o_custkey, o_orderpriority)
+                ELSE concat_ws(',', o_orderkey, o_custkey, o_orderpriority) END AS line
+    FROM orders"""
+ORACLE["json_rejects"] = """
+    SELECT CASE WHEN event_type = 'error' THEN 'no schema registered for error'
+                WHEN event_id % 7 = 0 OR (event_id % 11 <> 0 AND event_id % 13 = 0) THEN 'not a JSON object'
+                WHEN event_id % 11 = 0 THEN 'no value'
+                WHEN event_id % 17 = 0 THEN 'no field of ' || event_type ELSE 'row' END AS outcome,
+           count(*) AS n,
+           CAST(sum(CASE WHEN event_id % 7 = 0 OR event_id % 11 <> 0 THEN event_id END) AS BIGINT) AS ids
+    FROM events GROUP BY 1"""
+ORACLE["quarantine_replay"] = f"SELECT {EVENT_TEXT}, 'kafka' AS _source, 'csv-' || event_type AS _topic FROM events"
+ORACLE["quality_observed"] = _with(
+    " UNION ALL ".join(
+        [_check(*c) for c in DECLARED_CHECKS if c[2] == "not_null"]
+        + [f"SELECT '{t}', 'rows', '*', count(*) FROM {t}" for t in ("movies_cleaned", "movie_genres", "ratings_cleaned")]
+    )
+)
 ORACLE["customer_underrated"] = _with(
     "SELECT movie_id, title, round(avg_rating, 6) AS avg_rating, total_ratings FROM gold_underrated_movies",
     (

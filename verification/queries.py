@@ -33,23 +33,25 @@ from strataflow.functions import (
 from strataflow.operators import dedup_latest, explode_delimited, quality_report, table_profile
 from strataflow.plans import checks
 from strataflow.plans.build import build, read_mart, resolver
-from strataflow.plans.entities import BELIEF, ENTITIES, MOVIES, RATINGS, RECOMMENDATIONS
+from strataflow.plans.entities import BELIEF, ELICITATION, ENTITIES, MOVIES, RATINGS, RECOMMENDATIONS
 from strataflow.plans.gold import MODELS, Thresholds, in_order
 from strataflow.plans.incremental import read_cleaned, read_features, run_incremental
 from strataflow.plans.silver.elicitation import SOURCE_LABELS
 from strataflow.plans.silver.ratings import BUCKETS, RATING_RANGE
 from strataflow.session import apply_defaults
 from strataflow.sources import shapes
-from strataflow.sources.bronze import load_to_bronze
+from strataflow.sources.bronze import ingest_csv, load_to_bronze, rejects_path
 from strataflow.sources.catalog import ensure_database, get_checkpoint, register_table
-from strataflow.sources.csv_files import csv_stream, csv_tail, load_csv
-from strataflow.sources.files import drop_path, glob_paths, new_scratch
-from strataflow.sources.messages import file_messages, parse_messages, to_messages
+from strataflow.sources.changes import changes_since
+from strataflow.sources.csv_files import HEADERS_SCHEMA, csv_stream, csv_tail, load_csv
+from strataflow.sources.csv_tail import csv_tail_stream
+from strataflow.sources.files import arrow_path, drop_path, glob_paths, make_folder, new_scratch
+from strataflow.sources.messages import file_messages, parse_messages, tail_messages, to_messages
 from strataflow.sources.registry import canonical_schemas, load_schemas
 from strataflow.sources.shapes import given
 from strataflow.sources.versions import insert_only_merge, read_since, version_path, write_version
 from strataflow.streaming import route_messages, start_bronze_stream
-from strataflow.streaming.ingest import quarantine_path, stream_path
+from strataflow.streaming.ingest import quarantine_path, replay_quarantine, stream_path, version_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -535,14 +537,200 @@ def catalog_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(shown).withColumn("checkpoint", F.lit(get_checkpoint(spark, table)))
 
 
+# What a mart holds, in columns that all marts share: a name, a count, an average and one more number.
+MART_VIEWS = {
+    "gold_genre_popularity": ("genre", "total_ratings", "avg_ratings", "NULL"),
+    "gold_genre_popularity_vs_quality": ("genre", "popularity", "quality", "NULL"),
+    "gold_least_rated_movies": ("CAST(movie_id AS STRING)", "total_ratings", "avg_rating", "release_year"),
+    "gold_most_rated_movies": ("CAST(movie_id AS STRING)", "total_ratings", "avg_rating", "release_year"),
+    "gold_movie_popularity_vs_quality": ("CAST(movie_id AS STRING) || coalesce(title, '')", "popularity", "quality", "release_year"),
+    "gold_rating_distribution": ("'rating'", "total_ratings", "rating", "NULL"),
+    "gold_rating_seasonality": ("CAST(month AS STRING) || '/' || CAST(day_of_week AS STRING)", "total_ratings", "avg_rating", "NULL"),
+    "gold_ratings_over_time": ("CAST(event_date AS STRING)", "total_ratings", "avg_rating", "pct_positive"),
+    "gold_top_movies": ("CAST(movie_id AS STRING)", "total_ratings", "avg_rating", "release_year"),
+    "gold_underrated_movies": ("CAST(movie_id AS STRING) || title", "total_ratings", "avg_rating", "NULL"),
+    "gold_user_activity": ("CAST(user_id AS STRING) || ' ' || CAST(CAST(last_activity AS DATE) AS STRING)", "total_ratings", "avg_rating", "pct_positive"),
+    "gold_user_genre_preference": ("CAST(user_id AS STRING) || genre", "total_ratings", "avg_rating", "rank_genre"),
+    "gold_worst_movies": ("CAST(movie_id AS STRING)", "total_ratings", "avg_rating", "release_year"),
+}
+
+
+def mart_view(mart: str) -> list[str]:
+    name, total, average, extra = MART_VIEWS[mart]
+    return [
+        f"'{mart}' AS mart",
+        f"{name} AS name",
+        f"CAST({total} AS BIGINT) AS total",
+        f"round(CAST({average} AS DOUBLE), 6) AS average",
+        f"round(CAST({extra} AS DOUBLE), 6) AS extra",
+    ]
+
+
+def all_marts(read: Callable[[str], DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, [read(m).selectExpr(*mart_view(m)) for m in sorted(MART_VIEWS)])
+
+
 @query("gold_build_all")
 def gold_build_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stored marts built by tag with a database of their own; how many rows the catalog shows of each."""
+    """All stored marts built by tag with a database of their own; what the catalog shows of each."""
     path, database = _own_database(spark, "gold-all")
     for entity in (MOVIES, RATINGS):
         write_version(shapes.SILVER_INPUTS[entity.name](spark, sf_dir), entity.bronze_path(path), 0)
         run_incremental(spark, entity, path, database=database)
     build(spark, path, "tag:gold", PART_THRESHOLDS, database=database)
-    marts = sorted(m.name for m in MODELS.values() if m.stored)
-    counts = [spark.table(f"{database}.{m}").agg(F.count("*").alias("n")).select(F.lit(m).alias("mart"), "n") for m in marts]
-    return reduce(DataFrame.unionAll, counts)
+    return all_marts(lambda m: spark.table(f"{database}.{m}"))
+
+
+@query("gold_incremental")
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three silver versions of ratings and two of movies, so that genres come after ratings of their movies; marts from kept rollups after each."""
+    base = new_scratch(spark, "gold-incremental")
+    ratings, movies = (shapes.SILVER_INPUTS[e.name](spark, sf_dir) for e in (RATINGS, MOVIES))
+    third = F.pmod(F.xxhash64("userId", "movieId", "tstamp"), F.lit(3))
+    for n in range(3):
+        write_version(ratings.where(third == n), RATINGS.bronze_path(base), n)
+        run_incremental(spark, RATINGS, base, database=None)
+        if n < 2:
+            write_version(movies.where(F.col("movie_id") % 2 <= n), MOVIES.bronze_path(base), n)
+            run_incremental(spark, MOVIES, base, database=None)
+        build(spark, base, "tag:gold", PART_THRESHOLDS, database=None, incremental=True)
+    return all_marts(lambda m: read_mart(spark, base, m))
+
+
+# --- what changed, what does not fit, what comes back -------------------------------
+
+
+@query("change_feed")
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of orders: a tenth is new, another has new prices, one is there twice before, one is gone after."""
+    path = new_scratch(spark, "change-feed")
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    kind = F.col("o_orderkey") % 10
+    price = F.when(kind == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    before = orders.where(kind != 0).withColumn("o_totalprice", price)
+    write_version(before.unionAll(before.where(kind == 2)), path, 0)
+    write_version(orders.where(kind != 3), path, 1)
+    feed = changes_since(spark, path, 0, ["o_orderkey"])
+    return feed.withColumnsRenamed({"_change_type": "change_type", "_commit_version": "commit_version"})
+
+
+@query("change_feed_run")
+def change_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over a reload: the feed since the first load is what is cleaned, and the table is that of everything."""
+    base = new_scratch(spark, "change-run")
+    raw = shapes.SILVER_INPUTS["elicitation"](spark, sf_dir)
+    write_version(raw.where(F.col("movie_id") % 100 != 0), ELICITATION.bronze_path(base), 0)
+    run_incremental(spark, ELICITATION, base, _as_of(), database=None)
+    write_version(raw, ELICITATION.bronze_path(base), 1)
+    run_incremental(spark, ELICITATION, base, _as_of(), database=None)
+    return comparable(read_features(spark, ELICITATION, base))
+
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority"]
+
+
+def _grow(spark: SparkSession, parts: DataFrame, folder: str) -> None:
+    """Add the CSV lines of ``parts`` (bucket, orders) to a file per bucket, as another program would that appends to its files."""
+    written = new_scratch(spark, "csv-parts")
+    parts.repartition("bucket").write.partitionBy("bucket").csv(written)
+    make_folder(spark, folder)
+    store, source = arrow_path(written)
+    _, target = arrow_path(folder)
+    for bucket in sorted(b.rsplit("=", 1)[1] for b in glob_paths(spark, f"{written}/bucket=*")):
+        name = f"{target}/orders_{bucket}.csv"
+        before = store.open_input_file(name).readall() if store.get_file_info(name).is_file else (",".join(ORDER_COLUMNS) + "\n").encode()
+        with store.open_output_stream(name) as out:
+            out.write(before)
+            for part in glob_paths(spark, f"{written}/bucket={bucket}/*.csv"):
+                with store.open_input_stream(arrow_path(part)[1]) as f:
+                    while block := f.read(1 << 20):
+                        out.write(block)
+
+
+@query("csv_tail_to_bronze")
+def csv_tail_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that grow between three starts of the tail; every row is in bronze once."""
+    base = new_scratch(spark, "csv-tail")
+    orders = given(spark, sf_dir, "orders").select(*ORDER_COLUMNS, (F.col("o_orderkey") % 4).alias("bucket"))
+    registry = spark.createDataFrame([(f"orders_{n}.csv", "orders", ORDER_COLUMNS) for n in range(4)], HEADERS_SCHEMA)
+    third = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    for n in range(3):
+        # Bucket 3 appears with the second start.
+        share = (third == n) & ((F.col("bucket") != 3) | (n > 0))
+        late = (third == 0) & (F.col("bucket") == 3) & (n == 1)
+        _grow(spark, orders.where(share | late), f"{base}/in")
+        start_bronze_stream(
+            tail_messages(csv_tail_stream(spark, f"{base}/in", split_bytes=1 << 16), registry),
+            lambda: load_schemas({"orders": ORDER_COLUMNS}),
+            base,
+            f"{base}/checkpoint",
+            available_now=True,
+        ).awaitTermination()
+    return read_since(spark, stream_path(base, "orders")).drop("_ingestion_timestamp")
+
+
+@query("csv_rejects")
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines, some cut short, some too long, some with text in place of a number: rows and rejects of a checked load."""
+    base = new_scratch(spark, "csv-rejects")
+    key = F.col("o_orderkey")
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", "o_orderkey", "o_custkey"))
+        .when(key % 11 == 0, F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority", F.lit("more")))
+        .when(key % 13 == 0, F.concat_ws(",", F.lit("none"), "o_custkey", "o_orderpriority"))
+        .otherwise(F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority"))
+    )
+    # One column whose name is the header line; its separator is in no line, so nothing is quoted.
+    lines = given(spark, sf_dir, "orders").select(line.alias(",".join(ORDER_COLUMNS)))
+    lines.write.csv(f"{base}/in", header=True, sep="\x01")
+    ingest_csv(spark, f"{base}/in", "o_orderkey bigint, o_custkey bigint, o_orderpriority string", "orders", base, database=_own_database(spark, "csv-rejects")[1])
+    good = read_since(spark, f"{base}/batch/orders").select(F.lit("row").alias("kind"), F.concat_ws(",", *ORDER_COLUMNS).alias("line"))
+    return good.unionAll(read_since(spark, rejects_path(base, "orders")).select(F.lit("reject").alias("kind"), F.col("data").alias("line")))
+
+
+def _mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages, some of them cut off, without a value, not objects, or without a known field."""
+    key = F.get_json_object("value", "$.event_id").cast("bigint")
+    spoilt = (
+        F.when(key % 7 == 0, F.expr("substr(value, 1, length(value) - 5)"))
+        .when(key % 11 == 0, F.lit(None).cast("string"))
+        .when(key % 13 == 0, F.concat(F.lit("["), "value", F.lit("]")))
+        .when(key % 17 == 0, F.concat(F.lit('{"id": '), key.cast("string"), F.lit("}")))
+        .otherwise(F.col("value"))
+    )
+    return shapes.event_messages(spark, sf_dir).select("topic", spoilt.alias("value"))
+
+
+@query("json_rejects")
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is a row or a dead letter with its reason; none is lost and none becomes a row of NULLs."""
+    base = new_scratch(spark, "json-rejects")
+    route_messages(_mixed_events(spark, sf_dir), 0, load_schemas(shapes.EVENT_SCHEMAS), base)
+    good = [read_since(spark, stream_path(base, n)).select("event_id", F.lit("row").alias("outcome")) for n in sorted(shapes.EVENT_SCHEMAS)]
+    rejected = read_since(spark, quarantine_path(base)).select(F.col("data").alias("event_id"), F.col("error").alias("outcome"))
+    rows = reduce(DataFrame.unionAll, [*good, rejected.withColumn("event_id", F.regexp_extract("event_id", r"(?:event_id|id)\W*(\d+)", 1))])
+    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("try_cast(event_id AS bigint)")).alias("ids"))
+
+
+@query("quarantine_replay")
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with half of the schemas, then the others are registered and the quarantine is replayed twice: every event is in bronze once."""
+    base = new_scratch(spark, "replay")
+    messages = shapes.event_messages(spark, sf_dir)
+    key = F.get_json_object("value", "$.event_id").cast("bigint")
+    few = {n: c for n, c in shapes.EVENT_SCHEMAS.items() if n in ("click", "view")}
+    for n in range(2):
+        route_messages(messages.where(key % 2 == n), version_for(spark, base, "events", n), load_schemas(few), base)
+    schemas = load_schemas({**shapes.EVENT_SCHEMAS, "error": shapes.EVENT_COLUMNS})
+    for _ in range(2):
+        replay_quarantine(spark, base, schemas)
+    tables = [read_since(spark, stream_path(base, name)) for name in sorted(schemas)]
+    return reduce(DataFrame.unionAll, tables).drop("_ingestion_timestamp")
+
+
+@query("quality_observed")
+def quality_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and declared not-null checks of silver tables, seen by the jobs that store them."""
+    base, ref = new_scratch(spark, "observed"), model_ref(spark, sf_dir)
+    reports = [checks.store_checked(ref(t), t, f"{base}/{t}", 0) for t in sorted(checks.DECLARED)]
+    return reduce(DataFrame.unionAll, reports)
