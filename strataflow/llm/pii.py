@@ -33,8 +33,8 @@ _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|[^A-Za-z0-9\s]")
 
 MAX_TOKENS = 24
 _ORDER = itemgetter(0, 2)
-#: A longer stretch is taken in parts of at most so many tokens, cut at a blank where there is one; base spans are found on the whole text before.
-_STRETCH_TOKENS = 400
+#: Tokens whose candidate segments are scored together; the programme runs through stretches of any length.
+_BLOCK_TOKENS = 400
 N_FEATURES = 21
 
 
@@ -64,7 +64,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind), by start and then kind."""
     spans = [(s, e, 0) for s, e in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
             spans.append((*m.span(), 1))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
@@ -120,9 +120,7 @@ class _Lattice:
     """The candidate segments of one stretch: token bounds and features of those that begin and end with a visible token."""
 
     def __init__(self, text: str, start: int, end: int):
-        found = list(itertools.islice(_TOKEN.finditer(text, start, end), _STRETCH_TOKENS))
-        if found and found[-1].end() < end:
-            found = found[: next((k + 1 for k in range(len(found) - 1, 0, -1) if found[k][0].isspace()), len(found))]
+        found = list(_TOKEN.finditer(text, start, end))
         self.bounds = [(m.start(), m.end()) for m in found]
         seen = [not m[0].isspace() for m in found]
         useful = [m[0].isdigit() or m[0] == "@" for m in found]
@@ -134,29 +132,6 @@ class _Lattice:
         for k, (_, j) in enumerate(self.segments):
             self.ending[j].append(k)
 
-    def best(self, scores: np.ndarray) -> list[tuple[int, int, int]]:
-        """The best segmentation's (start, end, kind); a token outside any segment scores 0."""
-        top, back = [0.0], [None]
-        kind, high = scores.argmax(1), scores.max(1)
-        for j in range(len(self.bounds)):
-            score, how = top[j], None
-            for k in self.ending[j]:
-                s = top[self.segments[k][0]] + high[k]
-                if s > score:
-                    score, how = s, k
-            top.append(score)
-            back.append(how)
-        out, j = [], len(self.bounds)
-        while j:
-            k = back[j]
-            if k is None:
-                j -= 1
-            else:
-                i = self.segments[k][0]
-                out.append((self.bounds[i][0], self.bounds[j - 1][1], int(kind[k])))
-                j = i
-        return out[::-1]
-
     def gradient(self, scores: np.ndarray) -> tuple[np.ndarray, float]:
         """Expected counts of every segment and kind, and the log partition function."""
         n, total = len(self.bounds), np.logaddexp.reduce(scores, 1)
@@ -172,6 +147,47 @@ class _Lattice:
         return np.exp(scores + edge[:, None]), ahead[n]
 
 
+def best_spans(text: str, start: int, end: int, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """The best segmentation of a stretch as (start, end, kind); a token outside any segment scores 0.
+
+    A state needs the ``MAX_TOKENS`` before it only, so features of a block of tokens are held at a time; what stays of a token is its bounds, score and way back.
+    """
+    bounds, seen, useful = [], [], [0]
+    top, back = [0.0], [None]
+    tokens = _TOKEN.finditer(text, start, end)
+    while block := list(itertools.islice(tokens, _BLOCK_TOKENS)):
+        first = len(bounds)
+        for m in block:
+            bounds.append(m.span())
+            seen.append(not m[0].isspace())
+            useful.append(useful[-1] + (m[0].isdigit() or m[0] == "@"))
+        segments = [
+            (i, j) for j in range(first, len(bounds)) if seen[j] for i in range(max(0, j - MAX_TOKENS + 1), j + 1) if seen[i] and useful[j + 1] > useful[i]
+        ]
+        x = np.array([features(text, bounds[i][0], bounds[j][1]) for i, j in segments]).reshape(-1, N_FEATURES)
+        scores = np.einsum("ij,jk->ik", x, weights)
+        kind, high = scores.argmax(1).tolist(), scores.max(1).tolist()
+        k = 0
+        for j in range(first, len(bounds)):
+            score, how = top[j], None
+            while k < len(segments) and segments[k][1] == j:
+                s = top[segments[k][0]] + high[k]
+                if s > score:
+                    score, how = s, (segments[k][0], kind[k])
+                k += 1
+            top.append(score)
+            back.append(how)
+    out, j = [], len(bounds)
+    while j:
+        if back[j] is None:
+            j -= 1
+        else:
+            i, kind_of = back[j]
+            out.append((bounds[i][0], bounds[j - 1][1], kind_of))
+            j = i
+    return out[::-1]
+
+
 def fit(samples: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 60) -> np.ndarray | None:
     """Weights (features by kinds) that maximise the likelihood of labelled stretches, by gradient steps with a square penalty."""
     held = []
@@ -199,13 +215,15 @@ def fit(samples: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 60)
 
 
 def train(docs: DataFrame, sample_docs: int = 200, sample_stretches: int = 150) -> np.ndarray | None:
-    """Weights from at most ``sample_stretches`` stretches of the ``sample_docs`` documents with an @ or + and the smallest hash.
+    """Weights from at most ``sample_stretches`` stretches of up to 200 characters, of the ``sample_docs`` documents with an @ or + (then those with any
+    digit) and the smallest hash.
 
     Only the fit is bounded; the patterns and the field then run over every whole text.
     """
-    own = texts_of(docs).where("doc_id IS NOT NULL AND (text LIKE '%@%' OR text LIKE '%+%')")
+    own = texts_of(docs).where("doc_id IS NOT NULL AND text RLIKE '[0-9@]'")
+    rich = F.col("text").contains("@") | F.col("text").contains("+")
     # Ids alone are ranked; at most ``sample_docs`` of them are broadcast to fetch the texts.
-    ids = own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    ids = own.groupBy("doc_id").agg(F.max(rich).alias("rich")).orderBy(F.desc("rich"), F.xxhash64("doc_id"), "doc_id").limit(sample_docs).select("doc_id")
     picked = own.join(F.broadcast(ids), "doc_id")
 
     def row(text: str) -> tuple[list[str]]:
@@ -230,13 +248,9 @@ def all_spans(text: str, weights: np.ndarray | None, base: list[tuple[int, int,
         inside = [(s, e) for s, e in itertools.takewhile(lambda x: x[0] < b, itertools.islice(taken, first, None)) if e > a]
         if inside and sum(e - s for s, e in inside) >= b - a - 2:
             continue
-        while a < b:
-            lattice = _Lattice(text, a, b)
-            a = lattice.bounds[-1][1]
-            if len(lattice.segments):
-                for s, e, kind in lattice.best(np.einsum("ij,jk->ik", lattice.x, weights)):
-                    if all(e <= s2 or s >= e2 for s2, e2 in inside):
-                        added.append((s, e, kind))
+        for s, e, kind in best_spans(text, a, b, weights):
+            if all(e <= s2 or s >= e2 for s2, e2 in inside):
+                added.append((s, e, kind))
     return sorted(base + added, key=_ORDER)
 
 

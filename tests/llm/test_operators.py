@@ -75,6 +75,61 @@ def got(df, *columns):
 
 # --- personal data ---------------------------------------------------------------
 
+
+def every_segmentation(n, segments):
+    """All ways to place segments on n tokens without overlap, as lists of their numbers."""
+    if n == 0:
+        return [[]]
+    out = every_segmentation(n - 1, segments)
+    for k, (i, j) in enumerate(segments):
+        if j == n - 1:
+            out = out + [[*rest, k] for rest in every_segmentation(i, segments)]
+    return out
+
+
+def test_field_against_enumeration():
+    rng = np.random.default_rng(3)
+    for text in ("a1 @b", "+1 2-3", "x@y.z 7", "1.2.3"):
+        lattice = pii._Lattice(text, 0, len(text))
+        w = rng.normal(size=(pii.N_FEATURES, 4))
+        scores = lattice.x @ w
+        ways = every_segmentation(len(lattice.bounds), lattice.segments)
+        labelled = [[(k, c) for k, c in zip(way, kinds, strict=True)] for way in ways for kinds in np.ndindex(*[4] * len(way))]
+        total = np.array([sum(scores[k, c] for k, c in way) for way in labelled])
+        expected = np.zeros_like(scores)
+        chance = np.exp(total - np.logaddexp.reduce(total))
+        for p, way in zip(chance, labelled, strict=True):
+            for k, c in way:
+                expected[k, c] += p
+        counts, log_z = lattice.gradient(scores)
+        assert np.allclose(counts, expected) and np.isclose(log_z, np.logaddexp.reduce(total))
+        best = labelled[int(total.argmax())]
+        spans = [(lattice.bounds[lattice.segments[k][0]][0], lattice.bounds[lattice.segments[k][1]][1], c) for k, c in best]
+        assert pii.best_spans(text, 0, len(text), w) == spans
+
+
+def test_zeros_beyond_what_int_reads():
+    text = "0" * 5000 + ".1.1.1 and " + "0" * 5000 + "1.2.3.4 and 1.1.1." + "0" * 5000 + "256"
+    spans = pii.base_spans(text)
+    assert [(e - s, k) for s, e, k in spans] == [(5006, 1), (5007, 1)]
+    assert pii.all_spans(text, np.zeros((pii.N_FEATURES, 4)) - 1, spans) == spans
+
+
+def test_spans_at_every_place_of_a_long_stretch(monkeypatch):
+    w = np.zeros((pii.N_FEATURES, 4))
+    w[0], w[7, 1], w[8, 1] = -1, 2, 2  # four groups of digits with dots alone are worth a segment
+    for tokens in (0, 1, 395, 398, 399, 400, 401, 1999):
+        lead = "7 " * (tokens // 2) + "7" * (tokens % 2)
+        text = f"{lead}{' ' if tokens % 2 else ''}10.20.30.40" + " 8" * 600
+        at = text.index("10.20")
+        assert pii.best_spans(text, 0, len(text), w) == [(at, at + 11, 1)]
+
+
+def test_a_field_is_fitted_where_there_are_digits_only(spark):
+    ready(spark)
+    df = spark.createDataFrame([(i, f"from 10.0.{i}.1 to 4111 1111 1111 1111 in {i} steps") for i in range(30)], "doc_id long, text string")
+    assert pii.train(df) is not None
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
@@ -104,22 +159,22 @@ def test_field_learns_base_spans_and_adds_none_over_them():
     made = [f"x {rng.randint(1, 255)}.{rng.randint(0, 255)}.7.{rng.randint(0, 255)} y" for _ in range(20)]
     made += [f"x {rng.choice('abc')}n.{i}@mail{i}.example.com y" for i in range(20)] + [f"x +1 (736) 555-{1000 + i} y" for i in range(20)] + ["x 2.0. y", "x 17 y"] * 5
     weights = pii.fit([(t, pii.base_spans(t)) for t in made])
-    hidden = [pii._Lattice(t, 2, len(t) - 2).best(pii._Lattice(t, 2, len(t) - 2).x @ weights) for t in made]
+    hidden = [pii.best_spans(t, 2, len(t) - 2, weights) for t in made]
     assert sum(h == pii.base_spans(t) for h, t in zip(hidden, made)) >= 0.95 * len(made)
     for t in made:
         assert set(pii.base_spans(t)) <= set(pii.all_spans(t, weights, pii.base_spans(t)))
 
 
-def test_long_stretches_are_taken_in_parts():
+def test_long_stretches_are_scored_in_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
     text = " ".join(f"{i % 97}-{i % 13}" for i in range(900))
-    parts, a = [], 0
-    while a < len(text):
-        lattice = pii._Lattice(text, a, len(text))
-        a = lattice.bounds[-1][1]
-        parts.append(a)
-    assert len(parts) > 5 and all(text[p - 1] == " " for p in parts[:-1])
-    weights = np.zeros((pii.N_FEATURES, 4))
-    assert pii.all_spans(text, weights - 1, []) == []
+    weights = rng.normal(size=(pii.N_FEATURES, 4)) + 0.5
+    found = pii.best_spans(text, 0, len(text), weights)
+    assert found
+    for size in (1, 23, 10**6):
+        monkeypatch.setattr(pii, "_BLOCK_TOKENS", size)
+        assert pii.best_spans(text, 0, len(text), weights) == found
+    assert pii.all_spans(text, np.zeros((pii.N_FEATURES, 4)) - 1, []) == []
 
 
 def test_pii_rows(docs, nothing):
