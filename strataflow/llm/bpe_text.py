@@ -140,7 +140,8 @@ def _byte_letters() -> list[str]:
 def model_encode_words(words: list[str], name: str) -> list[list[int]]:
     """Ids of single pre-tokens by the BPE model of a tokenizers file."""
     model, letters = _model(name).model, _byte_letters()
-    return [[t.id for t in model.tokenize("".join([letters[b] for b in w.encode()]))] for w in words]
+    letter = letters.__getitem__
+    return [[t.id for t in model.tokenize("".join(map(letter, w.encode())))] for w in words]
 
 
 _WORD = regex.compile(r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\p{Join_Control}]")

@@ -22,7 +22,7 @@ from strataflow.llm.common import rows_to_batches, stored, texts_of
 
 SHARD = 4096
 ISLANDS, EPOCHS, CHILDREN, ELITE = 2, 2, 12, 3
-_TEXTS = 256
+_TEXTS = 512
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
@@ -185,8 +185,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
 
     Every row of ``docs`` is a document, also with a null or repeated doc_id. An empty table gives no rows.
     """
-    cut = stored(pieces(docs, tokenizer, size, end_id), "cut")
-    every = stored(cut.withColumn("item", F.monotonically_increasing_id()), "pieces")
+    # Written once, so the numbers are fixed from here on.
+    every = stored(pieces(docs, tokenizer, size, end_id).withColumn("item", F.monotonically_increasing_id()), "pieces")
     full = every.where(F.col("length") == size).withColumns({"sequence_id": F.col("item") * 4, "offset": F.lit(0).cast("long")})
     first = stored(pack_items(every.where(F.col("length") < size).select("item", "length"), size), "packed")
     poor = F.col("fill") < int(0.97 * size)
