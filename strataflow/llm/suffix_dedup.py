@@ -94,6 +94,14 @@ class _Text:
     def text(self, i: int) -> bytes:
         return self.raw[self.starts[i] : self.starts[i + 1]]
 
+    def document(self, at: np.ndarray) -> np.ndarray:
+        """The rank of each position's doc_id among the chunk's; rows with one id share it."""
+        rank = np.unique(self.ids, return_inverse=True)[1].astype(np.int32)
+        starts, out = self.starts.astype(np.int32), np.empty(len(at), np.int32)
+        for i in range(0, len(at), _SLICE):
+            out[i : i + _SLICE] = rank[np.searchsorted(starts, at[i : i + _SLICE], side="right") - 1]
+        return out
+
     def names(self, at: np.ndarray, length: int, seed: int) -> np.ndarray:
         """64-bit names of the strings of that length at the positions."""
         out = np.empty(len(at), np.uint64)
@@ -215,14 +223,15 @@ class _Candidates:
             b = _digest_bucket(text.digests[i], buckets)
             nth = seen[b] = seen.get(b, -1) + 1
             self.copy[i] = bool(replies[b][1][nth >> 3] >> (7 - (nth & 7)) & 1)
-        flag = np.zeros(len(text.raw) + PERIOD + 1, np.int32)
+        flag = np.zeros(len(text.raw) + PERIOD + 1, np.int8)
         flag[s.at[s.order[tied[s.group]]] + 1] = 1
+        del s
         ahead = np.cumsum(flag, dtype=np.int32)
         n = len(text.raw)
         open_ = ahead[PERIOD : PERIOD + n] > ahead[:n]
         for i, (a, e) in enumerate(zip(text.starts[:-1].tolist(), text.starts[1:].tolist(), strict=True)):
             open_[a if self.copy[i] else max(a, e - LENGTH + 1) : e] = False
-        self.at = np.nonzero(open_)[0]
+        self.at = np.nonzero(open_)[0].astype(np.int32)
 
 
 class _Buckets:
@@ -231,20 +240,33 @@ class _Buckets:
     def __init__(self, text: _Text, at: np.ndarray, buckets: int):
         self.at, self.high = at, text.names(at, LENGTH, 2)
         bucket = (self.high % _U(buckets)).astype(np.int32)
-        self.order = np.argsort(bucket, kind="stable")
-        self.edges = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+        self.order = np.argsort(bucket, kind="stable").astype(np.int32)
+        self.edges = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
 
 
 def _settled(text: _Text, at: np.ndarray) -> np.ndarray:
-    """Which of the positions tie with one of a smaller document in the chunk: they are decided here and aren't sent."""
-    low, high = text.names(at, LENGTH, 3), text.names(at, LENGTH, 2)
-    doc = text.ids[np.searchsorted(text.starts, at, side="right") - 1]
-    order = np.argsort(low, kind="stable")
+    """Which of the positions tie with one of a smaller document in the chunk: they are decided here and aren't sent.
+
+    Positions are sorted by one name; a second one is made only for those that share it with a neighbour.
+    """
+    k = text.names(at, LENGTH, 3)
+    order = np.argsort(k, kind="stable").astype(np.int32)
+    k = k[order]
     new = np.ones(len(at), bool)
-    new[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
-    first = doc[order][new][np.cumsum(new) - 1]
+    new[1:] = k[1:] != k[:-1]
+    del k
+    # Runs of two and more; in each, neighbours are told apart by the second name.
+    tied = ~new
+    tied[:-1] |= ~new[1:]
+    spots = np.nonzero(tied)[0]
+    high = text.names(at[order[spots]], LENGTH, 2)
+    new[spots[1:]] |= high[1:] != high[:-1]
+    del high, spots, tied
+    doc = text.document(at)[order]
+    first = doc[np.nonzero(new)[0]]
+    later = doc > np.repeat(first, np.diff(np.append(np.nonzero(new)[0], len(at))))
     out = np.empty(len(at), bool)
-    out[order] = doc[order] > first
+    out[order] = later
     return out
 
 
@@ -262,14 +284,15 @@ def _send_suffixes(buckets: int, width: int, name_bits: int):
         # The chunk's own state goes round in a bucket of its own: what was sent, what is settled.
         yield -1 - chunk, pack(np.packbits(mine), np.packbits(gone), c.copy)
         s = _Buckets(text, c.at[~settled], buckets)
+        del c, mine, gone, settled
         low = text.names(s.at, LENGTH, 3)
-        doc = np.searchsorted(text.starts, s.at, side="right") - 1
+        doc, known = text.document(s.at), np.unique(text.ids)
         for b in range(buckets):
             own = s.order[s.edges[b] : s.edges[b + 1]]
             if len(own):
                 docs, counts = np.unique(doc[own], return_counts=True)
                 more = bit_planes(s.high[own] >> _U(32), name_bits - 64) if name_bits > 64 else b""
-                steps = np.diff(text.ids[docs], prepend=0)
+                steps = np.diff(known[docs], prepend=0)
                 yield b, pack(bit_planes(low[own], min(name_bits, 64)), more, planes(steps, 8), planes(counts, 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
