@@ -83,3 +83,33 @@ def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+#: A filter of 8 MB at most for each key column, good for some four million values; they are all that is broadcast.
+KEY_FILTER_BITS, KEY_FILTER_KEYS = 64 * MB, 4_000_000
+_RUNTIME_FILTER = "spark.sql.optimizer.runtime.bloomFilter"
+
+
+@contextmanager
+def key_filters(spark: SparkSession, batch_bytes: int = 64 * 1024 * MB) -> Iterator[None]:
+    """Within the block joins may aggregate a Bloom filter from a side of up to ``batch_bytes`` and drop what can't match from the other before it is shuffled.
+
+    Spark's own limits suit a filter from a small dimension. A batch with more keys than the filter is made for drops fewer rows; results are the same.
+    """
+    wanted = {
+        "enabled": "true",
+        "creationSideThreshold": str(batch_bytes),
+        "applicationSideScanSizeThreshold": "0",
+        "expectedNumItems": str(KEY_FILTER_KEYS),
+        "numBits": str(KEY_FILTER_BITS),
+        "maxNumBits": str(KEY_FILTER_BITS),
+    }
+    wanted = {f"{_RUNTIME_FILTER}.{key}": value for key, value in wanted.items()}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

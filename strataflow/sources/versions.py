@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
+from strataflow.session import key_filters
 from strataflow.sources.files import create_empty, drop_path, glob_paths
 
 VERSION_COL = "_version"
@@ -72,17 +73,21 @@ def write_observed(
     tasks: int | None = None,
     metrics: Mapping[str, Column] | None = None,
     keep_empty: bool = False,
+    lookup: Sequence[str] = (),
 ) -> dict[str, int]:
     """``write_version`` that also returns the number of ``rows`` and further ``metrics`` (aggregates) of what it wrote, from the job that wrote it.
 
     They are observed above the sort: below it, the job that samples the ranges would count as well. The version is committed
     after its rows are known, and a version without any is taken back unless ``keep_empty``, so readers never see an empty one.
+    Files hold Bloom filters of the ``lookup`` columns, by which a reader that asks for single values skips row groups that ranges don't exclude.
     """
     seen = Observation()
     asked = {"rows": F.count(F.lit(1)), **(metrics or {})}
     observed = _dealt(df, order_by, tasks).observe(seen, *[c.alias(name) for name, c in asked.items()])
     target = version_path(path, version)
-    observed.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
+    options = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false", "parquet.bloom.filter.adaptive.enabled": "true"}
+    options |= {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookup}
+    observed.write.mode("overwrite").options(**options).parquet(target)
     found = seen.get
     if found["rows"] or keep_empty:
         create_empty(df.sparkSession, f"{target}/_SUCCESS")
@@ -151,14 +156,23 @@ def drop_older(spark: SparkSession, path: str, keep: int) -> None:
         drop_path(spark, version_path(path, v))
 
 
+_KEY_HASH = "_key_hash"
+#: Every hash is at least this.
+_LEAST_HASH = -(1 << 63)
+
+
 def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``; a NULL in a key never matches.
 
     The target's keys are first cut down to those the batch asks for. A batch
     below the broadcast limit then passes over a target of any size without
-    shuffling it, and what is left to compare is no larger than the batch.
+    shuffling it, and what is left to compare is no larger than the batch. Of a larger batch a Bloom filter of its keys does so (see ``key_filters``):
+    keys are joined with a hash of all their columns, so that one filter speaks for the whole key.
     """
-    known = target.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+    hashed = F.xxhash64(*keys).alias(_KEY_HASH)
+    # Spark makes a filter of a side that a comparison seems to narrow; this one always holds.
+    asked = batch.select(*keys, hashed).where(F.col(_KEY_HASH) >= F.lit(_LEAST_HASH))
+    known = target.select(*keys, hashed).join(asked, [*keys, _KEY_HASH], "left_semi").select(*keys)
     return batch.join(known, list(keys), "left_anti")
 
 
@@ -221,4 +235,5 @@ def insert_only_merge(
     if keys and others:
         target = read_versions(spark, path, others, schema)
         rows = new_rows(batch, _within_batch_range(batch, target, bound), keys)
-    return write_observed(rows, path, version, order_by, tasks, keep_empty=True)["rows"]
+    with key_filters(spark):
+        return write_observed(rows, path, version, order_by, tasks, keep_empty=True, lookup=[k for k in keys if k not in bound])["rows"]
