@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from strataflow import operators as O
 from strataflow.functions import bucketize, three_way
 from strataflow.plans.silver.ratings import BUCKETS
-from strataflow.sources.registry import name_schemas
 from strataflow.sources.versions import new_rows
 from tests.conftest import rows
 
@@ -18,23 +17,6 @@ few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck
 maybe = lambda s: st.one_of(st.none(), s)
 
 
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", "a_1"]), st.lists(st.sampled_from("xyz"), min_size=1, max_size=2))))
-@settings(max_examples=200, deadline=None)
-def test_naming_by_distinct_columns_is_naming_file_by_file(files):
-    one_by_one: dict[str, list[str]] = {}
-    for wanted, cols in files:
-        if cols in one_by_one.values():
-            continue
-        name, n = wanted, 1
-        while name in one_by_one:
-            name, n = f"{wanted}_{n}", n + 1
-        one_by_one[name] = cols
-    first_seen = {}
-    for wanted, cols in files:
-        first_seen.setdefault(tuple(cols), wanted)
-    assert name_schemas((wanted, list(cols)) for cols, wanted in first_seen.items()) == one_by_one
-
-
 @given(st.lists(st.tuples(maybe(st.integers(0, 3)), maybe(st.integers(0, 3)), maybe(st.text("ab", max_size=2))), max_size=30))
 @few
 def test_dedup_keeps_the_greatest_of_each_key(spark, data):

@@ -454,6 +454,13 @@ ORACLE["quality_observed"] = _with(
         + [f"SELECT '{t}', 'rows', '*', count(*) FROM {t}" for t in ("movies_cleaned", "movie_genres", "ratings_cleaned")]
     )
 )
+ORACLE["profile_merged"] = ORACLE["table_profile"]
+ORACLE["ingest_one_table"] = "SELECT *, 'postgres' AS _source FROM customer"
+ORACLE["registry_lookups"] = f"SELECT schema_name, columns, count(*) AS files FROM ({ORACLE['canonical_schemas']}) GROUP BY schema_name, columns"
+ORACLE["registry_per_batch"] = """
+    SELECT CAST(event_id AS VARCHAR) AS event_id,
+           CASE WHEN event_type = 'error' OR (event_id % 2 = 0 AND event_type <> 'click') THEN 'quarantine' ELSE event_type END AS place
+    FROM events"""
 ORACLE["customer_underrated"] = _with(
     "SELECT movie_id, title, round(avg_rating, 6) AS avg_rating, total_ratings FROM gold_underrated_movies",
     (

@@ -31,6 +31,7 @@ from strataflow.functions import (
     within_days,
 )
 from strataflow.operators import dedup_latest, explode_delimited, quality_report, table_profile
+from strataflow.operators.profiles import EXACT, PARTS_SCHEMA, merge_profiles, profile_of, profile_parts
 from strataflow.plans import checks
 from strataflow.plans.build import build, read_mart, resolver
 from strataflow.plans.entities import BELIEF, ELICITATION, ENTITIES, MOVIES, RATINGS, RECOMMENDATIONS
@@ -40,14 +41,14 @@ from strataflow.plans.silver.elicitation import SOURCE_LABELS
 from strataflow.plans.silver.ratings import BUCKETS, RATING_RANGE
 from strataflow.session import apply_defaults
 from strataflow.sources import shapes
-from strataflow.sources.bronze import ingest_csv, load_to_bronze, rejects_path
+from strataflow.sources.bronze import ingest_csv, ingest_table, load_to_bronze, rejects_path
 from strataflow.sources.catalog import ensure_database, get_checkpoint, register_table
 from strataflow.sources.changes import changes_since
 from strataflow.sources.csv_files import HEADERS_SCHEMA, csv_stream, csv_tail, load_csv
 from strataflow.sources.csv_tail import csv_tail_stream
 from strataflow.sources.files import arrow_path, drop_path, glob_paths, make_folder, new_scratch
 from strataflow.sources.messages import file_messages, parse_messages, tail_messages, to_messages
-from strataflow.sources.registry import canonical_schemas, load_schemas
+from strataflow.sources.registry import canonical_schemas, list_file_mappings, list_schemas, load_schemas
 from strataflow.sources.shapes import given
 from strataflow.sources.versions import insert_only_merge, read_since, version_path, write_version
 from strataflow.streaming import route_messages, start_bronze_stream
@@ -734,3 +735,48 @@ def quality_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, ref = new_scratch(spark, "observed"), model_ref(spark, sf_dir)
     reports = [checks.store_checked(ref(t), t, f"{base}/{t}", 0) for t in sorted(checks.DECLARED)]
     return reduce(DataFrame.unionAll, reports)
+
+
+@query("profile_merged")
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of three versions, stored with them and merged: the profile of everything."""
+    base, cols = new_scratch(spark, "profiles"), ["user_id", "movie_id", "rating"]
+    ratings = model_ref(spark, sf_dir)("ratings_cleaned")
+    for n in range(3):
+        write_version(profile_parts(ratings.where(F.pmod(F.xxhash64("user_id", "movie_id"), F.lit(3)) == n), cols), base, n)
+    merged = profile_of(merge_profiles(read_since(spark, base, schema=PARTS_SCHEMA)), cols).where(F.col("summary").isin(*EXACT))
+    return merged.select("summary", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in cols])
+
+
+@query("ingest_one_table")
+def ingest_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named table, taken by an extract function, as bronze."""
+    base, database = _own_database(spark, "ingest")
+    path = ingest_table(spark, "public.customer", base, extract=lambda s, table: given(s, sf_dir, table.rsplit(".", 1)[-1]))
+    return read_since(spark, path, snapshot="latest").drop("_ingestion_timestamp")
+
+
+@query("registry_lookups")
+def registry_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which schemas there are, and how many files use each."""
+    registry = canonical_schemas(shapes.order_headers(spark, sf_dir))
+    used = list_file_mappings(registry).groupBy("schema_name").agg(F.count(F.lit(1)).alias("files"))
+    return list_schemas(registry).join(used, "schema_name").select("schema_name", F.array_join("columns", ",").alias("columns"), "files")
+
+
+@query("registry_per_batch")
+def registry_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events under few schemas, then odd ones under all: each batch uses the registry of its time."""
+    base = new_scratch(spark, "registry-batch")
+    messages = shapes.event_messages(spark, sf_dir)
+    key = F.get_json_object("value", "$.event_id").cast("bigint")
+    known = {"click": shapes.EVENT_COLUMNS}
+    for n in range(2):
+        messages.where(key % 2 == n).write.json(f"{base}/in/{n}")
+        start_bronze_stream(
+            file_messages(spark, f"{base}/in/*", files_per_batch=1000), lambda: load_schemas(known), base, f"{base}/checkpoint", available_now=True
+        ).awaitTermination()
+        known = shapes.EVENT_SCHEMAS
+    found = [read_since(spark, stream_path(base, name)).select("event_id", F.lit(name).alias("place")) for name in sorted(known)]
+    rejected = read_since(spark, quarantine_path(base)).select(F.get_json_object("data", "$.event_id").alias("event_id"), F.lit("quarantine").alias("place"))
+    return reduce(DataFrame.unionAll, [*found, rejected])
