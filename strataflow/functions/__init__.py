@@ -4,6 +4,7 @@ from strataflow.functions.columns import (
     at_least,
     blank_to_null,
     bucketize,
+    by_bounds,
     clamp_between,
     clamp_in,
     days_since,
@@ -15,8 +16,6 @@ from strataflow.functions.columns import (
     parse_epoch,
     parse_event_time,
     parse_int,
-    stage_of,
-    three_way,
     within_days,
 )
 
@@ -24,6 +23,7 @@ __all__ = [
     "at_least",
     "blank_to_null",
     "bucketize",
+    "by_bounds",
     "clamp_between",
     "clamp_in",
     "days_since",
@@ -35,7 +35,5 @@ __all__ = [
     "parse_epoch",
     "parse_event_time",
     "parse_int",
-    "stage_of",
-    "three_way",
     "within_days",
 ]

@@ -92,10 +92,17 @@ def bucketize(c: Column | str, lower: float, bounds: Sequence[tuple[float, str]]
     return labelled
 
 
-def three_way(c: Column | str, low: float, mid: float) -> Column:
-    """``low`` / ``medium`` / ``high``; NULL is ``high``, as in the published rule set."""
+def by_bounds(
+    c: Column | str, bounds: Sequence[tuple[float, str]], beyond: str, missing: str, lower: float | None = None
+) -> Column:
+    """Label of the first ascending upper bound at or above the value; ``beyond`` for any other value, ``missing`` for NULL."""
     c = _col(c)
-    return F.when(c <= low, "low").when(c <= mid, "medium").otherwise("high")
+    labelled = F.when(c.isNull(), missing)
+    if lower is not None:
+        labelled = labelled.when(c < lower, beyond)
+    for upper, label in bounds:
+        labelled = labelled.when(c <= upper, label)
+    return labelled.otherwise(beyond)
 
 
 def at_least(c: Column | str, threshold: float) -> Column:
@@ -112,16 +119,6 @@ def label_map(c: Column | str, labels: Mapping[int, str]) -> Column:
     return mapped
 
 
-def stage_of(c: Column | str, early_to: int = 2, mid_to: int = 6) -> Column:
-    c = _col(c)
-    return (
-        F.when(c.isNull(), "unknown")
-        .when(c.between(0, early_to), "early_stage")
-        .when(c.between(early_to + 1, mid_to), "mid_stage")
-        .otherwise("late_stage")
-    )
-
-
 def difference(a: Column | str, b: Column | str, places: int = 4) -> Column:
     """``a - b`` rounded; NULL when either side is."""
     return F.round(_col(a) - _col(b), places)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions import clamp_between, clamp_in, label_map, stage_of, within_days
+from strataflow.functions import clamp_between, clamp_in, label_map, within_days
 from strataflow.operators import cast_columns, dedup_latest, rename_map, require_keys
+from strataflow.plans.silver.labels import month_group
 
 # Fixed values of the data contract.
 SOURCE_LABELS = {
@@ -64,7 +65,7 @@ def features(cleaned: DataFrame, as_of: Column | None = None) -> DataFrame:
         "month_idx",
         "source_type",
         label_map("source_type", SOURCE_LABELS).alias("source_category"),
-        stage_of("month_idx").alias("month_group"),
+        month_group("month_idx").alias("month_group"),
         "event_timestamp",
         F.to_date("event_timestamp").alias("event_date"),
         within_days("event_timestamp", RECENT_DAYS, as_of).alias("is_recent"),

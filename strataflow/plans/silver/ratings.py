@@ -12,15 +12,13 @@ from strataflow.functions import (
     days_since,
     parse_event_time,
     parse_int,
-    three_way,
 )
 from strataflow.operators import dedup_latest, rename_map, require_keys
+from strataflow.plans.silver.labels import BUCKETS, rating_category
 
 # Fixed values of the data contract.
 RATING_RANGE = (0.5, 5.0)
 POSITIVE_AT = 4.0
-CATEGORY_BOUNDS = (2.5, 3.5)
-BUCKETS = [(1.5, "very_low"), (2.5, "low"), (3.5, "mid"), (4.5, "high"), (5.0, "top")]
 
 KEYS = ["user_id", "movie_id", "event_timestamp"]
 CLEANED_SCHEMA = (
@@ -66,7 +64,7 @@ def features(cleaned: DataFrame, as_of: Column | None = None) -> DataFrame:
         "user_id",
         "movie_id",
         "rating",
-        three_way("rating", *CATEGORY_BOUNDS).alias("rating_category"),
+        rating_category("rating").alias("rating_category"),
         at_least("rating", POSITIVE_AT).alias("is_positive"),
         bucketize("rating", RATING_RANGE[0], BUCKETS).alias("rating_bucket"),
         "event_timestamp",

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions import at_least, bucketize, clamp_between, parse_event_time, parse_int, three_way
+from strataflow.functions import at_least, bucketize, clamp_between, parse_event_time, parse_int
 from strataflow.operators import dedup_latest, rename_map, require_keys
+from strataflow.plans.silver.labels import BUCKETS, rating_category
 
 # Fixed values of the data contract.
 PREDICTED_RANGE = (0.0, 5.0)
 HIGH_SCORE_AT = 4.0
-CATEGORY_BOUNDS = (2.5, 3.5)
-BUCKETS = [(1.5, "very_low"), (2.5, "low"), (3.5, "mid"), (4.5, "high"), (5.0, "top")]
 
 KEYS = ["user_id", "movie_id", "event_timestamp"]
 CLEANED_SCHEMA = (
@@ -58,7 +57,7 @@ def features(cleaned: DataFrame) -> DataFrame:
         "user_id",
         "movie_id",
         "predicted_rating",
-        three_way("predicted_rating", *CATEGORY_BOUNDS).alias("predicted_rating_category"),
+        rating_category("predicted_rating").alias("predicted_rating_category"),
         at_least("predicted_rating", HIGH_SCORE_AT).alias("is_high_score"),
         bucketize("predicted_rating", PREDICTED_RANGE[0], BUCKETS).alias("predicted_rating_bucket"),
         "event_timestamp",

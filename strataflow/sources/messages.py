@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 TOPIC_PREFIX = "csv"
 MESSAGE_SCHEMA = "topic string, value string"
+NO_SCHEMA = "no schema registered for "
 
 
 def topic_for(schema_name: Column | str, prefix: str = TOPIC_PREFIX) -> Column:
@@ -38,7 +39,7 @@ def parse_messages(messages: DataFrame, schema: StructType) -> DataFrame:
 
 def unknown_schema(name: Column) -> Column:
     """The error of a message that no schema is registered for."""
-    return F.concat(F.lit("no schema registered for "), F.coalesce(name, F.lit("no topic")))
+    return F.concat(F.lit(NO_SCHEMA), F.coalesce(name, F.lit("no topic")))
 
 
 def misfit(schemas: Mapping[str, Sequence[str]], name: str = "_schema", value: str = "value") -> Column:
@@ -60,6 +61,24 @@ def misfit(schemas: Mapping[str, Sequence[str]], name: str = "_schema", value: s
     )
 
 
+def inferred_columns(messages: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
+    """``schema_name, column, type, messages``: what the JSON objects of each topic hold; the type is the narrowest that takes all values of a column.
+
+    Values that are not JSON objects have no part in it. Works on any messages; of the quarantine's it tells what schemas to register.
+    """
+    value = F.try_parse_json(F.col("value").cast("string"))
+    objects = messages.where("topic IS NOT NULL").select(schema_name_of("topic", prefix).alias("schema_name"), value.alias("v"))
+    # Text is taken for an object by its first character, as casting any other value to a map fails.
+    fields = objects.where(F.schema_of_variant("v").startswith("OBJECT")).select("schema_name", F.explode(F.expr("CAST(v AS MAP<STRING, VARIANT>)")).alias("column", "v"))
+    return fields.groupBy("schema_name", "column").agg(F.schema_of_variant_agg("v").alias("type"), F.count(F.lit(1)).alias("messages"))
+
+
+def proposed_headers(columns: DataFrame) -> DataFrame:
+    """``inferred_columns`` as headers for ``canonical_schemas``: a file per schema, its columns in order of their names."""
+    listed = columns.groupBy("schema_name").agg(F.array_sort(F.collect_set("column")).alias("columns"))
+    return listed.select(F.concat(F.lit("inferred/"), "schema_name").alias("file_path"), "schema_name", "columns")
+
+
 def dead_letters(messages: DataFrame, error: Column) -> DataFrame:
     """Rejected messages as ``data, error, timestamp, topic``."""
     return messages.select(

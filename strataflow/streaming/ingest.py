@@ -18,7 +18,7 @@ from strataflow.operators import stamp_audit
 from strataflow.session import apply_defaults
 from strataflow.sources.catalog import get_checkpoint, register_table, set_checkpoint
 from strataflow.sources.files import drop_path, first_line, glob_paths, make_folder
-from strataflow.sources.messages import TOPIC_PREFIX, dead_letters, misfit, parse_messages, schema_name_of
+from strataflow.sources.messages import NO_SCHEMA, TOPIC_PREFIX, dead_letters, misfit, parse_messages, schema_name_of
 from strataflow.sources.versions import (
     VERSION_COL,
     committed_versions,
@@ -174,7 +174,7 @@ def replay_quarantine(
     rejected = committed_versions(spark, quarantine_path(base))
     if not rejected:
         return {}
-    error = {n: f"no schema registered for {n}" for n in schemas}
+    error = {n: f"{NO_SCHEMA}{n}" for n in schemas}
     waiting = (
         read_versions(spark, quarantine_path(base), rejected, DEAD_LETTERS, keep_version=True)
         .where(F.col("error").isin(*error.values()) & F.col("topic").isNotNull())
@@ -203,6 +203,12 @@ def replay_quarantine(
     return moved
 
 
+def unregistered(spark: SparkSession, base: str) -> DataFrame:
+    """The quarantined messages that no schema was registered for, as ``topic, value``."""
+    letters = read_versions(spark, quarantine_path(base), committed_versions(spark, quarantine_path(base)), DEAD_LETTERS)
+    return letters.where(F.col("error").startswith(NO_SCHEMA)).select("topic", F.col("data").alias("value"))
+
+
 def start_bronze_stream(
     messages: DataFrame,
     load_registry: Callable[[], Mapping[str, StructType]],

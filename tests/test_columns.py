@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow import functions as C
-from strataflow.plans.silver import elicitation, ratings, recommendations
+from strataflow.plans.silver import elicitation, labels, ratings, recommendations
 
 
 def apply(spark, values, type_, fn):
@@ -32,7 +32,7 @@ def apply(spark, values, type_, fn):
         ),
         (
             "double",
-            lambda c: C.three_way(c, 2.5, 3.5),
+            labels.rating_category,
             {2.5: "low", 2.51: "medium", 3.5: "medium", 3.51: "high", None: "high"},
         ),
         ("double", lambda c: C.at_least(c, 4), {4.0: True, 3.99: False, None: None}),
@@ -46,7 +46,7 @@ def apply(spark, values, type_, fn):
         ),
         (
             "int",
-            C.stage_of,
+            labels.month_group,
             {
                 None: "unknown", 0: "early_stage", 2: "early_stage", 3: "mid_stage", 6: "mid_stage",
                 7: "late_stage",

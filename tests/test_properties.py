@@ -8,8 +8,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from strataflow import operators as O
-from strataflow.functions import bucketize, three_way
-from strataflow.plans.silver.ratings import BUCKETS
+from strataflow.functions import bucketize
+from strataflow.plans.silver.labels import BUCKETS, rating_category
 from strataflow.sources.versions import new_rows
 from tests.conftest import rows
 
@@ -56,7 +56,7 @@ def test_labels_follow_the_written_ranges(spark, values):
         return "high" if v is None or v > 3.5 else "low" if v <= 2.5 else "medium"
 
     df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
-    got = df.select(bucketize("v", 0.5, BUCKETS), three_way("v", 2.5, 3.5)).collect()
+    got = df.select(bucketize("v", 0.5, BUCKETS), rating_category("v")).collect()
     assert [tuple(r) for r in got] == [(bucket(v), category(v)) for v in values]
 
 

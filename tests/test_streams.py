@@ -139,6 +139,21 @@ def test_a_stream_replays_what_was_registered(spark, base):
     assert rows(bronze(spark, base, "late").select("x")) == [("1",), ("2",)]
 
 
+def test_columns_are_inferred_from_messages(spark):
+    df = batch(
+        spark,
+        ("csv-a", '{"n": 1, "x": 1.5, "s": "t", "o": {"k": true}}'),
+        ("csv-a", '{"n": 300000, "x": 2, "s": null}'),
+        ("csv-a", "[1]"), ("csv-a", "5"), ("csv-a", "{broken"), ("csv-a", None), (None, '{"n": 1}'),
+        ("csv-b", '{"n": "one"}'), ("csv-b", '{"n": 1}'), ("csv-c", "{}"),
+    )
+    found = messages.inferred_columns(df)
+    assert rows(found) == [
+        ("a", "n", "BIGINT", 2), ("a", "o", "OBJECT<k: BOOLEAN>", 1), ("a", "s", "STRING", 2), ("a", "x", "DECIMAL(21,1)", 2), ("b", "n", "VARIANT", 2),
+    ]
+    assert rows(messages.proposed_headers(found)) == [("inferred/a", "a", ["n", "o", "s", "x"]), ("inferred/b", "b", ["n"])]
+
+
 # --- the tail of growing files -----------------------------------------------------------
 
 

@@ -461,6 +461,10 @@ ORACLE["registry_per_batch"] = """
     SELECT CAST(event_id AS VARCHAR) AS event_id,
            CASE WHEN event_type = 'error' OR (event_id % 2 = 0 AND event_type <> 'click') THEN 'quarantine' ELSE event_type END AS place
     FROM events"""
+ORACLE["inferred_schemas"] = """
+    SELECT event_type AS schema_name, c AS column, 'STRING' AS type, count(*) AS messages, count(*) AS replayed
+    FROM events, (SELECT unnest(['event_id', 'user_id', 'value', 'ts']) AS c)
+    WHERE event_type NOT IN ('click', 'view') GROUP BY event_type, c"""
 ORACLE["customer_underrated"] = _with(
     "SELECT movie_id, title, round(avg_rating, 6) AS avg_rating, total_ratings FROM gold_underrated_movies",
     (

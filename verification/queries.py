@@ -26,8 +26,6 @@ from strataflow.functions import (
     null_sentinel,
     parse_date,
     parse_epoch,
-    stage_of,
-    three_way,
     within_days,
 )
 from strataflow.operators import dedup_latest, explode_delimited, quality_report, table_profile
@@ -38,7 +36,8 @@ from strataflow.plans.entities import BELIEF, ELICITATION, ENTITIES, MOVIES, RAT
 from strataflow.plans.gold import MODELS, Thresholds, in_order
 from strataflow.plans.incremental import read_cleaned, read_features, run_incremental
 from strataflow.plans.silver.elicitation import SOURCE_LABELS
-from strataflow.plans.silver.ratings import BUCKETS, RATING_RANGE
+from strataflow.plans.silver.labels import BUCKETS, month_group, rating_category
+from strataflow.plans.silver.ratings import RATING_RANGE
 from strataflow.session import apply_defaults
 from strataflow.sources import shapes
 from strataflow.sources.bronze import ingest_csv, ingest_table, load_to_bronze, rejects_path
@@ -47,12 +46,12 @@ from strataflow.sources.changes import changes_since
 from strataflow.sources.csv_files import HEADERS_SCHEMA, csv_stream, csv_tail, load_csv
 from strataflow.sources.csv_tail import csv_tail_stream
 from strataflow.sources.files import arrow_path, drop_path, glob_paths, make_folder, new_scratch
-from strataflow.sources.messages import file_messages, parse_messages, tail_messages, to_messages
+from strataflow.sources.messages import file_messages, inferred_columns, parse_messages, proposed_headers, tail_messages, to_messages
 from strataflow.sources.registry import canonical_schemas, list_file_mappings, list_schemas, load_schemas
 from strataflow.sources.shapes import given
 from strataflow.sources.versions import insert_only_merge, read_since, version_path, write_version
 from strataflow.streaming import route_messages, start_bronze_stream
-from strataflow.streaming.ingest import quarantine_path, replay_quarantine, stream_path, version_for
+from strataflow.streaming.ingest import quarantine_path, replay_quarantine, stream_path, unregistered, version_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,7 +160,7 @@ def bucketized(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucket = bucketize(score, RATING_RANGE[0], BUCKETS)
     return (
         given(spark, sf_dir, "lineitem")
-        .groupBy(bucket.alias("bucket"), three_way(clamp_between(score, 0.5, 4.0), 2.5, 3.5).alias("category"))
+        .groupBy(bucket.alias("bucket"), rating_category(clamp_between(score, 0.5, 4.0)).alias("category"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(score).alias("low"), F.max(score).alias("high"))
     )
 
@@ -218,7 +217,7 @@ def labelled_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = clamp_between((F.col("o_orderkey") % 12 - 1).cast("int"), lo=0)
     return (
         given(spark, sf_dir, "orders")
-        .groupBy(label_map(code, SOURCE_LABELS).alias("source_category"), stage_of(month).alias("month_group"))
+        .groupBy(label_map(code, SOURCE_LABELS).alias("source_category"), month_group(month).alias("month_group"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -780,3 +779,17 @@ def registry_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = [read_since(spark, stream_path(base, name)).select("event_id", F.lit(name).alias("place")) for name in sorted(known)]
     rejected = read_since(spark, quarantine_path(base)).select(F.get_json_object("data", "$.event_id").alias("event_id"), F.lit("quarantine").alias("place"))
     return reduce(DataFrame.unionAll, [*found, rejected])
+
+
+@query("inferred_schemas")
+def inferred_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the quarantined events hold, proposed as schemas; then they are registered under that and replayed."""
+    base = new_scratch(spark, "inferred")
+    few = {n: c for n, c in shapes.EVENT_SCHEMAS.items() if n in ("click", "view")}
+    route_messages(shapes.event_messages(spark, sf_dir), 0, load_schemas(few), base)
+    found = inferred_columns(unregistered(spark, base))
+    proposed = canonical_schemas(proposed_headers(found))
+    replay_quarantine(spark, base, load_schemas({r.file_path.split("/", 1)[1]: r.columns for r in proposed.collect()}))
+    names = ("error", "purchase", "signup")
+    rows = [read_since(spark, stream_path(base, n)).agg(F.count("event_id").alias("replayed")).withColumn("schema_name", F.lit(n)) for n in names]
+    return found.join(reduce(DataFrame.unionAll, [r.select("schema_name", "replayed") for r in rows]), "schema_name")
