@@ -1,11 +1,12 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions alone.
 
-Base counts are exact. On top, five statistics of a document can each reject it beyond a cutoff. The cutoffs are selected for
-each stratum (a range of document lengths) on labelled holdouts: a cutoff is admitted if the exact
-binomial test shows that it rejects at most a share ``risk`` / rules of good documents, so that all rules together
-reject at most a share ``risk``. The level is divided
-by the number of tests (strata x rules x cutoffs), so all admitted cutoffs hold at once with
-confidence 1 - ``level``; of the admitted ones of a rule the one that rejects most is used.
+Base counts are exact. On top, five statistics of a document can each reject it beyond a cutoff, in four steps from mild to strict. The cutoffs are
+selected for each stratum (a range of document lengths) on labelled holdouts, halved by a hash of doc_id:
+
+* The first half proposes: a rule takes part up to the strictest step at which it alone rejects at most ``risk`` / rules of the good documents there.
+* The second half decides. The joint verdict of all rules, each up to step 1, then 2, 3, 4, is tested in that order by the exact binomial bound against the whole
+  ``risk``, until a test fails. The verdicts are nested and their order is fixed before the second half is looked at, so each stratum spends its share of
+  the level (``level`` / strata) once, however many steps there are. With confidence 1 - ``level`` all admitted verdicts reject at most a share ``risk`` of the good documents.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import stored, texts_of
+from strataflow.llm.common import crc_fold, stored, texts_of
 
 WINDOW = 8
 SPLIT = r"[\x20\x09-\x0D]+"
 #: Statistics a rule may reject by, as hundredths of a share or as given; candidates go from strict to mild.
 RULES = {"repeats": (2, 5, 10, 20), "lines": (10, 20, 30, 50), "symbols": (20, 50, 100, 200), "long_words": (900, 1100, 1300, 1600), "few_words": (160, 80, 40, 25)}
+STEPS = 4
 #: Strata by the number of words: the first number of each but the lowest.
 STRATA = (100, 400)
 
@@ -70,6 +72,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return own.select("doc_id", "f.n_words", "f.word_chars", "n_symbols", "n_dup_lines", "f.n_repeat_words", "n_lines")
 
 
+def _cut(rule: str, value: int) -> int:
+    """A cutoff on the scale of its statistic; few words are bad, so theirs are negative."""
+    return -value if rule == "few_words" else value
+
+
 def _statistics() -> Column:
     """The rules' statistics, whole numbers: the larger, the worse."""
     n, c = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
@@ -77,9 +84,8 @@ def _statistics() -> Column:
         "repeats": F.floor(100 * F.col("n_repeat_words") / n), "lines": F.floor(100 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
         "symbols": F.floor(1000 * F.col("n_symbols") / c), "long_words": F.floor(100 * F.col("word_chars") / n), "few_words": -F.col("n_words"),
     }
-    cut = lambda r, x: F.lit(-x if r == "few_words" else x).cast("long")
     return F.array(*[
-        F.struct(F.lit(r).alias("rule"), values[r].cast("long").alias("value"), F.array(*[cut(r, x) for x in xs]).alias("cuts")) for r, xs in RULES.items()
+        F.struct(F.lit(r).alias("rule"), values[r].cast("long").alias("value"), F.array(*[F.lit(_cut(r, x)).cast("long") for x in xs]).alias("cuts")) for r, xs in RULES.items()
     ])
 
 
@@ -104,14 +110,34 @@ def thresholds(counts: DataFrame, labels: DataFrame, risk: float, level: float)
     row for each stratum and rule at most, so broadcasting it is safe.
     """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    seen = counts.where(~F.col("base_failed")).join(good, "doc_id").select(_stratum().alias("stratum"), F.explode(_statistics()).alias("s"))
-    tested = seen.select("stratum", "s.rule", "s.value", F.explode("s.cuts").alias("cutoff"))
-    tests = (len(STRATA) + 1) * sum(map(len, RULES.values()))
-    sums = tested.groupBy("stratum", "rule", "cutoff").agg(F.count("*").alias("n"), F.sum((F.col("value") >= F.col("cutoff")).cast("long")).alias("x"))
-    # A document goes if any rule fires: the rules' shares add up to the risk at most.
-    each = risk / len(RULES)
-    sound = sums.where(F.col("x") < each * F.col("n")).where(_tail(F.col("x"), F.col("n"), each) <= level / tests)
-    return sound.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    own = counts.where(~F.col("base_failed")).join(good, "doc_id")
+    # How many cutoffs a value reaches: at step t a rule rejects what reaches more than STEPS - t of them.
+    reached = F.transform(_statistics(), lambda s: F.struct(s["rule"].alias("rule"), F.size(F.filter(s["cuts"], lambda c: c <= s["value"])).alias("reach")))
+    seen = own.select(crc_fold(F.col("doc_id"), 2).alias("half"), _stratum().alias("stratum"), reached.alias("rules"))
+    steps = range(1, STEPS + 1)
+
+    one = seen.where("half = 0").select("stratum", F.inline("rules"))
+    sums = one.groupBy("stratum", "rule").agg(F.count("*").alias("n"), *[F.count_if(F.col("reach") > STEPS - t).alias(f"x{t}") for t in steps])
+    upto = sum((F.col(f"x{t}") <= risk / len(RULES) * F.col("n")).cast("int") for t in steps)
+    proposed = sums.select("stratum", "rule", upto.alias("upto")).where("upto > 0")
+    known = proposed.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "upto"))).alias("upto"))
+
+    # The first step whose joint verdict rejects the document.
+    first = F.array_min(F.transform("rules", lambda r: F.when((r["reach"] > 0) & (STEPS + 1 - r["reach"] <= F.try_element_at("upto", r["rule"])), STEPS + 1 - r["reach"])))
+    joint = seen.where("half = 1").join(F.broadcast(known), "stratum").withColumn("first", first)
+    tests = joint.groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(F.col("first") <= t).alias(f"x{t}") for t in steps])
+    spent = level / (len(STRATA) + 1)
+    before = None
+    for t in steps:
+        x = F.col(f"x{t}")
+        # Beyond the expected number no test succeeds, so the terms need not be summed.
+        fails = F.coalesce(F.when(x < risk * F.col("n"), _tail(x, F.col("n"), risk) > spent), F.lit(True))
+        before = F.when(fails, t - 1) if before is None else before.when(fails, t - 1)
+    admitted = before.otherwise(STEPS)
+    passed = tests.select("stratum", admitted.alias("step")).where("step > 0")
+    cuts = F.create_map(*[x for r, values in RULES.items() for x in (F.lit(r), F.array(*[F.lit(_cut(r, v)).cast("long") for v in values]))])
+    final = proposed.join(passed, "stratum")
+    return final.select("stratum", "rule", F.get(F.element_at(cuts, F.col("rule")), STEPS - F.least("upto", "step")).alias("cutoff"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = 0.01, level: float = 0.05) -> DataFrame:

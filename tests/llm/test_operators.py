@@ -256,6 +256,52 @@ def test_rules_together_reject_no_more_than_the_risk(spark):
         assert {r.rule for r in found} - {"few_words"} == admitted
 
 
+def plain_thresholds(rows, risk, level):
+    """stratum -> rule -> cutoff, from (doc_id, n_words, statistics by rule) of good documents that pass the base rule."""
+    from math import comb
+
+    rules, strata = quality_rules.RULES, len(quality_rules.STRATA) + 1
+    cuts = {r: sorted((quality_rules._cut(r, v) for v in values), reverse=True) for r, values in rules.items()}  # from mild to strict
+    out = {}
+    for stratum in range(strata):
+        own = [(d, s) for d, n, s in rows if sum(n >= x for x in quality_rules.STRATA) == stratum]
+        halves = [[s for d, s in own if zlib.crc32(str(d).encode()) % 2 == h] for h in (0, 1)]
+        upto = {r: sum(sum(s[r] >= cuts[r][t] for s in halves[0]) <= risk / len(rules) * len(halves[0]) for t in range(4)) for r in rules} if halves[0] else {}
+        upto = {r: t for r, t in upto.items() if t}
+        step, n = 0, len(halves[1])
+        while upto and n and step < 4:
+            x = sum(any(s[r] >= cuts[r][min(step, t - 1)] for r, t in upto.items()) for s in halves[1])
+            if x >= risk * n or sum(comb(n, i) * risk**i * (1 - risk) ** (n - i) for i in range(x + 1)) > level / strata:
+                break
+            step += 1
+        if step:
+            out[stratum] = {r: cuts[r][min(step, t) - 1] for r, t in upto.items()}
+    return out
+
+
+def test_thresholds_and_verdict_against_a_plain_version(spark, tmp_path):
+    ready(spark)
+    rng = random.Random(8)
+    data = []
+    for i in range(6000):
+        n = rng.choice([60, 200, 700]) + rng.randint(0, 30)
+        rare = lambda p, hi: rng.randint(1, hi) if rng.random() < p else 0  # noqa: B023, E731
+        data.append((i, n, n * rng.choice([4, 5, 6]) + rare(0.002, 9000), rare(0.01, 40), rare(0.004, 30), rare(0.01, n // 3), 50, False))
+    counts = spark.createDataFrame(data, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, base_failed boolean")
+    counts.write.parquet(str(tmp_path / "counts"))
+    counts = spark.read.parquet(str(tmp_path / "counts"))
+    stats = lambda r: {"repeats": 100 * r[5] // r[1], "lines": 100 * r[4] // r[6], "symbols": 1000 * r[3] // r[2], "long_words": 100 * r[2] // r[1], "few_words": -r[1]}
+    good = [(r[0], r[1], stats(r)) for r in data if r[0] % 3]
+    labels = spark.createDataFrame([(r[0], int(r[0] % 3 > 0)) for r in data] + [(None, 1), (9, None)], "doc_id long, quality int")
+    for risk in (0.01, 0.03):
+        want = plain_thresholds(good, risk, 0.05)
+        found = {}
+        for r in quality_rules.thresholds(counts, labels, risk, 0.05).collect():
+            found.setdefault(r.stratum, {})[r.rule] = r.cutoff
+        assert found == want
+    assert any(len(x) > 1 for x in want.values())
+
+
 # --- byte-level BPE ----------------------------------------------------------------
 
 
