@@ -31,7 +31,7 @@ def _split(buckets: int, words_only: bool):
     """Chunks of documents in the order of the scan: their words by bucket, or else where each word stands."""
 
     def made(number: int, held: list[tuple]) -> Iterator[tuple]:
-        split = bpe_text.Split([t for _, t in held])
+        split = bpe_text.Split([t for _, t in held], by_library=True)
         raw = [w.encode() for w in split.words]
         bucket = np.fromiter((xxhash.xxh64_intdigest(w) % buckets for w in raw), np.int64, len(raw))
         order = np.argsort(bucket, kind="stable")

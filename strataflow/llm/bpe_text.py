@@ -29,10 +29,43 @@ def classes() -> np.ndarray:
     return table
 
 
-def pre_tokens(codes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Start of every pre-token of the pattern in public_tokenizers. ``firsts`` are the starts of the texts, empty ones left out."""
+@cache
+def unassigned() -> np.ndarray:
+    """Code points that Python's Unicode version doesn't know; a library may."""
+    return np.fromiter((unicodedata.category(chr(i)) == "Cn" for i in range(0x110000)), bool, 0x110000)
+
+
+@cache
+def _probe():
+    """Bytes, and the letter a or the digit 1 with a byte after it: those two are one token only if they share a pre-token."""
+    import tiktoken
+
+    single = {bytes([b]): b for b in range(256)}
+    double = {x + bytes([b]): 256 * (k + 1) + b for k, x in enumerate((b"a", b"1")) for b in range(0x80, 256)}
+    return tiktoken.Encoding("probe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=single | double, special_tokens={})
+
+
+@cache
+def class_by_library(code: int) -> int:
+    """The class of a code point beyond ASCII that is no blank, as the library splits it."""
+    for x, kind in (("a", LETTER), ("1", NUMBER)):
+        if _probe().encode_ordinary(x + chr(code))[0] > 255:
+            return kind
+    return OTHER
+
+
+def pre_tokens(codes: np.ndarray, firsts: np.ndarray, by_library: bool = False) -> np.ndarray:
+    """Start of every pre-token of the pattern in public_tokenizers. ``firsts`` are the starts of the texts, empty ones left out.
+
+    ``by_library``: code points unknown to Python are classed as tiktoken does, asked once for each that occurs.
+    """
     n = len(codes)
     cls = classes()[codes]
+    if by_library:
+        at = np.nonzero(unassigned()[codes])[0]
+        if len(at):
+            new, which = np.unique(codes[at], return_inverse=True)
+            cls[at] = np.array([class_by_library(c) for c in new.tolist()], np.uint8)[which]
     head = np.zeros(n + 1, bool)
     head[firsts] = True
     head[n] = True
@@ -64,13 +97,13 @@ def pre_tokens(codes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 class Split:
     """Texts cut into pre-tokens: the distinct ones, and for each occurrence which."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], by_library: bool = False):
         self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.joined = "".join(texts)
         codes = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32)
         bounds = np.concatenate([[0], np.cumsum(self.lengths)])
         firsts = bounds[:-1][self.lengths > 0]
-        starts = pre_tokens(codes, firsts) if len(codes) else np.zeros(0, np.int64)
+        starts = pre_tokens(codes, firsts, by_library) if len(codes) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(codes))
         #: Number of pre-tokens of each text.
         self.counts = np.diff(np.searchsorted(starts, bounds)) if len(codes) else np.zeros(len(texts), np.int64)

@@ -316,6 +316,19 @@ def test_pre_tokens_are_those_of_the_pattern():
         assert [split.words[k] for k in split.which] == [x for t in made for x in pattern.findall(t)]
 
 
+def test_every_code_point_is_split_as_by_the_library():
+    """Each between letters and after a digit, also those newer than Python's Unicode version; the other planes hold no characters."""
+    name = "byte_bpe_multi_50k.tiktoken"
+    whole = bpe_text._encoder(name)
+    for plane in (0, 1, 2, 3, 14):
+        made = [f"x{chr(c)}y 7{chr(c)}" for c in range(max(128, plane << 16), (plane + 1) << 16) if not 0xD800 <= c < 0xE000]
+        split = bpe_text.Split(made, by_library=True)
+        ids = bpe_text.encode_words(split.words, name)
+        ends = np.cumsum(split.counts).tolist()
+        got = [[i for k in split.which[a:b].tolist() for i in ids[k]] for a, b in zip([0, *ends], ends, strict=False)]
+        assert got == whole.encode_ordinary_batch(made, num_threads=8)
+
+
 def test_round_trip_is_what_the_library_gives(docs, nothing):
     encode = bpe_text._encoder("byte_bpe_multi_50k.tiktoken").encode_ordinary
     want = []
