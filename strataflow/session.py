@@ -18,7 +18,7 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # A side that is broadcast passes through the driver. Before a query runs Catalyst knows the stored bytes of the columns read, of
-    # which rows in memory take many times as much (orders' keys five, their file names sixteen), so that limit is low. Adaptive execution measures shuffled rows and
+    # which rows in memory take many times as much, so that limit is low. Adaptive execution measures shuffled rows and
     # goes by their bytes: a side below the second limit is broadcast all the same.
     "spark.sql.autoBroadcastJoinThreshold": "1m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
