@@ -5,7 +5,8 @@ from __future__ import annotations
 import base64
 import os
 import unicodedata
-from functools import cache
+from functools import cache, cached_property
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -94,31 +95,43 @@ def pre_tokens(codes: np.ndarray, firsts: np.ndarray, by_library: bool = False)
     return np.nonzero(start)[0]
 
 
+@cache
+def _factors() -> tuple[np.ndarray, np.ndarray]:
+    """Random numbers by code point, and odd ones by place in a word; places beyond them take the same again."""
+    rng = np.random.default_rng(5)
+    return rng.integers(0, 1 << 64, 0x110000, np.uint64), rng.integers(0, 1 << 63, 256, np.uint64) * _U(2) + _U(1)
+
+
 class Split:
-    """Texts cut into pre-tokens: the distinct ones, and for each occurrence which."""
+    """Texts cut into pre-tokens: the distinct ones (words), and for each occurrence which."""
 
     def __init__(self, texts: list[str], by_library: bool = False):
         self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.joined = "".join(texts)
-        codes = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32)
+        self.codes = codes = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32)
         bounds = np.concatenate([[0], np.cumsum(self.lengths)])
         firsts = bounds[:-1][self.lengths > 0]
         starts = pre_tokens(codes, firsts, by_library) if len(codes) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(codes))
         #: Number of pre-tokens of each text.
         self.counts = np.diff(np.searchsorted(starts, bounds)) if len(codes) else np.zeros(len(texts), np.int64)
-        self.words, self.which = self._distinct(codes, starts, ends)
+        first, self.which, self.names = self._distinct(starts, ends)
+        #: First occurrence of each word.
+        self.starts, self.ends = starts[first], ends[first]
 
-    def _distinct(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def _distinct(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """First occurrence of each word, the word of each occurrence, and the words' names, ascending; none if two words share one."""
+        codes, none = self.codes, np.zeros(0, np.int64)
         if not len(starts):
-            return [], np.zeros(0, np.int64)
-        place = np.arange(len(codes)) - np.repeat(starts, ends - starts)
-        x = codes.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + place.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F)
-        x ^= x >> _U(31)
-        x *= _U(0xD6E8FEB86659FD93)
-        x ^= x >> _U(32)
+            return none, none, none.astype(np.uint64)
+        sizes, (by_code, by_place) = ends - starts, _factors()
+        place = np.arange(len(codes))
+        place -= np.repeat(starts, sizes)
+        place &= len(by_place) - 1
+        x = by_code[codes]
+        x *= by_place[place]
         names = np.add.reduceat(x, starts)
-        del x
+        del x, place
         order = np.argsort(names)
         k = names[order]
         new = np.ones(len(k), bool)
@@ -127,13 +140,19 @@ class Split:
         which = np.empty(len(k), np.int64)
         which[order] = np.cumsum(new) - 1
         # Equal names must be equal strings: compare every occurrence with its first.
-        same = (ends - starts) == (ends - starts)[firsts][which]
-        ahead = np.repeat(starts[firsts][which], ends - starts) + place
-        if same.all() and (codes[np.minimum(ahead, len(codes) - 1)] == codes).all():
-            return [self.joined[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)], which
+        if (sizes == sizes[firsts][which]).all() and (codes[np.arange(len(codes)) + np.repeat(starts[firsts][which] - starts, sizes)] == codes).all():
+            return firsts, which, k[new]
         index: dict[str, int] = {}
-        every = [index.setdefault(self.joined[a:b], len(index)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        return list(index), np.array(every, np.int64)
+        every = np.array([index.setdefault(self.joined[a:b], len(index)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        return np.unique(every, return_index=True)[1], every, None
+
+    def some(self, at: np.ndarray) -> list[str]:
+        """Those words as strings."""
+        return [self.joined[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)]
+
+    @cached_property
+    def words(self) -> list[str]:
+        return self.some(np.arange(len(self.starts)))
 
 
 @cache
@@ -163,18 +182,20 @@ def _model(name: str):
 
 
 @cache
-def _byte_letters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
+def _byte_letters() -> np.ndarray:
+    """The code point of the printable character that stands for each byte in byte-level vocabularies."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+    return np.array([b if b in own else next(rest) for b in range(256)], "<u4")
 
 
-def model_encode_words(words: list[str], name: str) -> list[list[int]]:
-    """Ids of single pre-tokens by the BPE model of a tokenizers file."""
-    model, letters = _model(name).model, _byte_letters()
-    letter = letters.__getitem__
-    return [[t.id for t in model.tokenize("".join(map(letter, w.encode())))] for w in words]
+def model_encode_words(words: list[str], name: str) -> list[tuple[int, ...]]:
+    """Ids of single pre-tokens by the BPE model of a tokenizers file; as tuples, which the garbage collector doesn't follow."""
+    tokenize, raw = _model(name).model.tokenize, [w.encode() for w in words]
+    # A letter for each byte, so words keep their places.
+    letters = _byte_letters()[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-32-le")
+    ends = list(accumulate(map(len, raw)))
+    return [tuple([t.id for t in tokenize(letters[a:b])]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _WORD = regex.compile(r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\p{Join_Control}]")
@@ -218,12 +239,51 @@ class AddedTokens:
         return [*out, text[done:]] if done < len(text) else out
 
 
+class Known:
+    """Words and their ids, as arrays: found by name, then compared by code points."""
+
+    def __init__(self):
+        none = np.zeros(0, np.int64)
+        self.names, self.codes, self.ids = none.astype(np.uint64), none.astype(np.uint32), none
+        #: Per name: start and number of code points, start and number of ids.
+        self.code_at = self.length = self.id_at = self.size = none
+
+    def find(self, split: Split, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the words ``at`` are known, as places in ``at``, and which known ones they are."""
+        lengths = (split.ends - split.starts)[at]
+        k = np.searchsorted(self.names, split.names[at])
+        k[k == len(self.names)] = 0
+        hit = np.nonzero((self.names[k] == split.names[at]) & (self.length[k] == lengths))[0] if len(self.names) else np.zeros(0, np.int64)
+        if not len(hit):
+            return hit, hit
+        k, n = k[hit], lengths[hit]
+        same = gather(self.codes, self.code_at[k], n) == gather(split.codes, split.starts[at[hit]], n)
+        same = np.logical_and.reduceat(same, np.cumsum(n) - n)
+        return hit[same], k[same]
+
+    def add(self, split: Split, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        lengths = (split.ends - split.starts)[at]
+        names = np.concatenate([self.names, split.names[at]])
+        order = np.argsort(names, kind="stable")
+        rows = (
+            (self.code_at, len(self.codes) + np.cumsum(lengths) - lengths),
+            (self.length, lengths),
+            (self.id_at, len(self.ids) + np.cumsum(sizes) - sizes),
+            (self.size, sizes),
+        )
+        self.names = names[order]
+        self.code_at, self.length, self.id_at, self.size = (np.concatenate(x)[order] for x in rows)
+        self.codes = np.concatenate([self.codes, gather(split.codes, split.starts[at], lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class Encoder:
-    """Texts to ids with a tokenizers file; words seen before in this task are remembered, up to a bound."""
+    """Texts to ids with a tokenizers file; words seen before in this task are remembered, up to a bound. Those not seen for longest go first."""
 
     def __init__(self, name: str, remember: int = 200_000):
         self.name, self.remember = name, remember
-        self.known: dict[str, np.ndarray] = {}
+        # When the first holds half of the bound it takes the second's place.
+        self.known, self.before = Known(), Known()
         self.added = AddedTokens(name)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -246,26 +306,39 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = Split(texts)
-        if not split.words:
+        if not len(split.starts):
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-        if len(self.known) > self.remember:
-            self.known.clear()
-        fresh = [w for w in split.words if w not in self.known]
-        for w, ids in zip(fresh, model_encode_words(fresh, self.name), strict=True):
-            self.known[w] = ids
-        table = [self.known[w] for w in split.words]
-        sizes = np.fromiter(map(len, table), np.int64, len(table))
-        flat = np.fromiter((i for ids in table for i in ids), np.int64, int(sizes.sum()))
-        ids, per_word = expand(flat, sizes, split.which)
-        return ids, per_text(per_word, split.counts)
-
-
-def expand(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lay out the entries of ``which`` one after the other; entry k has ``sizes[k]`` values of ``flat``."""
-    starts, per = np.cumsum(sizes) - sizes, sizes[which]
-    ends = np.cumsum(per)
+        flat, starts, sizes = self._ids(split)
+        per_word = sizes[split.which]
+        return gather(flat, starts[split.which], per_word), per_text(per_word, split.counts)
+
+    def _ids(self, split: Split) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each word's start and how many they are."""
+        if len(self.known.names) > self.remember // 2:
+            self.known, self.before = Known(), self.known
+        starts, sizes = np.empty((2, len(split.starts)), np.int64)
+        at, before, late = np.arange(len(starts)), 0, np.zeros(0, np.int64)
+        if split.names is not None:
+            for known in (self.known, self.before):
+                hit, k = known.find(split, at)
+                starts[at[hit]], sizes[at[hit]] = known.id_at[k] + before, known.size[k]
+                at, before = np.delete(at, hit), before + len(known.ids)
+                late = at if known is self.known else late
+        fresh = model_encode_words(split.some(at), self.name)
+        sizes[at] = np.fromiter(map(len, fresh), np.int64, len(fresh))
+        starts[at] = before + np.cumsum(sizes[at]) - sizes[at]
+        new = np.fromiter(chain.from_iterable(fresh), np.int64, int(sizes[at].sum()))
+        flat = new if split.names is None else np.concatenate([self.known.ids, self.before.ids, new])
+        if len(late):
+            self.known.add(split, late, gather(flat, starts[late], sizes[late]), sizes[late])
+        return flat, starts, sizes
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``flat`` one after the other."""
+    ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.arange(total) + np.repeat(starts[which] - (ends - per), per)], per
+    return flat[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
 
 
 def per_text(per_word: np.ndarray, counts: np.ndarray) -> np.ndarray:

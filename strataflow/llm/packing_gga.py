@@ -51,12 +51,16 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame
 Bins = list[list[int]]
 
 
+def _fill(b: list[int], sizes: list[int]) -> int:
+    return sum(map(sizes.__getitem__, b))
+
+
 def best_fit(order: list[int], sizes: list[int], size: int, bins: Bins) -> Bins:
     """Each item in turn goes into the bin with the least room that takes it. A bit mask of rooms finds it in constant time."""
     rooms: list[Bins] = [[] for _ in range(size + 1)]
     mask = 0
     for b in bins:
-        room = size - sum(sizes[i] for i in b)
+        room = size - _fill(b, sizes)
         rooms[room].append(b)
         mask |= 1 << room
     for i in order:
@@ -76,12 +80,12 @@ def best_fit(order: list[int], sizes: list[int], size: int, bins: Bins) -> Bins:
 
 def fitness(bins: Bins, sizes: list[int], size: int) -> tuple[int, float]:
     """Smaller is better: bins, then how evenly they are filled."""
-    return len(bins), -sum((sum(sizes[i] for i in b) / size) ** 2 for b in bins)
+    return len(bins), -sum([(_fill(b, sizes) / size) ** 2 for b in bins])
 
 
 def child(a: Bins, b: Bins, sizes: list[int], size: int, rng: random.Random) -> Bins:
     """Whole bins of ``b``, the fuller the likelier, into ``a``; what they displace is placed by best fit."""
-    fills = sorted(b, key=lambda x: -sum(sizes[i] for i in x))
+    fills = sorted(b, key=lambda x: -_fill(x, sizes))
     injected = [list(x) for k, x in enumerate(fills) if rng.random() < 0.6 * (1 - k / len(fills))]
     taken = {i for x in injected for i in x}
     kept, loose = [], []
@@ -90,7 +94,7 @@ def child(a: Bins, b: Bins, sizes: list[int], size: int, rng: random.Random) ->
             kept.append(list(x))
         else:
             loose += [i for i in x if i not in taken]
-    kept.sort(key=lambda x: -sum(sizes[i] for i in x))
+    kept.sort(key=lambda x: -_fill(x, sizes))
     for x in kept[len(kept) - max(1, len(kept) // 50) :]:  # mutation: the emptiest bins are dissolved
         loose += x
     kept = kept[: len(kept) - max(1, len(kept) // 50)]

@@ -383,6 +383,28 @@ def test_elias_fano_selects_what_it_was_given():
     assert 8 * len(spaced.dump()) < 10_000 * (2 + np.log2(1000) + 1.5) + 400
 
 
+def test_words_seen_again_are_not_encoded_again(monkeypatch):
+    """Also past the bound of what is remembered; rare words make room."""
+    asked, encode_words = [], bpe_text.model_encode_words
+    monkeypatch.setattr(bpe_text, "model_encode_words", lambda words, name: asked.extend(words) or encode_words(words, name))
+    encode = bpe_text.Encoder("byte_bpe_50k.json", remember=40)
+    for n in range(30):
+        made = ["rain straße " + " ".join(f"q{n}x{k}é" for k in range(9)), "", "rain"]
+        ids, counts = encode(made)
+        want = [library_ids(t) for t in made]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+    assert asked.count("rain") == asked.count(" straße") == 1
+    assert len(encode.known.names) + len(encode.before.names) < 100
+
+
+@pytest.mark.parametrize("by_code", [np.ones(0x110000, np.uint64), np.arange(0x110000, dtype=np.uint64) // 2])
+def test_words_that_share_a_name_are_kept_apart(monkeypatch, by_code):
+    monkeypatch.setattr(bpe_text, "_factors", lambda: (by_code, np.ones(256, np.uint64)))
+    encode = bpe_text.Encoder("byte_bpe_50k.json")
+    for made in (["bc", "lake"], ["cb"], ["bc cb bb", "ekal"], ["cc"]):
+        assert encode(made)[0].tolist() == [i for t in made for i in library_ids(t)]
+
+
 def test_token_files(docs, nothing):
     rows = token_binary.write_and_read(docs, "byte_bpe_50k.json").collect()
     ids = {}
