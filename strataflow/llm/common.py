@@ -23,11 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared scratch folder and read again: cuts the lineage, survives lost executors."""
-    path = new_scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+    """Write to the shared scratch folder and read again: cuts the lineage, survives lost executors.
+
+    ``release``: the write's shuffle files go when it ends, not only once the driver happens to collect garbage.
+    """
+    spark, path = df.sparkSession, new_scratch(df.sparkSession, label)
+    before = spark.conf.get(_RELEASE, None)
+    if release:
+        spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.unset(_RELEASE) if before is None else spark.conf.set(_RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def texts_of(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ of its own or inside a longer one. Short lines are compared like any other.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ REACH = 4
 BLOCK = 128
 #: Texts whose paragraphs are named and hashed together: at most so many, and no more once they have so many characters.
 _TEXTS_AT_ONCE, _CHARACTERS_AT_ONCE = 512, 1 << 19
+#: Paragraphs with their words that are held as lists, if a group hasn't more.
+_ROWS_AT_ONCE = 2048
 _U = np.uint64
 
 
@@ -205,12 +208,18 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[tuple]:
         for b in batches:
-            for text, asked in zip(b.column(0), b.column(1), strict=True):
-                u = Units([text.as_py()])
-                for x in asked.as_py():
-                    n, pid = x["n"], x["pid"]
-                    if n < len(u.pids) and u.pids[n] == pid:
-                        yield pid, b" ".join(u.words[u.starts[n] : u.ends[n]])
+            for first, texts in _together(b, 0):
+                u = Units(texts)
+                asked = b.column(1).slice(first, len(texts))
+                fields, sizes = asked.flatten(), np.diff(asked.offsets.to_numpy())
+                n, pids = (fields.field(k).to_numpy() for k in range(2))
+                text = np.repeat(np.arange(len(texts)), sizes)
+                at = n + (np.cumsum(u.counts) - u.counts)[text]
+                own = np.nonzero(n < u.counts[text])[0]
+                own = own[u.pids[at[own]] == pids[own]]
+                at = at[own]
+                for pid, x, y in zip(pids[own].tolist(), u.starts[at].tolist(), u.ends[at].tolist(), strict=True):
+                    yield pid, b" ".join(u.words[x:y])
 
     yield from rows_to_batches(rows(), _TEXTS)
 
@@ -242,11 +251,17 @@ def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for b in batches:
-                units, edges = b.column(0), b.column(0).offsets.to_pylist()
-                fields = units.values
-                for within, x, y in zip(b.column(1).to_pylist(), edges, edges[1:], strict=False):
-                    own = fields.slice(x, y - x)
-                    yield from links(*(own.field(k).to_pylist() for k in range(3)), within)
+                within, edges = b.column(1).to_pylist(), b.column(0).offsets.to_pylist()
+                fields, done = b.column(0).values, 0
+                while done < len(within):
+                    # Groups that are turned into lists together: at most so many rows, or one group.
+                    end = max(done + 1, bisect_right(edges, edges[done] + _ROWS_AT_ONCE) - 1)
+                    first = edges[done]
+                    held = fields.slice(first, edges[end] - first)
+                    columns = [held.field(k).to_pylist() for k in range(3)]
+                    for k in range(done, end):
+                        yield from links(*(c[edges[k] - first : edges[k + 1] - first] for c in columns), within[k])
+                    done = end
 
         yield from rows_to_batches(rows(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
@@ -261,7 +276,7 @@ def _near(docs: DataFrame, similarity: float) -> DataFrame:
     # A key that can't be null gets no filter from the join, so both readers of this exchange share it.
     rows = rows.select("pid", F.coalesce("key", F.lit(0).cast("long")).alias("key")).repartition(n, "key")
     met = rows.groupBy("key").agg(F.min("pid").alias("least"), F.max("pid").alias("most")).where("least <> most").select("key")
-    return stored(rows.join(met, "key").distinct(), "near")
+    return stored(rows.join(met, "key").distinct(), "near", release=True)
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -275,21 +290,30 @@ def _each(occurs: DataFrame) -> DataFrame:
     return occurs.select("doc_id", "at", "row", F.posexplode("pids").alias("n", "pid"))
 
 
+def _buckets(near: DataFrame) -> DataFrame:
+    """(``key``, ``blocks``) of the buckets to compare: of those with the same paragraphs, which have the same links, one.
+
+    They are told by the number of paragraphs and three sums of 64 bits over them.
+    """
+    marks = [F.bit_xor(F.xxhash64("pid", F.lit(k))).alias(f"mark{k}") for k in range(3)]
+    every = near.groupBy("key").agg(F.count("*").alias("n"), *marks)
+    return every.groupBy("n", "mark0", "mark1", "mark2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
+
+
 def _compared(docs: DataFrame, occurs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Links, and the paragraphs that are there twice or share a bucket: ``pid``, ``size``, ``first`` (their first place), ``met`` (share a bucket)."""
     near = _near(docs, similarity)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n", "at")
     firsts = _each(occurs).groupBy("pid").agg(F.min(place).alias("first"), F.count("*").alias("size"))
     firsts = firsts.join(near.select("pid", F.lit(True).alias("met")).distinct(), "pid", "left").where("met OR size > 1")
-    firsts = stored(firsts, "firsts")
+    firsts = stored(firsts, "firsts", release=True)
     asked = firsts.where("met").groupBy(F.col("first.doc_id").alias("id"), F.col("first.at").alias("at")).agg(F.collect_list(F.struct("first.n", "pid")).alias("asked"))
     own = texts_of(docs).withColumn("at", F.xxhash64("text"))
     holders = own.join(asked, (own["at"] == asked["at"]) & own["doc_id"].eqNullSafe(asked["id"])).select("text", "asked")
     texts = holders.mapInArrow(_words, "pid long, words binary")
     # Repeated rows of one id give their paragraphs again.
-    texts = stored(texts.groupBy("pid").agg(F.first("words").alias("words")), "texts")
-    sizes = near.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    placed = near.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("pid"), F.col("blocks")))
+    texts = stored(texts.groupBy("pid").agg(F.first("words").alias("words")), "texts", release=True)
+    placed = near.join(_buckets(near), "key").withColumn("own", F.pmod(F.xxhash64("pid"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = placed.select("key", "pid", "own", other.alias("other"))
     pairs = pairs.select("key", "pid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("mine"))
@@ -317,6 +341,7 @@ def cut_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     """
     occurs = _occurrences(docs)
     edges, firsts = _compared(docs, occurs, similarity)
+    edges = stored(edges, "links", release=True)
     roots = stored(components(edges), "roots")
     named = firsts.join(roots.withColumnRenamed("node", "pid"), "pid", "left").select("pid", "first", "size", F.coalesce("root", "pid").alias("root"))
     classes = named.groupBy("root").agg(F.min("first").alias("first"), F.sum("size").alias("size")).where("size > 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -24,6 +25,7 @@ from strataflow.llm import (
     token_binary,
     topk_nra,
 )
+from strataflow.llm.common import stored
 from strataflow.llm.components import components
 from strataflow.llm.queries import ready
 
@@ -612,6 +614,27 @@ def test_passages_are_found_in_own_and_longer_lines(spark):
     assert sum(rows[d].n_removed for d in range(1, len(made), 2)) > 200
 
 
+def test_a_released_write_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (found.apply(k).getName() for k in range(found.size())) if n.startswith("shuffle_")}
+
+    before = files()
+    counted = spark.range(20_000).groupBy((F.col("id") % 9_000).alias("k")).count()
+    held = stored(counted, "released", release=True)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and held.count() == 9_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_buckets_with_the_same_paragraphs_are_compared_once(spark):
+    held = {1: [10, 11], 2: [11, 10], 3: [10, 12], 4: [10, 11, 12], 5: range(300), 6: range(300), 7: range(1, 301)}
+    near = spark.createDataFrame([(pid, key) for key, pids in held.items() for pid in pids], "pid long, key long")
+    assert sorted(map(tuple, paragraph_dedup._buckets(near).collect())) == [(1, 1), (3, 1), (4, 1), (5, 3), (7, 3)]
+
+
 def test_lines_with_a_word_changed_stay_linked(spark):
     """As whole lines, whatever their length: Jaccard of 0.8 and more between lines, with the change amid them."""
     ready(spark)
