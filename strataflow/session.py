@@ -88,16 +88,18 @@ def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[int]:
             spark.conf.set(key, value)
 
 
-#: A filter of 8 MB at most for each key column, good for some four million values; they are all that is broadcast.
-KEY_FILTER_BITS, KEY_FILTER_KEYS = 64 * MB, 4_000_000
+#: One filter of 8 MB at most, good for some four million keys, is all that is broadcast. The driver holds it many times over: as a result, in
+#: the plan, and in the tasks of each stage that asks it. One for each key column took all of a heap of 750 MB.
+KEY_FILTER_BITS, KEY_FILTER_KEYS, KEY_FILTERS = 64 * MB, 4_000_000, 1
 _RUNTIME_FILTER = "spark.sql.optimizer.runtime.bloomFilter"
+_RUNTIME_FILTERS = "spark.sql.optimizer.runtimeFilter.number.threshold"
 
 
 @contextmanager
 def key_filters(spark: SparkSession, batch_bytes: int = 64 * 1024 * MB) -> Iterator[None]:
-    """Within the block joins may aggregate a Bloom filter from a side of up to ``batch_bytes`` and drop what can't match from the other before it is shuffled.
+    """Within the block a query's lowest join may aggregate a Bloom filter from a side of up to ``batch_bytes`` and drop what can't match from the other before it is shuffled.
 
-    Spark's own limits suit a filter from a small dimension. A batch with more keys than the filter is made for drops fewer rows; results are the same.
+    The filter is of the join's first key. Spark's own limits suit a filter from a small dimension. A batch with more keys than the filter is made for drops fewer rows; results are the same.
     """
     wanted = {
         "enabled": "true",
@@ -107,7 +109,7 @@ def key_filters(spark: SparkSession, batch_bytes: int = 64 * 1024 * MB) -> Itera
         "numBits": str(KEY_FILTER_BITS),
         "maxNumBits": str(KEY_FILTER_BITS),
     }
-    wanted = {f"{_RUNTIME_FILTER}.{key}": value for key, value in wanted.items()}
+    wanted = {f"{_RUNTIME_FILTER}.{key}": value for key, value in wanted.items()} | {_RUNTIME_FILTERS: str(KEY_FILTERS)}
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

@@ -167,12 +167,12 @@ def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFr
     The target's keys are first cut down to those the batch asks for. A batch
     below the broadcast limit then passes over a target of any size without
     shuffling it, and what is left to compare is no larger than the batch. Of a larger batch a Bloom filter of its keys does so (see ``key_filters``):
-    keys are joined with a hash of all their columns, so that one filter speaks for the whole key.
+    keys are joined by a hash of all their columns first, so that the one filter speaks for the whole key.
     """
     hashed = F.xxhash64(*keys).alias(_KEY_HASH)
     # Spark makes a filter of a side that a comparison seems to narrow; this one always holds.
     asked = batch.select(*keys, hashed).where(F.col(_KEY_HASH) >= F.lit(_LEAST_HASH))
-    known = target.select(*keys, hashed).join(asked, [*keys, _KEY_HASH], "left_semi").select(*keys)
+    known = target.select(*keys, hashed).join(asked, [_KEY_HASH, *keys], "left_semi").select(*keys)
     return batch.join(known, list(keys), "left_anti")
 
 

@@ -40,6 +40,22 @@ def test_target_rows_are_dropped_before_the_exchange(spark, base, conf):
     assert min(rows_out(p) for p in filters) < 3000
 
 
+def test_one_filter_goes_through_the_driver(spark, base, conf):
+    """One of the whole key; further ones of its columns are as large and drop no more."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    keys = ["u", "m", "t"]
+    made = lambda a, b: spark.range(a, b).select((F.col("id") % 100).alias("u"), (F.col("id") % 101).alias("m"), F.col("id").alias("t"))
+    write_observed(made(0, 50_000), f"{base}/target", 0)
+    made(49_000, 52_000).write.parquet(f"{base}/batch")
+    with key_filters(spark):
+        fresh = new_rows(spark.read.parquet(f"{base}/batch"), read_versions(spark, f"{base}/target", [0]), keys)
+        assert sorted(r["t"] for r in fresh.collect()) == list(range(50_000, 52_000))
+    filters = [p for name, p in nodes(fresh._jdf.queryExecution().executedPlan()) if name == "FilterExec" and "might_contain" in p.condition().toString()]
+    assert sum(p.condition().toString().count("might_contain") for p in filters) == 1
+    # Each user and movie of the target is also in the batch: only the whole key tells these rows apart.
+    assert rows_out(filters[0]) < 3000
+
+
 def test_merge_with_filters_keeps_null_keys_and_known_rows(spark, base, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     first = spark.createDataFrame([(1, "a", 1), (None, "a", 2), (2, "b", 3)], "k int, s string, v int")
