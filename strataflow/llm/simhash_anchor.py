@@ -126,7 +126,8 @@ def link_fingerprints(fps: DataFrame, distance: int = 3) -> DataFrame:
         raise ValueError("two halves with radius 1 serve distances up to 3")
     at = fps.select("fp").mapInArrow(_replicate, "anchor long, fp long, home boolean")
     sizes = at.groupBy("anchor").agg(F.count("*").alias("n"), F.max("home").alias("met")).where("n > 1 AND met")
-    placed = at.join(sizes, "anchor").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
+    # Spark takes a fingerprint's up to 34 rows for one, so by its estimate it would broadcast what the driver can't hold.
+    placed = at.join(sizes.hint("merge"), "anchor").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     paired = placed.select("anchor", "fp", "own", other.alias("other")).select("anchor", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
@@ -139,14 +140,15 @@ def near_duplicates(docs: DataFrame, distance: int = 3) -> DataFrame:
 
     Documents with one fingerprint are one node, so copies cost nothing. Null texts are empty ones, whose
     fingerprint 0 links like any other. A null doc_id never names a component that has another id.
+    Rows of these joins grow with the documents and take several times their stored bytes in memory, so none is broadcast.
     """
     prints = stored(fingerprints(docs), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(link_fingerprints(nodes, distance))
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = nodes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(placed.join(ids, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = stored(placed.join(ids.hint("merge"), "root").select("fp", "component_id"), "named")
+    return prints.join(named.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, distance: int = 3) -> DataFrame:
