@@ -197,6 +197,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
     again = stored(pack_items(first.where(poor).select("item", "length"), size), "repacked")
     number = (F.col("shard") * (1 << 20) + F.col("bin")) * 4
     placed = first.where(~poor).select("item", (number + 1).alias("sequence_id"), "offset").union(again.select("item", (number + 2).alias("sequence_id"), "offset"))
-    packed = every.where(F.col("length") < size).join(placed, "item")
+    # A row per piece, several times its stored bytes in memory: not to be broadcast.
+    packed = every.where(F.col("length") < size).join(placed.hint("merge"), "item")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return full.select(columns).union(packed.select(columns))

@@ -158,4 +158,4 @@ def keep_first(docs: DataFrame, distance: int = 3) -> DataFrame:
     """
     kept = near_duplicates(docs, distance).where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     own = F.col("doc_id").cast("long")
-    return docs.join(kept, own.eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept.hint("merge"), own.eqNullSafe(F.col("_kept")), "left_semi")

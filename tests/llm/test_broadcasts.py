@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow.llm import components as components_module
-from strataflow.llm import simhash_anchor
+from strataflow.llm import packing_gga, simhash_anchor
 from strataflow.llm.components import components
 from strataflow.llm.queries import ready
 from tests.conftest import plan_of
@@ -61,3 +61,10 @@ def test_rounds_over_many_edges_broadcast_nothing(spark, base, conf, plans, monk
     found = {r.node: r.root for r in components(spark.read.parquet(base)).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}
     assert any("Broadcast" in p for p in rounds) == sent
+
+
+def test_places_of_pieces_are_not_broadcast(spark, base, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="10m")
+    packed = packing_gga.pack_documents(docs_of(spark, base, 50), "byte_bpe_50k.json", size=64)
+    assert "SortMergeJoin" in plan_of(packed) and "Broadcast" not in plan_of(packed)
+    assert len({r.doc_id for r in packed.collect()}) == 51
