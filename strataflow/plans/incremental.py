@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strataflow.plans.entities import Entity
-from strataflow.session import apply_defaults, shuffle_width, sized_shuffle
+from strataflow.session import apply_defaults, released_shuffles, shuffle_width, sized_shuffle
 from strataflow.sources.catalog import get_checkpoint, register_table, set_checkpoint
 from strataflow.sources.changes import CHANGE_TYPE, COMMIT_VERSION, NEW_CONTENT, changes_since
 from strataflow.sources.files import drop_path, new_scratch, path_exists, size_of
@@ -33,19 +33,21 @@ def last_processed(spark: SparkSession, entity: Entity, base: str) -> int | None
     return latest_version(spark, path)
 
 
-def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: DataFrame, version: int):
+def _store_cleaned(spark: SparkSession, entity: Entity, base: str, cleaned: DataFrame, version: int, changes: str):
     """Write the cleaned rows; return them re-readable, the scratch folder used, if any, and how many were added.
 
     The batch is needed again for the merge and for the features, so it is stored
     once rather than computed each time: the first load in the table itself, later
-    ones in scratch.
+    ones in scratch. ``changes``, which ``cleaned`` may read, goes once the batch is there.
     """
     path = entity.cleaned_path(base)
     if not committed_versions(spark, path):
         rows = insert_only_merge(cleaned, path, entity.merge_keys_cleaned, version, order_by=entity.order_cleaned)
         return read_versions(spark, path, [version], entity.cleaned_schema), None, rows
     scratch = new_scratch(spark, f"{entity.name}-batch")
-    cleaned.write.parquet(scratch)
+    with released_shuffles(spark):
+        cleaned.write.parquet(scratch)
+    drop_path(spark, changes)
     batch = spark.read.schema(entity.cleaned_schema).parquet(scratch)
     rows = insert_only_merge(
         batch,
@@ -98,7 +100,7 @@ def _new_rows(spark: SparkSession, entity: Entity, base: str, last: int | None,
     bronze = entity.bronze_path(base)
     if entity.snapshot != "latest" or last is None or last not in committed_versions(spark, bronze):
         return read_since(spark, bronze, last, entity.snapshot, entity.bronze_schema)
-    feed = changes_since(spark, bronze, last, types=NEW_CONTENT, scratch=scratch, schema=entity.bronze_schema)
+    feed = changes_since(spark, bronze, last, types=NEW_CONTENT, scratch=scratch, schema=entity.bronze_schema, store=True)
     return feed.drop(CHANGE_TYPE, COMMIT_VERSION)
 
 
@@ -115,7 +117,7 @@ def _process(
     try:
         batch = raw
         if entity.run_cleaned:
-            batch, scratch, stored = _store_cleaned(spark, entity, base, entity.build_cleaned(raw), current)
+            batch, scratch, stored = _store_cleaned(spark, entity, base, entity.build_cleaned(raw), current, changes)
             # The job that stored the rows counted them; only where there are none it matters whether there was input.
             if not stored and last is None and raw.isEmpty():
                 drop_path(spark, version_path(entity.cleaned_path(base), current))

@@ -118,3 +118,20 @@ def key_filters(spark: SparkSession, batch_bytes: int = 64 * 1024 * MB) -> Itera
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within the block the shuffle files of a query go when it ends, not only once the driver happens to collect garbage.
+
+    For writes: whoever runs a frame again that was run within it may have to make its shuffles anew.
+    """
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_RELEASE) if before is None else spark.conf.set(_RELEASE, before)

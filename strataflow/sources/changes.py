@@ -19,8 +19,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.sources.files import new_scratch
-from strataflow.sources.versions import committed_versions, read_versions
+from strataflow.session import released_shuffles
+from strataflow.sources.files import drop_path, new_scratch, size_of
+from strataflow.sources.versions import committed_versions, read_versions, version_path
 
 CHANGE_TYPE, COMMIT_VERSION = "_change_type", "_commit_version"
 INSERT, DELETE, PREIMAGE, POSTIMAGE = "insert", "delete", "update_preimage", "update_postimage"
@@ -34,8 +35,22 @@ _JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.
 _COPIES = 1 << 16
 
 
+#: Slices ``changes_since`` looks for changes in, where it stores them: one for so many stored bytes of the two loads. Each slice reads both anew.
+SLICE_BYTES, MAX_SLICES = 32 << 20, 3
+
+
+def _row_json(columns: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), _JSON)
+
+
 def row_digest(columns: Sequence[str]) -> Column:
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), _JSON), 256)
+    """32 bytes; as hex digits they would be 64 in every shuffle, which compression doesn't make up for."""
+    return F.unhex(F.sha2(_row_json(columns), 256))
+
+
+def _short(digest: Column) -> Column:
+    """8 bytes of a digest for rows to travel with; what meets by them is compared by whole digests."""
+    return F.xxhash64(digest)
 
 
 def _with_columns_of(df: DataFrame, model: DataFrame) -> DataFrame:
@@ -69,12 +84,13 @@ def changed_digests(before: DataFrame, after: DataFrame, keys: Sequence[str] = (
 
 def rows_of(changed: DataFrame, df: DataFrame, columns: Sequence[str], copies: Column) -> DataFrame:
     """The rows of ``df`` that ``changed`` names, ``copies`` of each. Pass a stored ``changed``: Spark then knows its size and broadcasts it
-    if it is small, so ``df`` is not shuffled."""
+    if it is small, so ``df`` is not shuffled. If it is large, shuffled rows carry 8 bytes for their digest, which is made again, and compared,
+    where these meet those of a changed one."""
     names = list(df.columns)
-    digest = df.withColumn("_digest", row_digest(columns))
     wanted = changed.select("_digest", copies.alias("_copies"), CHANGE_TYPE)
-    found = digest.join(wanted, "_digest")
-    one = found.groupBy("_digest", "_copies", CHANGE_TYPE).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_row"))
+    found = df.withColumn("_digest_hash", _short(row_digest(columns))).join(wanted, F.col("_digest_hash") == _short(F.col("_digest")))
+    row = F.when(row_digest(columns) == F.col("_digest"), F.struct(*[F.col(f"`{c}`") for c in names]))
+    one = found.groupBy("_digest_hash", "_digest", "_copies", CHANGE_TYPE).agg(F.first(row, ignorenulls=True).alias("_row"))
     last = F.col("_copies") - 1
     steps = one.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / _COPIES))))
     rows = steps.withColumn("_nth", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(_COPIES - 1), last - F.col("_step") * _COPIES))))
@@ -95,7 +111,8 @@ def change_feed(
     found = changed_digests(before, after, keys, ignore)
     if types is not None:
         found = found.where(F.col(CHANGE_TYPE).isin(*types))
-    found.write.mode("overwrite").parquet(scratch)
+    with released_shuffles(spark):
+        found.write.mode("overwrite").parquet(scratch)
     changed = spark.read.schema(found.schema).parquet(scratch)
     parts = []
     if types is None or set(types) & set(NEW_CONTENT):
@@ -105,6 +122,21 @@ def change_feed(
     return reduce(DataFrame.unionAll, parts)
 
 
+def _stored_slices(before: DataFrame, after: DataFrame, ignore: Sequence[str], types: Sequence[str] | None, scratch: str, slices: int) -> DataFrame:
+    """``change_feed`` without keys, stored under ``scratch``: equal rows of both loads are in one slice, so each is compared by itself
+    and its shuffles and digests go before the next one starts."""
+    spark = after.sparkSession
+    before = _with_columns_of(before, after)
+    own = F.pmod(F.xxhash64(_row_json([c for c in after.columns if c not in ignore])), F.lit(slices))
+    for i in range(slices):
+        part = lambda df: df if slices == 1 else df.where(own == i)  # noqa: E731, B023
+        feed = change_feed(part(before), part(after), (), ignore, types, f"{scratch}/digests")
+        with released_shuffles(spark):
+            feed.write.mode("append").parquet(f"{scratch}/rows")
+        drop_path(spark, f"{scratch}/digests")
+    return spark.read.schema(feed.schema).parquet(f"{scratch}/rows")
+
+
 def changes_since(
     spark: SparkSession,
     path: str,
@@ -114,11 +146,15 @@ def changes_since(
     types: Sequence[str] | None = None,
     scratch: str | None = None,
     schema: str | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """The changes of every load after ``version`` of a table that each load replaces, with ``_change_type`` and ``_commit_version``.
 
     Each load is compared with the one before it, so rows that came and went again are there. ``version`` itself must still be stored.
+    With ``store``, for feeds without ``keys``, the changes are written to ``scratch`` and read from there, so that no more than a slice's shuffles are on disk at a time.
     """
+    if store and (keys or not scratch):
+        raise ValueError("a feed that is stored has no keys, and a folder")
     versions = committed_versions(spark, path)
     if version not in versions:
         raise ValueError(f"version {version} of {path} is no longer stored")
@@ -128,6 +164,10 @@ def changes_since(
     feeds = []
     for old, new in zip([version, *later], later):
         contents = [read_versions(spark, path, [v], schema) for v in (old, new)]
-        feed = change_feed(*contents, keys, ignore, types, f"{scratch}/{new}" if scratch else None)
+        if store:
+            loaded = size_of(spark, [version_path(path, v) for v in (old, new)])
+            feed = _stored_slices(*contents, ignore, types, f"{scratch}/{new}", min(MAX_SLICES, loaded // SLICE_BYTES + 1))
+        else:
+            feed = change_feed(*contents, keys, ignore, types, f"{scratch}/{new}" if scratch else None)
         feeds.append(feed.withColumn(COMMIT_VERSION, F.lit(new)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
-from strataflow.session import key_filters
-from strataflow.sources.files import create_empty, drop_path, glob_paths
+from strataflow.session import key_filters, released_shuffles
+from strataflow.sources.files import create_empty, drop_path, glob_paths, new_scratch
 
 VERSION_COL = "_version"
 #: Stretches of days a merge looks for in its target; between them nothing is read.
@@ -62,7 +62,8 @@ def write_version(
     hold tight ranges and a reader skips what it does not ask for. A value that holds most rows is
     split where the further columns differ.
     """
-    _dealt(df, order_by, tasks).write.mode("overwrite").parquet(version_path(path, version))
+    with released_shuffles(df.sparkSession):
+        _dealt(df, order_by, tasks).write.mode("overwrite").parquet(version_path(path, version))
 
 
 def write_observed(
@@ -87,7 +88,8 @@ def write_observed(
     target = version_path(path, version)
     options = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false", "parquet.bloom.filter.adaptive.enabled": "true"}
     options |= {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookup}
-    observed.write.mode("overwrite").options(**options).parquet(target)
+    with released_shuffles(df.sparkSession):
+        observed.write.mode("overwrite").options(**options).parquet(target)
     found = seen.get
     if found["rows"] or keep_empty:
         create_empty(df.sparkSession, f"{target}/_SUCCESS")
@@ -161,8 +163,8 @@ _KEY_HASH = "_key_hash"
 _LEAST_HASH = -(1 << 63)
 
 
-def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target``; a NULL in a key never matches.
+def known_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``batch`` that are in ``target``; a NULL in a key never matches.
 
     The target's keys are first cut down to those the batch asks for. A batch
     below the broadcast limit then passes over a target of any size without
@@ -172,8 +174,12 @@ def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFr
     hashed = F.xxhash64(*keys).alias(_KEY_HASH)
     # Spark makes a filter of a side that a comparison seems to narrow; this one always holds.
     asked = batch.select(*keys, hashed).where(F.col(_KEY_HASH) >= F.lit(_LEAST_HASH))
-    known = target.select(*keys, hashed).join(asked, [_KEY_HASH, *keys], "left_semi").select(*keys)
-    return batch.join(known, list(keys), "left_anti")
+    return target.select(*keys, hashed).join(asked, [_KEY_HASH, *keys], "left_semi").select(*keys)
+
+
+def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``target``; a NULL in a key never matches."""
+    return batch.join(known_keys(batch, target, keys), list(keys), "left_anti")
 
 
 def day_stretches(batch: DataFrame, column: str, most: int = MAX_STRETCHES) -> list[tuple[date, date]]:
@@ -231,9 +237,17 @@ def insert_only_merge(
     """
     spark = batch.sparkSession
     others = [v for v in committed_versions(spark, path) if v != version]
-    rows = batch
-    if keys and others:
-        target = read_versions(spark, path, others, schema)
-        rows = new_rows(batch, _within_batch_range(batch, target, bound), keys)
-    with key_filters(spark):
-        return write_observed(rows, path, version, order_by, tasks, keep_empty=True, lookup=[k for k in keys if k not in bound])["rows"]
+    lookup = [k for k in keys if k not in bound]
+    if not (keys and others):
+        return write_observed(batch, path, version, order_by, tasks, keep_empty=True, lookup=lookup)["rows"]
+    target = _within_batch_range(batch, read_versions(spark, path, others, schema), bound)
+    # Stored, so that the shuffles that find the known keys are gone when those of the new rows are made, and a few are broadcast.
+    scratch = new_scratch(spark, "known")
+    try:
+        known = known_keys(batch, target, keys)
+        with key_filters(spark), released_shuffles(spark):
+            known.write.parquet(scratch)
+        rows = batch.join(spark.read.schema(known.schema).parquet(scratch), list(keys), "left_anti")
+        return write_observed(rows, path, version, order_by, tasks, keep_empty=True, lookup=lookup)["rows"]
+    finally:
+        drop_path(spark, scratch)

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +141,55 @@ def test_a_reload_without_changes_and_one_whose_base_is_gone(spark, base):
     load(4, (4, "E (2001)", "y"))
     run_incremental(spark, MOVIES, base, database=None)
     assert titles() == [(1, "A"), (2, "C"), (3, "D"), (4, "E")]
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_a_stored_feed_is_the_same(spark, base, conf, monkeypatch, slices):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(changes, "SLICE_BYTES", 1 if slices > 1 else 1 << 30)
+    rng = random.Random(2)
+    for n in range(3):
+        versions.write_version(spark.createDataFrame(made(rng, 60), SCHEMA), f"{base}/t", n)
+    for types in (None, changes.NEW_CONTENT):
+        scratch = f"{base}/scratch-{types}"
+        stored = changes.changes_since(spark, f"{base}/t", 0, types=types, scratch=scratch, store=True)
+        assert rows(stored) == rows(changes.changes_since(spark, f"{base}/t", 0, types=types)) != []
+        # Digests went with their slice.
+        assert sorted(p.name for n in (1, 2) for p in Path(f"{scratch}/{n}").iterdir()) == ["rows", "rows"]
+    with pytest.raises(ValueError, match="keys"):
+        changes.changes_since(spark, f"{base}/t", 0, ["k1"], scratch=f"{base}/s", store=True)
+
+
+def test_rows_that_share_a_short_digest_are_told_apart(spark, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(changes, "_short", lambda digest: F.xxhash64(digest) % 3)
+    rng = random.Random(5)
+    before, after = made(rng, 30), made(rng, 50)
+    feed = changes.change_feed(*[spark.createDataFrame(x, SCHEMA) for x in (before, after)])
+    assert Counter((repr(tuple(r)[:-1]), r[changes.CHANGE_TYPE]) for r in feed.collect()) == plain_feed(before, after, False)
+
+
+def test_digests_are_bytes(spark):
+    kind = spark.range(1).select(changes.row_digest(["id"]).alias("d"))
+    assert kind.dtypes == [("d", "binary")] and len(kind.first().d) == 32
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(k) for k in range(found.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_a_run_releases_its_shuffles(spark, base):
+    """Else they stay until the driver happens to collect its garbage, beside those of the next step."""
+    raw = shapes.belief(spark, SF)
+    before = shuffle_files(spark)
+    for n, part in enumerate([raw.where("user_id % 2 = 0"), raw]):
+        versions.write_version(part, BELIEF.bronze_path(base), n)
+        run_incremental(spark, BELIEF, base, database=None)
+    # What is left is of the looks at the batch's days; the rows of a single shuffle take more.
+    until = time.time() + 20
+    while (left := sum(n for f, n in shuffle_files(spark).items() if f not in before)) >= 150_000 and time.time() < until:
+        time.sleep(0.1)
+    assert left < 150_000
+    assert read_features(spark, BELIEF, base).count() == raw.count()
