@@ -167,7 +167,10 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pack_items(items: DataFrame, size: int) -> DataFrame:
-    """``items`` (item, length) into bins: item, length, shard, bin, offset, fill of the bin."""
+    """``items`` (item, length) into bins: item, length, shard, bin, offset, fill of the bin.
+
+    Shards take eight times their stored bytes in memory, so Spark's estimate is not to decide whether they are broadcast.
+    """
     shards = max(1, -(-items.count() // SHARD))
     width = max(shards, items.sparkSession.sparkContext.defaultParallelism)
     shard = F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard")
@@ -178,10 +181,10 @@ def pack_items(items: DataFrame, size: int) -> DataFrame:
         bred = stored(elite.repartition(ISLANDS * width, "shard", "island").mapInArrow(_epoch(size, epoch), "shard long, island int, bins int, elite array<binary>"), "epoch")
         # The best packing of each island moves on to the next one in the ring.
         moved = bred.select("shard", ((F.col("island") + 1) % ISLANDS).alias("island"), F.element_at("elite", 1).alias("guest"))
-        met = bred.join(moved, ["shard", "island"]).select("shard", "island", F.array_append("elite", F.col("guest")).alias("elite"))
-        elite = held.join(met, "shard").select("shard", "island", "items", "elite")
+        met = bred.join(moved.hint("merge"), ["shard", "island"]).select("shard", "island", F.array_append("elite", F.col("guest")).alias("elite"))
+        elite = held.join(met.hint("merge"), "shard").select("shard", "island", "items", "elite")
     best = bred.groupBy("shard").agg(F.min_by(F.element_at("elite", 1), F.struct("bins", "island")).alias("labels"))
-    return held.join(best, "shard").select("shard", "items", "labels").mapInArrow(_place, "item long, length long, shard long, bin int, offset long, fill long")
+    return held.join(best.hint("merge"), "shard").select("shard", "items", "labels").mapInArrow(_place, "item long, length long, shard long, bin int, offset long, fill long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:

@@ -63,8 +63,10 @@ def test_rounds_over_many_edges_broadcast_nothing(spark, base, conf, plans, monk
     assert any("Broadcast" in p for p in rounds) == sent
 
 
-def test_places_of_pieces_are_not_broadcast(spark, base, conf):
+def test_places_of_pieces_are_not_broadcast(spark, base, conf, plans):
     conf(spark__sql__autoBroadcastJoinThreshold="10m")
+    stored = plans(packing_gga)
     packed = packing_gga.pack_documents(docs_of(spark, base, 50), "byte_bpe_50k.json", size=64)
     assert "SortMergeJoin" in plan_of(packed) and "Broadcast" not in plan_of(packed)
+    assert stored and not [p for p in stored if "Broadcast" in p]
     assert len({r.doc_id for r in packed.collect()}) == 51
